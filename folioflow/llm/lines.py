@@ -22,10 +22,11 @@ def page_blocks(lines: DataFrame, carry: int = 0, keep: list[str] | None = None)
     item = F.struct("stream_index", at.alias("at"), F.coalesce("text", F.lit("")).alias("text"), *(keep or []))
     rows = lines.where("document_id is not null and stream_index is not null").select("document_id", "page_number", at.cast("int").alias("at"), item.alias("line"))
     block = (F.col("at") / BLOCK_LINES).cast("int")
+    own = F.struct(block.alias("block"), F.col("line").alias("line"))
     if carry:
-        over = rows.where(F.pmod("at", F.lit(BLOCK_LINES)) >= BLOCK_LINES - carry)
-        over = over.select("document_id", "page_number", (block + 1).alias("block"), F.col("line").withField("at", F.lit(-1)).alias("line"))
-        rows = rows.select("document_id", "page_number", block.alias("block"), "line").unionByName(over)
+        next_ = F.struct((block + 1).alias("block"), F.col("line").withField("at", F.lit(-1)).alias("line"))
+        last = F.pmod("at", F.lit(BLOCK_LINES)) >= BLOCK_LINES - carry
+        rows = rows.select("document_id", "page_number", F.explode(F.when(last, F.array(own, next_)).otherwise(F.array(own))).alias("x")).select("document_id", "page_number", "x.*")
     else:
         rows = rows.select("document_id", "page_number", block.alias("block"), "line")
     return rows.groupBy("document_id", "page_number", "block").agg(F.array_sort(F.collect_set("line")).alias("lines"))

@@ -35,5 +35,17 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(_t(spark, sf_dir, "page_lines"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import visual
+
+    return visual.look_alike_pairs(_t(spark, sf_dir, "documents"))
+
+
+def p9_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import visual
+
+    return visual.normalise(_t(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit()}
