@@ -35,6 +35,12 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(_t(spark, sf_dir, "page_lines"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import leaks
+
+    return leaks.leaks(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "eval_items"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import visual
 
