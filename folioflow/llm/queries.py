@@ -35,6 +35,12 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(_t(spark, sf_dir, "page_lines"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import scans
+
+    return scans.noisy_lines(_t(spark, sf_dir, "page_lines"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import leaks
 
