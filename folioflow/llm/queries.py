@@ -35,6 +35,18 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(_t(spark, sf_dir, "page_lines"))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import quality
+
+    return quality.found(_t(spark, sf_dir, "page_lines"))
+
+
+def p3_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import quality
+
+    return quality.assess(_t(spark, sf_dir, "page_lines")).select("document_id", "signals.*", "text_class", "classification", "score")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import scans
 

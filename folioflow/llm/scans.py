@@ -51,16 +51,16 @@ def _give(seen: Counter) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def lexicon(lines: DataFrame) -> tuple[dict[str, int], int]:
-    """Counts of the words of all lines that have at least WORD_SHARE of them, and the number of all words.
+def lexicon(lines: DataFrame, share: float = WORD_SHARE) -> tuple[dict[str, int], int]:
+    """Counts of the words of all lines that have at least ``share`` of them, and the number of all words.
 
     Counted in the scan's own tasks first, so that the shuffle carries one row a word and task. The result
-    comes to the driver: at most 1 / WORD_SHARE words by construction.
+    comes to the driver: at most 1 / share words by construction.
     """
     counts = lines.select("text").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = cut(counts)
     total = counts.agg(F.sum("n")).first()[0] or 0
-    kept = counts.where(F.col("n") >= max(WORD_COUNT, total * WORD_SHARE)).toPandas()
+    kept = counts.where(F.col("n") >= max(WORD_COUNT, total * share)).toPandas()
     return dict(zip(kept["word"], kept["n"])), total
 
 
