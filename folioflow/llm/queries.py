@@ -53,6 +53,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.noisy_lines(_t(spark, sf_dir, "page_lines"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import languages
+
+    model = languages.fit(_t(spark, sf_dir, "documents"))
+    return languages.unnamed(_t(spark, sf_dir, "page_lines"), _t(spark, sf_dir, "corpus_documents"), _t(spark, sf_dir, "inventory"), model)
+
+
+def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import languages
+
+    model = languages.fit(_t(spark, sf_dir, "documents"))
+    return languages.document_languages(_t(spark, sf_dir, "page_lines"), model)
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import leaks
 
