@@ -53,6 +53,18 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.noisy_lines(_t(spark, sf_dir, "page_lines"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import likeness
+
+    return likeness.found(_t(spark, sf_dir, "page_lines"))
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import likeness
+
+    return likeness.like_groups(_t(spark, sf_dir, "page_lines"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import languages
 
