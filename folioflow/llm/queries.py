@@ -79,6 +79,12 @@ def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.document_languages(_t(spark, sf_dir, "page_lines"), model)
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import containers
+
+    return containers.assign(_t(spark, sf_dir, "documents"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import leaks
 
