@@ -27,12 +27,15 @@ RADIUS, SURE = 75, 20
 BLOCK = 512
 #: Candidate documents up to which their ids are broadcast to filter the lines; beyond, the filter is a join.
 BROADCAST_IDS = 400_000
+#: Pairs that are compared together.
+PAIRS = 500_000
 #: Bit planes after which blocks of pairs that are all beyond the radius are abandoned.
 ABANDON = 48
 
 _rng = np.random.default_rng(20260923)
-_MUL = _rng.integers(1, 1 << 63, MINIMA, dtype=np.uint64) | np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
+#: A permutation of the 32-bit numbers for each minimum: an odd factor and a mask.
+_MUL = _rng.integers(0, 1 << 32, MINIMA, dtype=np.uint32) | np.uint32(1)
+_MASK = _rng.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,8 +64,8 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     """MINIMA min-hashes; of an empty set all ones."""
     out = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
     for a in range(0, len(shingles), 8192):
-        part = shingles[a : a + 8192]
-        np.minimum(out, ((part[None, :] * _MUL[:, None] + _ADD[:, None]) >> np.uint64(32)).min(axis=1).astype(np.uint32), out=out)
+        part = (shingles[a : a + 8192] >> np.uint64(32)).astype(np.uint32)
+        np.minimum(out, (part[None, :] * _MUL[:, None] ^ _MASK[:, None]).min(axis=1), out=out)
     return out
 
 
@@ -170,57 +173,62 @@ def planes_within(x: np.ndarray, radius: int) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8))[:n].astype(bool)
 
 
-def compare(members: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, sure): the pairs i, j of a bucket to verify. Pairs surely alike are given as the trees they
-    make; others within the radius if the trees leave them apart."""
+def compare(doc: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): what to verify of the pairs i, j of rows, which lie in one bucket each. Pairs surely alike are
+    given as the trees they make; others within the radius if the trees leave them apart."""
     x = bits[i] ^ bits[j]
     near = planes_within(x, RADIUS)
     i, j, x = i[near], j[near], x[near]
     if not len(i):
-        return members[:0], members[:0], near[:0]
+        return doc[:0], doc[:0]
     sure = planes_within(x, SURE)
-    root = np.arange(len(members))
+    root = np.arange(len(doc))
     if sure.any():
         node, top = forest(i[sure], j[sure])
         root[node] = top
-    leaf = np.flatnonzero(root != np.arange(len(members)))
+    leaf = np.flatnonzero(root != np.arange(len(doc)))
     apart = ~sure & (root[i] != root[j])
-    a, b = np.concatenate([members[root[leaf]], members[i[apart]]]), np.concatenate([members[leaf], members[j[apart]]])
-    return np.minimum(a, b), np.maximum(a, b), np.arange(len(a)) < len(leaf)
+    a, b = np.concatenate([doc[root[leaf]], doc[i[apart]]]), np.concatenate([doc[leaf], doc[j[apart]]])
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def inner_pairs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows within each group, for the groups' offsets."""
+    size = np.diff(at)
+    left, right = [], []
+    for n in np.unique(size):
+        if n > 1:
+            i, j = np.triu_indices(n, 1)
+            first = at[:-1][size == n][:, None]
+            left.append((first + i).ravel())
+            right.append((first + j).ravel())
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
 def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within each group; in a group with two sides (block pairs of a large bucket) across them only."""
+    """Pairs within each group; in a group with two sides (block pairs of a large bucket) across them only.
+    Groups are taken together until they make PAIRS pairs or so, to share the planes."""
     for batch in batches:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        small: list[tuple[np.ndarray, np.ndarray]] = []
         lists = batch.column(0)
-        at = lists.offsets.to_pylist()
+        at = np.asarray(lists.offsets)
         doc = lists.values.field("doc").to_numpy()
         side = lists.values.field("side").to_numpy(zero_copy_only=False)
         bits = np.frombuffer(b"".join(lists.values.field("bits").to_pylist()), np.uint8).reshape(-1, MINIMA // 8)
-        for a, b in zip(at, at[1:]):
-            if b - a < 2:
-                continue
-            if b - a == 2 and side[a] == side[a + 1]:
-                small.append((a, a + 1))
-                continue
-            i, j = np.triu_indices(b - a, 1)
-            s = side[a:b]
-            if s.any():
-                keep = s[i] != s[j]
+        begun = np.cumsum(np.diff(at).astype(np.int64) ** 2) // PAIRS
+        for k in np.unique(begun):
+            some = np.flatnonzero(begun == k)
+            i, j = inner_pairs(at[some[0] : some[-1] + 2])
+            if side.any():
+                owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+                split = np.zeros(len(at) - 1, bool)
+                split[owner[side]] = True
+                keep = ~split[owner[i]] | (side[i] != side[j])
                 i, j = i[keep], j[keep]
-            if len(i):
-                x, y, _ = compare(doc[a:b], bits[a:b], i, j)
-                out.append((x, y))
-        if small:  # the many buckets of two share the planes
-            i, j = np.array(small).T
-            near = planes_within(bits[i] ^ bits[j], RADIUS)
-            x, y = doc[i[near]], doc[j[near]]
-            out.append((np.minimum(x, y), np.maximum(x, y)))
-        if out:
-            pairs = np.unique(np.stack([np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            x, y = compare(doc, bits, i, j)
+            if len(x):
+                pairs = np.unique(np.stack([x, y], axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -325,7 +333,7 @@ def like_groups(lines: DataFrame) -> DataFrame:
         import pandas as pd
 
         u = np.frombuffer(b"".join(m), np.uint32).reshape(-1, MINIMA) if len(m) else np.zeros((0, MINIMA), np.uint32)
-        return pd.Series([x.tobytes() for x in np.packbits((u & 1).astype(np.uint8), axis=1)])
+        return pd.Series([x.tobytes() for x in np.packbits((u * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(np.uint8), axis=1)])
 
     same = docs.withColumn("set", F.unhex(F.sha2("minima", 256)))
     first = same.groupBy("set").agg(F.min("document_id").alias("first"), F.first("minima").alias("minima"), F.count("*").alias("n"))
