@@ -8,23 +8,24 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 from folioflow.functions.wordlists import TITLE_STOPWORDS
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition; ASCII texts pass through untouched."""
     return s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalise(s: pd.Series) -> pd.Series:
     """Composed, case-folded, with single spaces: for questions of occurrence."""
     return s.map(lambda t: " ".join(unicodedata.normalize("NFKC", t or "").split()).casefold())
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def appears_in(fact: pd.Series, text: pd.Series) -> pd.Series:
     """Whether a phrase occurs whole, whatever its case and wrapping; an empty phrase does not."""
 
@@ -35,7 +36,7 @@ def appears_in(fact: pd.Series, text: pd.Series) -> pd.Series:
     return pd.Series([one(f, t) for f, t in zip(fact, text)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def slug(s: pd.Series) -> pd.Series:
     """ASCII letters and digits of a text, runs of others as one hyphen, 60 characters at most."""
 
@@ -50,7 +51,7 @@ def _alike(a: str, b: str) -> bool:
     return a == b or min(len(a), len(b)) >= 5 and difflib.SequenceMatcher(None, a, b).ratio() >= 0.8
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def title_similarity(x: pd.Series, y: pd.Series) -> pd.Series:
     """Share of two titles' words that pair up, in order of the first's; long words pair with a slip."""
 
@@ -71,7 +72,7 @@ def title_similarity(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([one(words(a), words(b)) for a, b in zip(x, y)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def repaired_location(s: pd.Series) -> pd.Series:
     """A redirect target whose file name holds raw ampersands: those inside ``filename=`` escaped."""
 
@@ -87,7 +88,7 @@ def repaired_location(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def decoded(body: pd.Series, charset: pd.Series) -> pd.Series:
     """Bytes as text: by the declared charset, else UTF-8, else Windows-1252."""
 

@@ -50,9 +50,10 @@ def scored_edges(pairs: DataFrame, prints: DataFrame, key: str = "doc_id") -> Da
     return out.select("a", "b", "shared", F.round(F.coalesce(F.try_divide(F.col("shared").cast("double"), union.cast("double")), F.lit(1.0)), 4).alias("jaccard"), F.round(F.col("shared") / F.least("n_a", "n_b"), 4).alias("containment"))
 
 
-def relation(jaccard: Column, title: Column, containment: Column, same_file: Column = F.lit(False), same_text: Column = F.lit(False), apart: Column = F.lit(False)) -> Column:
+def relation(jaccard: Column, title: Column, containment: Column, same_file: Column | None = None, same_text: Column | None = None, apart: Column | None = None) -> Column:
     """What two documents are to each other: identical, same_instrument, parallel, contains or unrelated.
     ``apart``: their titles name different places, which makes two instruments of the same text."""
+    same_file, same_text, apart = (F.lit(False) if c is None else c for c in (same_file, same_text, apart))
     return (
         F.when(same_file | (same_text & ~apart), "identical")
         .when(~apart & ((jaccard >= SAME) | ((jaccard >= VERSION) & (title >= TITLE))), "same_instrument")

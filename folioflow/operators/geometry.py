@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 EXACT, CELLS = 128, 512
 
@@ -30,7 +31,7 @@ def covered_area(rects: list[tuple[float, float, float, float]], clip: tuple[flo
     return float((grid * wide[:, None] * tall[None, :]).sum())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def union_area(rects: pd.Series, width: pd.Series, height: pd.Series) -> pd.Series:
     """Covered area of a page from its array of struct<x0,y0,x1,y1>; null or empty arrays cover nothing."""
     return pd.Series([covered_area([(x["x0"], x["y0"], x["x1"], x["y1"]) for x in (r if r is not None else [])], (0.0, 0.0, w, h)) for r, w, h in zip(rects, width, height)])

@@ -57,8 +57,8 @@ def stratified_split(df: DataFrame, by: list[str], key: str, share: float = 0.3,
 def round_robin(df: DataFrame, stratum: str, inner: str, key: str, most: int, seed: str = "") -> DataFrame:
     """Up to ``most`` rows a stratum, taking its inner groups in turn, rows of each in hash order."""
     turn = F.row_number().over(Window.partitionBy(stratum, inner).orderBy(hash_rank(F.col(key), seed), key))
-    place = F.row_number().over(Window.partitionBy(stratum).orderBy("turn", inner))
-    return df.withColumn("turn", turn).withColumn("place", place).where(F.col("place") <= most)
+    seat = F.row_number().over(Window.partitionBy(stratum).orderBy("_turn", inner))
+    return df.withColumn("_turn", turn).withColumn("_seat", seat).where(F.col("_seat") <= most).drop("_turn", "_seat")
 
 
 def one_per_class(df: DataFrame, by: str, key: str) -> DataFrame:
@@ -71,8 +71,9 @@ def draw(pool: DataFrame, stratum: str, group: str, key: str, targets: DataFrame
     """A stratified sample in rounds over groups: one row of each group before any gives a second, groups
     and rows in hash order, until the stratum's ``seats``."""
     turn = F.row_number().over(Window.partitionBy(stratum, group).orderBy(hash_rank(F.col(key), seed), key))
-    place = F.row_number().over(Window.partitionBy(stratum).orderBy("turn", hash_rank(F.col(group), seed), group))
-    return pool.withColumn("turn", turn).withColumn("place", place).join(targets, stratum).where(F.col("place") <= F.col("seats")).drop("seats")
+    seat = F.row_number().over(Window.partitionBy(stratum).orderBy("_turn", hash_rank(F.col(group), seed), group))
+    seats = targets.select(stratum, F.col("seats").alias("_seats"))
+    return pool.withColumn("_turn", turn).withColumn("_seat", seat).join(seats, stratum).where(F.col("_seat") <= F.col("_seats")).drop("_turn", "_seat", "_seats")
 
 
 def spread_greedily(df: DataFrame, stratum: str, cell: str, balance: str, key: str, quotas: dict[str, int]) -> DataFrame:

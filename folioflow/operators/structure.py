@@ -47,26 +47,45 @@ def contents_pages(lines: DataFrame, run: int = 5) -> DataFrame:
     return pages.where((F.col("named") == 1) | ((F.col("entries") >= run) & (F.col("entries") * 2 >= F.col("n")))).select("document_id", "page_number")
 
 
+#: The forms of a heading in the order they are tried: kind, detector, pattern, groups of number and heading.
+FORMS = (
+    ("part", "part_heading", PART, 1, 2),
+    ("chapter", "chapter_heading", CHAPTER, 1, 2),
+    ("schedule", "schedule_heading", SCHEDULE, 2, 3),
+    ("appendix", "appendix_heading", APPENDIX, 1, 2),
+    ("article", "article_marker", ARTICLE, 1, 2),
+    ("section", "numbered_heading_dash", SECTION_DASH, 1, 2),
+    ("section", "numbered_heading_line", SECTION_LINE, 1, 2),
+)
+
+
 def anchors(lines: DataFrame) -> DataFrame:
     """(document_id, line_no, page_number, text, unit_type, number, heading, detected_by): the headings of a
-    line stream (``operators.lines.line_stream``) off its contents pages, by the first form that a line has."""
+    line stream (``operators.lines.line_stream``) off its contents pages, by the first form that a line has.
+
+    The form is told by one match a form; number and heading are taken out of the lines that have one. A
+    part, chapter, schedule or appendix is short, not left open by a comma and not followed by small letters.
+    """
     rows = lines.join(contents_pages(lines), ["document_id", "page_number"], "left_anti")
     t, bare = F.col("text"), F.trim("text")
-    group = lambda p, k: F.nullif(F.trim(F.regexp_extract(t, p, k)), F.lit(""))
-    tail = lambda p, k: F.regexp_extract(t, p, k)
-    heads = {"part": (PART, 1, 2), "chapter": (CHAPTER, 1, 2), "schedule": (SCHEDULE, 2, 3), "appendix": (APPENDIX, 1, 2)}
-    found = F.lit(None).cast("struct<unit_type:string,number:string,heading:string,detected_by:string>")
-    hit = lambda kind, number, heading, by: F.struct(F.lit(kind).alias("unit_type"), number.alias("number"), heading.alias("heading"), F.lit(by).alias("detected_by"))
     short = F.length(bare) <= MAX_HEADING
-    found = F.when(t.rlike(SECTION_LINE) & short, hit("section", group(SECTION_LINE, 1), group(SECTION_LINE, 2), "numbered_heading_line")).otherwise(found)
-    found = F.when(t.rlike(SECTION_DASH), hit("section", group(SECTION_DASH, 1), group(SECTION_DASH, 2), "numbered_heading_dash")).otherwise(found)
-    found = F.when(t.rlike(ARTICLE) & ~tail(ARTICLE, 2).rlike(r"^\s*[a-z]"), hit("article", group(ARTICLE, 1), F.when(F.length(bare) <= MAX_HEADING // 2, group(ARTICLE, 2)), "article_marker")).otherwise(found)
-    for kind, (p, n, h) in reversed(heads.items()):
-        sound = t.rlike(p) & short & ~bare.rlike("[,;]$") & ~tail(p, h).rlike(r"^\s*[a-z]")
-        number = F.coalesce(group(p, n), group(p, 1)) if kind == "schedule" else group(p, n)
-        found = F.when(sound, hit(kind, number, group(p, h), f"{kind}_heading")).otherwise(found)
-    out = rows.withColumn("a", found).where("a is not null").select("document_id", "line_no", "page_number", "text", "a.*")
-    return out.withColumn("number", F.regexp_replace("number", r"\s*-\s*", "-"))
+    form = F.lit(None).cast("int")
+    for k, (kind, by, pattern, _, h) in reversed(list(enumerate(FORMS))):
+        hit = t.rlike(pattern)
+        if kind == "article" or by.endswith("_heading"):
+            hit = hit & ~F.regexp_extract(t, pattern, h).rlike("^[a-z]")
+        if by.endswith("_heading"):
+            hit = hit & short & ~bare.rlike("[,;]$")
+        if by == "numbered_heading_line":
+            hit = hit & short
+        form = F.when(hit, k).otherwise(form)
+    found = rows.withColumn("_form", form).where("_form is not null")
+    of = F.array(*[F.struct(*(F.lit(x).alias(n) for n, x in zip(("unit_type", "detected_by", "pattern", "n", "h"), f))) for f in FORMS])
+    found = found.withColumn("_f", F.element_at(of, F.col("_form") + 1))
+    part = lambda k: F.nullif(F.trim(F.expr(f"regexp_extract(text, _f.pattern, {k})")), F.lit(""))
+    number = F.coalesce(part("_f.n"), F.when(F.col("_f.unit_type") == "schedule", part("1")))
+    heading = F.when((F.col("_f.unit_type") != "article") | (F.length(bare) <= MAX_HEADING // 2), part("_f.h"))
+    return found.select("document_id", "line_no", "page_number", "text", "_f.unit_type", F.regexp_replace(number, r"\s*-\s*", "-").alias("number"), heading.alias("heading"), "_f.detected_by")
 
 
 def provision_style(found: DataFrame) -> DataFrame:
