@@ -53,6 +53,24 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.noisy_lines(_t(spark, sf_dir, "page_lines"))
 
 
+def p4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import scans
+
+    return scans.paragraphs(_t(spark, sf_dir, "page_lines"))
+
+
+def p4_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import scans
+
+    return scans.repaired_labels(_t(spark, sf_dir, "footnote_blocks"), _t(spark, sf_dir, "page_lines"), ["document_id", "page_number", "line_start", "line_end"])
+
+
+def p4_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import scans
+
+    return scans.repaired_labels(_t(spark, sf_dir, "furniture_lines"), _t(spark, sf_dir, "page_lines"), ["document_id", "page_number", "line_index"])
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import likeness
 

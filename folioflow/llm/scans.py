@@ -230,6 +230,110 @@ class Page:
                 if self.misread[i]:
                     yield at, "misread"
 
+    def paragraphs(self, dec: Decoder) -> Iterator[tuple[str, int, int, str]]:
+        """(kind, first stream index, last, text) of the running text and the notes, repaired, furniture
+        left out. Lines of the chunk after it only lend their words to what is broken at the end."""
+        for kind, name in ((BODY, "text"), (FOOTNOTE, "note")):
+            order = [i for i, r in enumerate(self.role) if r == kind and self.texts[i].strip()]
+            lines = repaired([self.texts[i] for i in order], [self.hyphen[i] for i in order], [self.misread[i] for i in order], dec)
+            for a, b in paragraph_spans([self.texts[i] for i in order], [self.hyphen[i] for i in order]):
+                own = [k for k in range(a, b) if not self.ahead[order[k]]]
+                text = _KEPT.sub("-", " ".join(x for x in lines[a:b][: len(own)] if x))
+                if own and text:
+                    yield name, self.index[order[own[0]]], self.index[order[own[-1]]], text
+
+
+_DIGITS = str.maketrans("lIi|oOsSbB", "1111005588")
+_SAME = str.maketrans({c: " " for c in "!\"#$%&()*+,./:;<=>?@[\\]^_`{}~'“”‘’«»—–•·।॥…-‐¬§¶©¤€�\xad"})
+_OPENING = re.compile(r"\s*(?:[\[(]?(?:[0-9]{1,4}[A-Z]{0,2}|[a-z]{1,2}|[ivxlc]{1,6})[\])]|[0-9]{1,4}[A-Z]{0,2}\.|[•\-–*]\s|(?:PART|CHAPTER|SCHEDULE|Provided|Explanation)\b)")
+#: A compound that was broken at its own hyphen.
+_KEPT = re.compile(r"(?<=\w)[-‐] (?=[a-z])")
+_CLOSED = re.compile(r"[.!?।:;][\"'”’)\]]*\s*\Z")
+
+
+def like_case(word: str, model: str) -> str:
+    return word.upper() if len(model) > 1 and model.isupper() else word[:1].upper() + word[1:] if model[:1].isupper() else word
+
+
+def repaired(texts: list[str], hyphens: list[bool], misread: list[bool], dec: Decoder) -> list[str]:
+    """The lines with misread words as they were, words that were split or run together put right, and
+    broken words whole on the line they begin on. Punctuation and case stay."""
+    out, drop = [], 0
+    for n, text in enumerate(texts):
+        raw = text.rstrip()
+        own = raw[:-1] if hyphens[n] else raw
+        flat = own.lower().translate(_SAME)
+        if len(flat) != len(own):
+            out.append(own[drop:].strip())
+            drop = 0
+            continue
+        pieces = [m.span() for m in re.finditer(r"\S+", flat) if m.start() >= drop]
+        text, at = [], drop
+        drop, skip = 0, False
+        for k, (a, b) in enumerate(pieces):
+            if skip:
+                skip = False
+                continue
+            token, new, end = flat[a:b], own[a:b], b
+            if hyphens[n] and k == len(pieces) - 1 and n + 1 < len(texts):
+                rest = re.match(r"\s*(\S+)", texts[n + 1].lower().translate(_SAME))
+                if rest:
+                    words, _, joined = dec.decode((token, rest[1]), ("-",))
+                    if joined[0] or not dec.known(token):
+                        whole = "".join(words) if joined[0] else token + rest[1]
+                        new, drop = like_case(whole, own[a:b]), rest.end()
+            elif not dec.is_fine(token):
+                if dec.number(token):
+                    new = own[a:b].translate(_DIGITS)
+                else:
+                    c = pieces[k + 1] if k + 1 < len(pieces) else None
+                    if c and own[b : c[0]].isspace() and not (hyphens[n] and k + 2 == len(pieces)):
+                        words, _, joined = dec.decode((token, flat[c[0] : c[1]]), (" ",))
+                        if joined[0] and len(words) == 1:
+                            new, end, skip = like_case(words[0], own[a:b]), c[1], True
+                    if not skip:
+                        words, bad, _ = dec.decode((token,), ())
+                        if bad[0] or len(words) > 1:
+                            new = like_case(" ".join(words), own[a:b])
+            text.append(own[at:a] + new)
+            at = end
+        text.append(own[at:])
+        out.append(re.sub(r"\s+", " ", "".join(text)).strip())
+    return out
+
+
+def paragraph_spans(texts: list[str], hyphens: list[bool], most: int = 80) -> list[tuple[int, int]]:
+    """Paragraphs as spans of lines, by dynamic programming: the division whose beginnings look most like
+    beginnings, with a charge for each paragraph and for one of more than 40 lines. A line begins one if it
+    opens with a number or label, if the line before is closed, short or both; not after a broken word, and
+    hardly with a small letter."""
+    n = len(texts)
+    if not n:
+        return []
+    size = sorted(len(t.rstrip()) for t in texts)
+    full = size[int(0.8 * (n - 1))] or 1
+    gain = [0.0] * n
+    for i in range(1, n):
+        before, line = texts[i - 1].rstrip(), texts[i].lstrip()
+        g = 3.2 if _OPENING.match(line) else 0.0
+        closed = _CLOSED.search(before) is not None
+        g += 1.0 if closed else -2.0
+        g += 1.0 if len(before) < 0.75 * full else -0.5
+        if line[:1].islower():
+            g -= 2.5
+        gain[i] = -50.0 if hyphens[i - 1] else g
+    best, back = [0.0] + [-1e18] * n, [0] * (n + 1)
+    for j in range(1, n + 1):
+        for i in range(max(0, j - most), j):
+            c = best[i] + gain[i] - 0.5 - 0.1 * max(0, j - i - 40)
+            if c > best[j]:
+                best[j], back[j] = c, i
+    out, j = [], n
+    while j > 0:
+        out.append((back[j], j))
+        j = back[j]
+    return out[::-1]
+
 
 class Model:
     """What all tasks share: the lexicon and the heads of series, both of proven size."""
@@ -263,3 +367,51 @@ def noisy_lines(lines: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(at, pa.int32()), pa.array(noise, pa.string())], ["document_id", "stream_index", "noise"])
 
     return doc_chunks(lines).select("document_id", "lines").mapInArrow(run, "document_id string, stream_index int, noise string")
+
+
+def paragraphs(lines: DataFrame) -> DataFrame:
+    """(document_id, chunk, kind, paragraph, first_index, last_index, text): each document as continuous
+    paragraphs of repaired text, its notes as paragraphs of kind ``note``, without running heads, feet and
+    page numbers. ``paragraph`` counts within the chunk and kind, which is the order to read them in."""
+    model = Model(lines)
+    schema = "document_id string, chunk int, kind string, paragraph int, first_index int, last_index int, text string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dec, roles = model.tools()
+        for b in batches:
+            rows: list[tuple] = []
+            for chunk, (did, page, index, texts, ahead) in zip(b.column(2).to_pylist(), groups(b)):
+                seen: Counter[str] = Counter()
+                for kind, first, last, text in Page(did, page, index, texts, ahead, roles, dec).paragraphs(dec):
+                    rows.append((did, chunk, kind, seen[kind], first, last, text))
+                    seen[kind] += 1
+            types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], ["document_id", "chunk", "kind", "paragraph", "first_index", "last_index", "text"])
+
+    return doc_chunks(lines).select("document_id", "lines", "chunk").mapInArrow(run, schema)
+
+
+def repaired_labels(labels: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, text): the distinct texts of labelled blocks (notes, heads), each as one repaired stretch. The
+    lexicon is that of all lines. A null text stays null."""
+    model = Model(lines)
+    kept = labels.select(*keys, "text").distinct()
+    schema = kept.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dec, _ = model.tools()
+        memo: dict[str, str] = {}
+        for b in batches:
+            out = []
+            for t in b.column(b.num_columns - 1).to_pylist():
+                if t is not None and t not in memo:
+                    if len(memo) > 100_000:
+                        memo.clear()
+                    texts = t.split("\n")
+                    page = Page("", [1] * len(texts), list(range(len(texts))), texts, [False] * len(texts), Roles([]), dec)
+                    broken = [len(x.rstrip()) > 1 and x.rstrip()[-1] in MARKS and page.hyphen[i] for i, x in enumerate(texts)]
+                    memo[t] = " ".join(x for x in repaired(texts, broken, page.misread, dec) if x)
+                out.append(None if t is None else memo[t])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(out, pa.string())], b.schema.names)
+
+    return kept.mapInArrow(run, schema)
