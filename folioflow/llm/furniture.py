@@ -34,7 +34,7 @@ _WORDS = re.compile(r"[^\W_|]+(?:\|[^\W_]*)*")
 _DIGITLIKE = re.compile(r"[0-9loisb|]+\Z")
 _PAGE_NUMBER = re.compile(r"(?:page\s+)?[\[({\-–—.\s]*(?:[0-9loOIisSBb|]{1,5}|[ivxlcm]{1,8}|[IVXLCM]{1,8})[\])}\-–—.\s]*(?:\s*(?:of|/)\s*[0-9loOIiSBb|]{1,5})?\Z", re.I)
 _NUMERAL = re.compile(r"[loI|]{1,3}\Z|(?=[ivxlcm])m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})\Z", re.I)
-_PAIRS = str.maketrans({"0": "a", "o": "a", "1": "i", "l": "i", "|": "i", "5": "s", "c": "e", "f": "t", "q": "g", "9": "g", "b": "h", "8": "h", "v": "y", "2": "z"})
+_PAIRS = str.maketrans({"0": "a", "o": "a", "1": "i", "l": "i", "|": "i", "5": "s", "c": "e", "f": "t", "q": "g", "9": "g", "b": "h", "8": "h", "u": "h", "v": "y", "2": "z"})
 # How an amendment note opens after its number.
 _NOTE = re.compile(r"\s*(?:[\[(]?[0-9lIO]{1,3}[\])]?[.)]?|[*†‡])\s+(?:subs|ins|om|omitted|rep|repealed|added|inserted|substituted|see|vide|the\s+w\S{0,3}rds?|w\.\s?e\.\s?f|cf|ibid|renumbered|amended)\b", re.I)
 _NOTE_NUMBER = re.compile(r"\s*(?:[0-9]{1,3}[.)]|[*†‡])\s+\S")
@@ -51,9 +51,10 @@ def fold(text: str) -> str:
         if _DIGITLIKE.match(w) and (len(w) <= 3 or any(c.isdigit() for c in w)) or w in ("i", "ii", "iii", "iv", "v", "vi"):
             continue
         out.append(w)
-    w = " ".join(out).replace("1", "l").replace("0", "o").replace("|", "l")
-    w = w.replace("cl", "d").replace("rn", "m").replace("ii", "u").replace("vv", "w").replace("li", "h").replace("in", "m").replace("ri", "n")
-    return w.translate(_PAIRS)
+    w = " ".join(out).translate(_PAIRS)
+    for read, one in (("in", "m"), ("rn", "m"), ("ei", "d"), ("ii", "h"), ("yy", "w"), ("ri", "n")):
+        w = w.replace(read, one)
+    return w
 
 
 def is_page_number(text: str) -> bool:

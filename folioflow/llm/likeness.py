@@ -250,16 +250,17 @@ def candidates(docs: DataFrame) -> DataFrame:
     tables.append(cold.select("members"))
     hot = shared.where(F.col("n") > BLOCK)
     if not hot.isEmpty():
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        blocks = F.ceil(F.col("n") / BLOCK).cast("bigint")
+        each = F.sequence(F.lit(0).cast("bigint"), blocks - 1)
         own = hot.select("key", "n", "first", "doc", F.pmod(F.xxhash64("doc", "key"), blocks).alias("block")).join(bits, "doc")
-        firsts = hot.where("doc = first").select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), "doc").join(bits, "doc")
-        grouped = own.select("key", "block", "doc", "bits").unionByName(firsts.select("key", F.col("block").cast("bigint").alias("block"), "doc", "bits")).distinct()
+        firsts = hot.where("doc = first").select("key", F.explode(each).alias("block"), "doc").join(bits, "doc")
+        grouped = own.select("key", "block", "doc", "bits").unionByName(firsts.select("key", "block", "doc", "bits")).distinct()
         tables.append(grouped.groupBy("key", "block").agg(F.collect_list(member(False)).alias("members")).select("members"))
         first_bits = bits.select(F.col("doc").alias("first"), F.col("bits").alias("first_bits"))
         far = own.join(first_bits, "first").where(distance("bits", "first_bits") > SURE).select("key", "n", "doc", "bits")
         far = far.withColumn("part", F.pmod(F.xxhash64("doc"), blocks))
-        left = own.select("key", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).cast("bigint").alias("part"), "doc", "bits").join(far.select("key", "part").distinct(), ["key", "part"], "left_semi")
-        right = far.select("key", F.explode(F.sequence(F.lit(0), blocks - 1)).cast("bigint").alias("block"), "part", "doc", "bits")
+        left = own.select("key", "block", F.explode(each).alias("part"), "doc", "bits").join(far.select("key", "part").distinct(), ["key", "part"], "left_semi")
+        right = far.select("key", F.explode(each).alias("block"), "part", "doc", "bits")
         both = left.select("key", "block", "part", member(False).alias("m")).unionByName(right.select("key", "block", "part", member(True).alias("m")))
         tables.append(both.groupBy("key", "block", "part").agg(F.collect_list("m").alias("members")).select("members"))
     found = tables[0]

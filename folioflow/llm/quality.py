@@ -28,6 +28,8 @@ READABLE = 0.5
 ODD_SHARE = 0.15
 #: Copies of one line in a chunk from which on it is filler.
 FILLER = 3
+#: Unless of its words this share is common.
+FAMILIAR = 0.8
 #: Lines of a run that must have as many cells, for a table.
 ALIGNED = 2
 
@@ -134,7 +136,7 @@ def classify_lines(texts: list[str], tokens: list[list[str]], common: frozenset[
         if width[i] >= 3 and sum(_VALUE.match(c) is not None for c in split[i]) * 2 >= width[i]:
             out.append(TABLE)
             continue
-        if copies[s] >= FILLER and len(s) > 8 or len(words) > 1 and known < READABLE * len(words) or len(toks) > 5 and len(set(toks)) <= len(toks) // 3:
+        if copies[s] >= FILLER and len(s) > 8 and known < FAMILIAR * len(words) or len(words) > 1 and known < READABLE * len(words) or len(toks) > 5 and len(set(toks)) <= len(toks) // 3:
             out.append(JUNK)
             continue
         if ("...." in s or "··" in s or "……" in s) and _LEADER.search(s):

@@ -126,7 +126,7 @@ class Decoder:
                 whole = at_cut and (j in kind or j == len(s))
                 if whole and over < 2 * RUN_ON:
                     arc, word, wrong = self.variants(s[i:j])
-                elif j - i > 2 or j - i > 1 and whole:
+                elif j - i > 2 or j - i == 2 and (at_cut or j in kind or j == len(s)):
                     arc = self.cost.get(word, inf)
                 if arc == inf and whole and over == 0.0:
                     arc, word, wrong = STRANGE + LETTER * (j - i), s[i:j], ()
