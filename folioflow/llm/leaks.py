@@ -19,6 +19,8 @@ from folioflow.llm.visual import Table, _form_of, code_points, compose, moved
 WINDOW, NEED = 30, 25
 #: Words that may stand between the item's words in the document, for the prefix bound: each breaks one shingle.
 STRAY = 5
+#: Shingles that a prefix has beyond those a leak can break: so many of them are found in any leak.
+BEYOND = 5
 #: Shingles are pairs of successive words, written without the space.
 SHINGLE = 2
 #: An item may cover at most this multiple of its length in the document.
@@ -92,7 +94,7 @@ class Items:
         self.least = {}
         for key, words in self.words.items():
             n, broken = self.window[key], SHINGLE * (self.window[key] - self.need[key]) + STRAY
-            prefix = max(1, min(n - 1, broken + 8))
+            prefix = max(1, min(n - 1, broken + BEYOND))
             self.least[key] = max(1, prefix - broken)
             chosen = set()
             for w in range(len(words) - n + 1):
