@@ -27,13 +27,35 @@ MOST_CONFUSED, LONGEST = 2, 28
 STRANGE_SHARE = 0.34
 MARKS = "-‐\xad¬"
 
-_BLANK = str.maketrans({c: " " for c in "!\"#$%&()*+,./:;<=>?@[\\]^_`{}~'“”‘’«»—–•·।॥…-‐¬§¶©¤€�"} | {"\xad": None})
+#: What stands between words: white space and these marks. A soft hyphen inside a word is no mark.
+_BETWEEN = "!\"#$%&()*+,./:;<=>?@[\\]^_`{}~'“”‘’«»—–•·।॥…-‐¬§¶©¤€�"
+_ASCII = bytes(32 if chr(i) in _BETWEEN else i for i in range(128)) + bytes(range(128, 256))
+_OTHER = [c for c in _BETWEEN if ord(c) > 127]
 _ORDINAL = re.compile(r"[0-9]+(?:st|nd|rd|th|[a-z])\Z")
 _READ = [(r, t) for t, r in CONFUSIONS]
 
 
+def _spaced(text: str) -> str:
+    """Lower case, with a space for each mark; line breaks stay. ASCII marks go as bytes, others one by one,
+    so a long text costs a few passes in C."""
+    t = text.lower().encode("utf-8", "surrogatepass").translate(_ASCII).decode("utf-8", "surrogatepass")
+    if not t.isascii():
+        for c in _OTHER:
+            if c in t:
+                t = t.replace(c, " ")
+        if "\xad" in t:
+            t = t.replace("\xad", "")
+    return t
+
+
 def words_of(text: str) -> list[str]:
-    return text.lower().translate(_BLANK).split()
+    return _spaced(text).split()
+
+
+def line_words(texts: list[str]) -> list[list[str]]:
+    """The words of each line, taken apart together."""
+    lines = _spaced("\n".join(texts)).split("\n")
+    return [x.split() for x in lines] if len(lines) == len(texts) else [words_of(t) for t in texts]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,6 +93,7 @@ class Decoder:
     def __init__(self, counts: dict[str, int], total: int) -> None:
         self.total = max(total, 2)
         self.cost = {w: -math.log(n / self.total) for w, n in counts.items() if not w.isdigit()}
+        self.least = min(self.cost.values(), default=0.0)
         self.seen: dict[tuple, tuple] = {}
         self.fine: dict[str, bool] = {}
 
@@ -78,8 +101,11 @@ class Decoder:
         return word in self.cost
 
     def variants(self, s: str) -> tuple[float, str, tuple[int, ...]]:
-        """The cheapest lexicon word that ``s`` can be read for, with the places of the confusions."""
+        """The cheapest lexicon word that ``s`` can be read for, with the places of the confusions. Two are
+        tried where no single one explains it."""
         best = (self.cost.get(s, math.inf), s, ())
+        if best[0] <= self.least + CONFUSED:
+            return best
         layer = [(s, (), 0)]
         for k in range(1, MOST_CONFUSED + 1):
             following = []
@@ -95,6 +121,8 @@ class Decoder:
                         if k < MOST_CONFUSED and len(s) <= 18:
                             following.append((t, at, p + len(true)))
                         p = text.find(read, p + 1)
+            if best[2]:
+                break
             layer = following
         return best
 
@@ -124,8 +152,10 @@ class Decoder:
                     over += {" ": MERGED, "\n": RUN_ON}.get(kind[j - 1], HYPHEN)
                 arc, word, wrong = inf, s[i:j], ()
                 whole = at_cut and (j in kind or j == len(s))
-                if whole and over < 2 * RUN_ON:
+                if whole and over <= HYPHEN:
                     arc, word, wrong = self.variants(s[i:j])
+                elif whole:
+                    arc = self.cost.get(word, inf)
                 elif j - i > 2 or j - i == 2 and (at_cut or j in kind or j == len(s)):
                     arc = self.cost.get(word, inf)
                 if arc == inf and whole and over == 0.0:
@@ -177,7 +207,7 @@ class Page:
         self.role = roles.of(document_id, page, texts)
         self.hyphen = [False] * len(texts)
         self.misread = [False] * len(texts)
-        self.tokens: list[list[str]] = [words_of(t) for t in texts]
+        self.tokens: list[list[str]] = line_words(texts)
         for kind in (BODY, FOOTNOTE):
             self._scan([i for i, r in enumerate(self.role) if r == kind], dec)
 
