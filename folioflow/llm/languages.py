@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.furniture import BODY, Roles
 from folioflow.llm.lines import doc_chunks, groups
-from folioflow.llm.quality import COMMON_SHARE, ODD, ODD_SHARE, READABLE, character_kinds
-from folioflow.llm.scans import lexicon, words_of
+from folioflow.llm.quality import ODD, ODD_SHARE, READABLE, character_kinds, common_words
+from folioflow.llm.scans import line_words, words_of
 
 LANGUAGES = ("en", "hi", "mr", "bn", "ta", "fr")
 #: Lines in a language from which on a document is written in it.
@@ -249,8 +249,7 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
     the mean probability of its words. The chain runs over all words of a chunk, so that short lines take
     the language around them. Running heads and feet, page numbers, notes, lines without words and lines
     that aren't readable (junk) have no row."""
-    counts, _ = lexicon(lines, COMMON_SHARE)
-    common = frozenset(w for w in counts if not w.isdigit())
+    common = common_words(lines)
     shared = lines.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.trans, common))
     names = np.array(LANGUAGES, object)
 
@@ -278,10 +277,11 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
                 kind, off = character_kinds(texts)
                 odd = np.add.reduceat(kind == ODD, off[:-1], dtype=np.int64).tolist() if texts else []
                 chain: list[str] = []
+                tokens = line_words(texts)
                 for i, t in enumerate(texts):
                     if role[i] != BODY or ahead[i] or odd[i] > ODD_SHARE * len(t):
                         continue
-                    words = [w for w in words_of(t) if w[0].isalpha()]
+                    words = [w for w in tokens[i] if w[0].isalpha()]
                     if not words or len([w for w in words if w in readable]) < READABLE * len(words):
                         continue
                     chain += words

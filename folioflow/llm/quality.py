@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.furniture import BODY, Roles
 from folioflow.llm.lines import doc_chunks, groups
-from folioflow.llm.scans import lexicon, words_of
+from folioflow.llm.scans import line_words, words_of
+from folioflow.session import cut
 
 PROSE, LIST, TABLE, JUNK = "prose", "list", "table", "junk"
 CLASSES = (PROSE, LIST, TABLE, JUNK)
 
-#: A common word has at least this share of all words, so there are at most 1 / share of them.
-COMMON_SHARE = 2e-5
+#: A common word stands in at least this share of the documents, and in COMMON_LEAST of them. There are at
+#: most 1 / share times as many as a document has different words on average.
+COMMON_SHARE, COMMON_LEAST = 0.002, 2
 #: Of a line's words, this share at least is common in readable text.
 READABLE = 0.5
 #: Characters that don't occur in writing, as a share of a line, from which on it is junk.
@@ -42,6 +44,35 @@ _END = frozenset(".!?;:।")
 _SENTENCE = re.compile(r"[.!?।](?:\s|\Z)")
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the words of each run of lines of one document, once a run; and of the runs, under ""."""
+    seen: Counter[str] = Counter()
+    runs, now, texts = 0, None, []
+    for b in batches:
+        for did, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if did != now:
+                seen.update(set(words_of("\n".join(texts))))
+                runs, now, texts = runs + 1, did, []
+            if t:
+                texts.append(t)
+        if len(seen) > 400_000:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            seen = Counter()
+    seen.update(set(words_of("\n".join(texts))))
+    seen[""] = runs
+    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+
+
+def common_words(lines: DataFrame) -> frozenset[str]:
+    """Words that many documents hold, so that what one document repeats does not become common. A document
+    counts once for each run of its lines in the order they are stored; numbers and single letters are left
+    out."""
+    counts = cut(lines.select("document_id", "text").mapInArrow(_held, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    runs = counts.where("word = ''").agg(F.sum("n")).first()[0] or 0
+    kept = counts.where((F.length("word") > 1) & (F.col("n") >= max(COMMON_LEAST, runs * COMMON_SHARE))).toPandas()
+    return frozenset(w for w in kept["word"] if not w.isdigit())
+
+
 LETTER, DIGIT, MARK, SPACE, PLAIN, SYMBOL, ODD = range(7)
 _PLAIN = frozenset(".,;:!?'\"()[]%&/|-–—‘’“”•*§°·।॥‐¬₹$€£#+=")
 #: Characters that written text does not hold; an underscore counts with blanks to fill in.
@@ -78,12 +109,13 @@ def cells(text: str) -> list[str]:
         return [x.strip() for x in t.strip("|").split("|")]
     if "  " in t and len(parts := _GAP.split(t)) > 1 and not _LEADER.search(t):
         return parts
-    for d in (", ", "; ", ","):
-        if t.count(d) > 1 or d != "," and d in t:
-            parts = t.split(d)
-            values = sum(_VALUE.match(x) is not None for x in parts)
-            if values >= 0.4 * len(parts) and values:
-                return parts
+    if "," in t or "; " in t:
+        for d in (", ", "; ", ","):
+            if t.count(d) > 1 or d != "," and d in t:
+                parts = t.split(d)
+                values = sum(_VALUE.match(x) is not None for x in parts)
+                if values >= 0.4 * len(parts) and values:
+                    return parts
     return [t]
 
 
@@ -123,8 +155,11 @@ def classify_lines(texts: list[str], tokens: list[list[str]], common: frozenset[
     out = []
     for i, (t, toks, strange) in enumerate(zip(texts, tokens, odd.tolist())):
         s = t.strip()
-        words = [w for w in toks if not w[0].isdigit()]
-        known = len([w for w in words if w in common])
+        known = len([w for w in toks if w in common])
+        if known == len(toks) > 2 and s[0].islower() and width[i] == 1 and not strange and copies[s] < FILLER and "...." not in s and toks.count(toks[1]) == 1:
+            out.append(PROSE)  # the middle of running text
+            continue
+        words = [w for w in toks if not w[0].isdigit()] if known < len(toks) else toks
         if strange > ODD_SHARE * len(s) or "__" in s and known < 3 and _BLANKS.search(s):
             out.append(JUNK)
             continue
@@ -162,7 +197,7 @@ _FIGURES = ["lines", "characters", "letters", "spaces", "symbols", "replaced", "
 
 
 def figures(texts: list[str], common: frozenset[str]) -> list[int]:
-    tokens = [words_of(t) for t in texts]
+    tokens = line_words(texts)
     kind, at = character_kinds(texts)
     of = np.bincount(kind, minlength=7).tolist()
     words = [w for t in tokens for w in t]
@@ -176,8 +211,7 @@ def figures(texts: list[str], common: frozenset[str]) -> list[int]:
 def document_figures(lines: DataFrame) -> DataFrame:
     """(document_id, *_FIGURES): counts over each document's running text, running heads, feet and notes
     aside. They are taken by chunk and added up, so no document is ever in one task."""
-    counts, total = lexicon(lines, COMMON_SHARE)
-    words = lines.sparkSession.sparkContext.broadcast(frozenset(w for w in counts if len(w) > 1 and not w.isdigit()))
+    words = lines.sparkSession.sparkContext.broadcast(common_words(lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roles, common = Roles([]), words.value

@@ -351,8 +351,8 @@ def test_labels_that_fail_to_name(spark, crf):
     r = random.Random(4)
     say = lambda k, n: [" ".join(r.choices(POOLS[k], k=9)) for _ in range(n)]
     docs = {"a": [say("en", 8) + say("hi", 6)], "b": [say("fr", 9)], "c": [say("ta", 4) + say("bn", 7)], "d": [say("mr", 8)], "e": [["qx zt"] * 9]}
-    df = lines_of(spark, docs | {f"z{i}": [say(k, 40)] for i, k in enumerate(POOLS)})
-    corpus = spark.createDataFrame([("a", "en+hi"), ("b", "English"), ("c", "bn-IN"), ("d", None), ("e", None), *((f"z{i}", k) for i, k in enumerate(POOLS))], "document_id string, language string").withColumn("downloaded_at", F.lit("2024-01-01").cast("timestamp"))
+    df = lines_of(spark, docs | {f"z{i}{n}": [say(k, 40)] for i, k in enumerate(POOLS) for n in (1, 2)})
+    corpus = spark.createDataFrame([("a", "en+hi"), ("b", "English"), ("c", "bn-IN"), ("d", None), ("e", None), *((f"z{i}{n}", k) for i, k in enumerate(POOLS) for n in (1, 2))], "document_id string, language string").withColumn("downloaded_at", F.lit("2024-01-01").cast("timestamp"))
     listed = spark.createDataFrame([("a", "en", "2024-01-01"), ("a", "hi; en", "2024-02-01"), ("b", "fr", "2024-01-01"), ("c", "বাংলা", None), ("d", "Marathi", "2024-01-01")], "document_id string, language string, at string").select("document_id", "language", F.col("at").cast("timestamp").alias("discovered_at"))
     got = {tuple(x) for x in languages.unnamed(df, corpus, listed, crf).collect()}
     assert got == {("b", "fr"), ("d", "mr")}
