@@ -31,7 +31,8 @@ def respaced_word(token: str, lexicon: frozenset[str]) -> str:
     pieces, stay as they are; no letter is ever changed."""
     parts = [p for c in _CASE.split(token) for p in _DIGIT.split(c)] if len(token) <= LONGEST else [token]
     known = sum(len(p) for p in parts if p.lower() in lexicon)
-    if len(parts) >= PIECES and not token.isupper() and known >= COVER * len(token):
+    sound = all(len(p) > 2 or p.isdigit() or p.lower() in lexicon for p in parts)
+    if len(parts) >= PIECES and sound and not token.isupper() and known >= COVER * len(token):
         return " ".join(respaced_word(p, lexicon) for p in parts)
     m = re.fullmatch(r"([^A-Za-z]*)([A-Za-z]+)([^A-Za-z]*)", token)
     if not m or not GLUED <= len(m[2]) <= LONGEST or m[2].lower() in lexicon:

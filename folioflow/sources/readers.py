@@ -65,7 +65,7 @@ def labels(spark: SparkSession, path: str) -> DataFrame:
     """Reviewers' labels from CSV: upper case, errors as an array; unlabelled rows are dropped."""
     rows = spark.read.schema(schemas.LABELS).option("header", True).csv(path)
     rows = rows.withColumn("document_id", F.regexp_replace("document_id", "^﻿", "")).withColumn("label", F.upper(F.trim("label")))
-    errors = F.filter(F.transform(F.split(F.coalesce("legal_critical_errors", F.lit("")), "[,;]"), F.trim), lambda x: x != "")
+    errors = F.filter(F.transform(F.split(F.coalesce("legal_critical_errors", F.lit("")), "[,;]"), lambda x: F.trim(x)), lambda x: x != "")
     return rows.where(F.coalesce("label", F.lit("")) != "").withColumn("legal_critical_errors", errors)
 
 
