@@ -81,7 +81,8 @@ def targets(spark: SparkSession, path: str, kinds: dict[str, str]) -> DataFrame:
         rows = spark.read.schema(schemas.TARGETS).option("header", True).csv(path)
     else:
         text = spark.read.text(path, wholetext=True)
-        listed = F.coalesce(F.from_json("value", f"array<struct<{schemas.TARGETS.replace(' string', ':string')}>>"), F.from_json("value", f"documents array<struct<{schemas.TARGETS.replace(' string', ':string')}>>")["documents"])
+        rows_ddl = f"array<struct<{schemas.TARGETS.replace(' string', ':string')}>>"
+        listed = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", rows_ddl)).otherwise(F.from_json("value", f"documents {rows_ddl}")["documents"])
         rows = text.select(F.explode(listed).alias("x")).select("x.*")
     known = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
     return rows.where(F.trim("url") != "").withColumn("category", known[F.lower("type")])

@@ -68,7 +68,7 @@ def test_offsets_and_page_map_tile_the_text(spark):
 
 
 def test_furniture_needs_enough_pages(spark):
-    pages = [["The Running Head", f"body {n} one", f"body {n} two", f"body {n} six", "between", f"body {n} x", f"{n}"] for n in range(1, 5)]
+    pages = [["The Running Head", f"body {n} one", f"body {n} two", f"body {n} six", f"between {n}", f"body {n} x", f"{n}"] for n in range(1, 5)]
     got = {(r["page_number"], r["text"], r["kind"]) for r in lines.furniture(stream(spark, pages)).collect()}
     assert {(n, "The Running Head", "header") for n in range(1, 5)} <= got and {(n, str(n), "page_number") for n in range(1, 5)} <= got and len(got) == 8
     assert lines.furniture(stream(spark, pages[:2])).count() == 0
