@@ -29,18 +29,37 @@ def without_labelled(lines: DataFrame, labels: DataFrame, index: str = "line_ind
     return lines.join(keys, ["document_id", "page_number", "page_line_index"], "left_anti")
 
 
+#: Places of a document's order that one task adds up.
+BUCKET = 4096
+
+
+def running_total(rows: DataFrame, key: str, order: str, value: Column, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the rows of the same key that come before in order.
+
+    Places go in buckets of BUCKET: sums run within a bucket, and what the buckets before hold is added from
+    a table of one row a bucket. A document with a third of all lines is thus many tasks' work.
+    """
+    at = F.floor(F.col(order) / BUCKET)
+    w = Window.partitionBy(key, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = rows.withColumn("_bucket", at).withColumn("_value", value)
+    sums = inner.groupBy(key, "_bucket").agg(F.sum("_value").alias("_sum"))
+    before = F.sum("_sum").over(Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
+    carried = sums.select(key, "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
+    out = inner.withColumn("_own", F.coalesce(F.sum("_value").over(w), F.lit(0))).join(carried, [key, "_bucket"])
+    return out.withColumn(name, (F.col("_own") + F.col("_before")).cast("bigint")).select(*rows.columns, name)
+
+
 def line_stream(lines: DataFrame) -> DataFrame:
     """Lines that aren't blank with a dense ``line_no`` in document order beside their own index."""
-    w = Window.partitionBy("document_id").orderBy("stream_index")
-    return lines.where(~T.is_blank(F.col("text"))).withColumn("line_no", F.row_number().over(w) - 1)
+    live = lines.where(~T.is_blank(F.col("text")))
+    return running_total(live, "document_id", "stream_index", F.lit(1), "line_no").withColumn("line_no", F.col("line_no").cast("int"))
 
 
 def line_offsets(lines: DataFrame, key: str = "document_id", order: str = "stream_index", text: str = "text") -> DataFrame:
     """Adds ``char_start`` and ``char_end`` of each line in the text its document's lines make, joined by
     one newline each: half-open, in code points."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length(text) + 1).over(w), F.lit(0)).cast("bigint")
-    return lines.withColumn("char_start", start).withColumn("char_end", F.col("char_start") + F.length(text))
+    out = running_total(lines, key, order, F.length(text) + 1, "char_start")
+    return out.withColumn("char_end", F.col("char_start") + F.length(text))
 
 
 def page_map(offsets: DataFrame) -> DataFrame:

@@ -12,10 +12,27 @@ def hash_rank(key: Column, seed: str = "") -> Column:
     return F.sha2(F.concat(F.lit(seed), key.cast("string")), 256)
 
 
+def hash_ranked(df: DataFrame, by: list[str], key: str, seed: str = "", name: str = "rank") -> DataFrame:
+    """Adds ``name``: the place of each row in its stratum in hash order, ties by key.
+
+    Ranks run within the 256 stretches that the hash's first two digits make, in the same order as the hash;
+    what the stretches before hold is added from a table of so many rows a stratum. A stratum with a third of
+    all rows is thus 256 groups.
+    """
+    h = df.withColumn("_hash", hash_rank(F.col(key), seed)).withColumn("_part", F.substring("_hash", 1, 2))
+    n = h.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = n.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_part").alias("_of"), F.coalesce(upto, F.lit(0)).alias("_before"))
+    inner = h.withColumn("_own", F.row_number().over(Window.partitionBy(*by, "_part").orderBy("_hash", key)))
+    same = F.col("_part") == F.col("_of")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    return inner.join(before, same).withColumn(name, (F.col("_own") + F.col("_before")).cast("int")).select(*df.columns, name)
+
+
 def top_by_hash(df: DataFrame, by: list[str], key: str, most: int, seed: str = "") -> DataFrame:
     """The first ``most`` rows of each stratum in hash order."""
-    w = Window.partitionBy(*by).orderBy(hash_rank(F.col(key), seed), key)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+    return hash_ranked(df, by, key, seed).where(F.col("rank") <= most)
 
 
 def largest_remainder(weights: DataFrame, name: str, share: str, seats: int) -> DataFrame:
@@ -49,16 +66,16 @@ def stratified_split(df: DataFrame, by: list[str], key: str, share: float = 0.3,
     sizes = df.groupBy(*by).agg(F.count("*").alias("n"))
     run = F.sum("n").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
     seats = sizes.withColumn("upto", run).select(*by, (F.floor(F.col("upto") * share + 1e-9) - F.floor((F.col("upto") - F.col("n")) * share + 1e-9)).alias("seats"))
-    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(hash_rank(F.col(key), seed), key)))
+    ranked = hash_ranked(df, by, key, seed)
     joined = ranked.alias("r").join(seats.alias("s"), [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by])
     return joined.select(*[f"r.{c}" for c in df.columns], F.when(F.col("r.rank") <= F.col("s.seats"), "dev").otherwise("test").alias("split"))
 
 
 def round_robin(df: DataFrame, stratum: str, inner: str, key: str, most: int, seed: str = "") -> DataFrame:
     """Up to ``most`` rows a stratum, taking its inner groups in turn, rows of each in hash order."""
-    turn = F.row_number().over(Window.partitionBy(stratum, inner).orderBy(hash_rank(F.col(key), seed), key))
+    turned = hash_ranked(df, [stratum, inner], key, seed, "_turn").where(F.col("_turn") <= most)  # none beyond has a seat
     seat = F.row_number().over(Window.partitionBy(stratum).orderBy("_turn", inner))
-    return df.withColumn("_turn", turn).withColumn("_seat", seat).where(F.col("_seat") <= most).drop("_turn", "_seat")
+    return turned.withColumn("_seat", seat).where(F.col("_seat") <= most).drop("_turn", "_seat")
 
 
 def one_per_class(df: DataFrame, by: str, key: str) -> DataFrame:
@@ -70,10 +87,10 @@ def one_per_class(df: DataFrame, by: str, key: str) -> DataFrame:
 def draw(pool: DataFrame, stratum: str, group: str, key: str, targets: DataFrame, seed: str = "") -> DataFrame:
     """A stratified sample in rounds over groups: one row of each group before any gives a second, groups
     and rows in hash order, until the stratum's ``seats``."""
-    turn = F.row_number().over(Window.partitionBy(stratum, group).orderBy(hash_rank(F.col(key), seed), key))
-    seat = F.row_number().over(Window.partitionBy(stratum).orderBy("_turn", hash_rank(F.col(group), seed), group))
     seats = targets.select(stratum, F.col("seats").alias("_seats"))
-    return pool.withColumn("_turn", turn).withColumn("_seat", seat).join(seats, stratum).where(F.col("_seat") <= F.col("_seats")).drop("_turn", "_seat", "_seats")
+    turned = hash_ranked(pool, [stratum, group], key, seed, "_turn").join(seats, stratum).where(F.col("_turn") <= F.col("_seats"))
+    seat = F.row_number().over(Window.partitionBy(stratum).orderBy("_turn", hash_rank(F.col(group), seed), group))
+    return turned.withColumn("_seat", seat).where(F.col("_seat") <= F.col("_seats")).drop("_turn", "_seat", "_seats")
 
 
 def spread_greedily(df: DataFrame, stratum: str, cell: str, balance: str, key: str, quotas: dict[str, int]) -> DataFrame:

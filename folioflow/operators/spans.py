@@ -107,3 +107,28 @@ def first_hits(spans: DataFrame, gold: DataFrame, tau: float = 0.5) -> DataFrame
 def report(scores: DataFrame) -> DataFrame:
     """Means by category and budget; undefined values don't count. No mean over categories is given."""
     return scores.groupBy("category", "budget").agg(F.count("*").alias("questions"), *[F.round(F.avg(c), 4).alias(c) for c in ("recall", "all_required", "document_recall", "precision", "used")], F.count_if(F.col("used") == 0).alias("empty"))
+
+
+def answer_scores(questions: DataFrame, answers: DataFrame, texts: DataFrame) -> DataFrame:
+    """(question_id, facts, citation_precision, citation_recall, quotes, grounded): of the answers
+    (question_id, answer, citations array<struct<document_id,key>>) the share of required facts stated, in any
+    wording of each; of the citations those that name a gold location, and of the gold groups those cited at
+    any of their locations; of the quoted strings those found in a cited text (document_id, text). Ratios of
+    nothing are null. An answer without an entry is left out."""
+    from folioflow.functions.text import quotes
+    from folioflow.functions.unicode import appears_in
+
+    asked = questions.select("question_id", "required_facts").join(answers, "question_id")
+    fact = asked.select("question_id", "answer", F.posexplode("required_facts").alias("n", "wordings")).select("question_id", "answer", "n", F.explode("wordings").alias("wording"))
+    stated = fact.groupBy("question_id", "n").agg(F.max(appears_in("wording", "answer").cast("int")).alias("hit")).groupBy("question_id").agg(F.avg("hit").alias("facts"))
+    gold = gold_locations(questions).select("question_id", "group_id", "document_id", "key").distinct()
+    cited = answers.select("question_id", F.explode(F.array_distinct("citations")).alias("c")).select("question_id", "c.document_id", "c.key")
+    named = cited.join(gold.select("question_id", "document_id", "key").distinct().withColumn("hit", F.lit(1)), ["question_id", "document_id", "key"], "left").groupBy("question_id").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("citation_precision"))
+    found = gold.join(cited.distinct().withColumn("hit", F.lit(1)), ["question_id", "document_id", "key"], "left").groupBy("question_id", "group_id").agg(F.max(F.coalesce("hit", F.lit(0))).alias("hit")).groupBy("question_id").agg(F.avg("hit").alias("citation_recall"))
+    said = answers.select("question_id", F.explode(F.array_distinct(quotes(F.col("answer")))).alias("quote"))
+    sources = cited.select("question_id", "document_id").distinct().join(texts.select("document_id", "text"), "document_id")
+    held = said.join(sources, "question_id", "left").groupBy("question_id", "quote").agg(F.max(F.coalesce(F.contains("text", "quote"), F.lit(False)).cast("int")).alias("hit")).groupBy("question_id").agg(F.count("*").alias("quotes"), F.avg("hit").alias("grounded"))
+    out = answers.select("question_id").distinct()
+    for part in (stated, named, found, held):
+        out = out.join(part, "question_id", "left")
+    return out.fillna(0, ["quotes"])

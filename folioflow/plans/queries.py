@@ -452,6 +452,16 @@ def mean_reciprocal_rank(spark: SparkSession, d: str) -> DataFrame:
     return per.join(asked.select("question_id", "category"), "question_id").groupBy("category").agg(F.round(F.avg("rr"), 4).alias("mrr"), F.count("*").alias("questions"))
 
 
+@query
+def gold_answer_scores(spark: SparkSession, d: str) -> DataFrame:
+    """The given answers, quoted whole and with their own citations, against facts, evidence and page texts."""
+    asked = _asked(spark, d)
+    answers = asked.select("question_id", F.concat(F.lit('"'), F.coalesce("gold_answer", F.lit("")), F.lit('"')).alias("answer"), F.col("must_cite").alias("citations"))
+    texts = _pages(spark, d).groupBy("document_id").agg(F.max("text").alias("text"))
+    out = spans.answer_scores(asked, answers, texts)
+    return out.select("question_id", F.round("facts", 4).alias("facts"), F.round("citation_precision", 4).alias("citation_precision"), F.round("citation_recall", 4).alias("citation_recall"), "quotes")
+
+
 # Samples
 
 

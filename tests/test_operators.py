@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.operators import dedup, dq, geometry, graph, html, journal, lines, panels, respace, retrieval, sampling, spans, stats, structure
+from folioflow.operators import dedup, documents, dq, geometry, graph, html, journal, lines, panels, respace, retrieval, sampling, spans, stats, structure
 
 LINES = "document_id string, stream_index int, page_number int, page_line_index int, text string"
 
@@ -361,3 +361,37 @@ def test_question_rules(spark):
     assert got == {("q1", "citation outside the evidence"), ("q1", "fact is a number only"), ("q2", "no question"), ("q2", "answerable without evidence"), ("q3", "unanswerable with evidence"), ("q4", "repeated id")}
     bad = {r["problem"] for r in dq.location_problems(q, spark.createDataFrame([("a",)], "document_id string")).where("question_id = 'q3'").collect()}
     assert bad == {"unknown document", "no length", "pages backward", "key and path differ", "no text hash"}
+
+
+# Documents
+
+
+def test_page_facts_and_classes(spark):
+    rows = [("a", 1, "x" * 100, 0.0, 0), ("a", 2, "y" * 300, None, None), ("s", 1, "", 90.0, 0), ("s", 2, None, 100.0, 0), ("v", 1, "few", 0.0, 50), ("m", 1, "z" * 200, 60.0, 0), ("m", 2, "z" * 200, 0.0, 0)]
+    df = spark.createDataFrame([(d, p, t, a, 10.0, 10.0, n) for d, p, t, a, n in rows], "document_id string, page_number int, text string, image_area double, width double, height double, paths int")
+    got = {r["document_id"]: (r["pdf_type"], r["text_status"]) for r in documents.document_classes(documents.page_facts(df)).collect()}
+    assert got == {"a": ("text_based", "ok"), "s": ("scanned", "requires_ocr"), "v": ("vector_outlined", "requires_ocr"), "m": ("mixed", "ok")}
+
+
+def test_directions(spark):
+    rows = [("a", 1, "upright", 1), ("a", 2, "upright", 1), ("a", 3, "upright", -1), ("a", 4, "sideways", -1), ("b", 1, "upright", 1), ("b", 2, "upright", -1), ("c", 1, "upright", -1), ("c", 2, "unknown", None)]
+    df = documents.direction_faults(spark.createDataFrame(rows, "document_id string, page_number int, orientation string, direction int"))
+    assert {(r["document_id"], r["page_number"]) for r in df.where("inconsistent").collect()} == {("a", 3), ("b", 2)}
+    assert {r["document_id"]: r["ratio"] for r in documents.orientation_summary(df).collect()} == {"a": 0.5, "b": 0.5, "c": 0.0}
+
+
+def test_readings_and_languages(spark):
+    df = spark.createDataFrame([(None, "the new", None, 0.2), ("old the", "", 0.1, 0.9), ("old xx", "the of it", 0.5, 0.9), ("the of", "xx yy", 0.5, 0.9), ("the of", "the of", 0.9, 0.9)], "a string, b string, x double, y double")
+    assert [r[0] for r in df.select(documents.better_reading(F.col("a"), F.col("b"), F.col("x"), F.col("y"))).collect()] == [True, False, True, False, False]
+    d = spark.createDataFrame([("a", "en"), ("b", "en"), ("c", "en"), ("d", "non_en"), ("e", "en")], "document_id string, verdict string")
+    p = spark.createDataFrame([("a", 4, 0, 0.0), ("b", 4, 2, 0.5), ("c", 2, 2, 1.0)], "document_id string, measurable int, non_en_pages int, non_en_ratio double")
+    assert {tuple(r) for r in documents.document_language(d, p).collect()} == {("a", "en"), ("b", "bilingual_en"), ("c", "uncertain"), ("d", "non_en"), ("e", "en")}
+
+
+def test_answers(spark):
+    loc = lambda d, k: (d, k, 0, 9)
+    q = spark.createDataFrame([("q1", "c", [["ten days", "10 days"], ["fine"]], [("g1", "required", [loc("a", "s:1"), loc("b", "s:1")]), ("g2", "required", [loc("a", "s:2")])])], "question_id string, category string, required_facts array<array<string>>, gold_evidence array<struct<group_id:string,requirement:string,locations:array<struct<document_id:string,key:string,char_start:bigint,char_end:bigint>>>>")
+    a = spark.createDataFrame([("q1", 'Within 10 Days, as "the owner shall pay" and "not in any text".', [("b", "s:1"), ("a", "s:9")])], "question_id string, answer string, citations array<struct<document_id:string,key:string>>")
+    t = spark.createDataFrame([("b", "… the owner shall pay the fund")], "document_id string, text string")
+    r = spans.answer_scores(q, a, t).first()
+    assert (r["facts"], r["citation_precision"], r["citation_recall"], r["quotes"], r["grounded"]) == (0.5, 0.5, 0.5, 2, 0.5)
