@@ -196,7 +196,7 @@ class Decoder:
 
     def number(self, t: str) -> bool:
         """A number of which a digit was read as a letter."""
-        return bool(re.fullmatch(r"[0-9loisb|]{2,8}", t)) and any(c.isdigit() for c in t) and not t.isdigit() and not _ORDINAL.match(t)
+        return bool(re.fullmatch(r"[0-9loisb]{2,8}", t)) and any(c.isdigit() for c in t) and not t.isdigit() and not _ORDINAL.match(t)
 
 
 class Page:
