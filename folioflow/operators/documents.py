@@ -51,7 +51,7 @@ def orientation_summary(pages: DataFrame, suspect: float = 0.1) -> DataFrame:
 
 def function_word_rate(text: Column) -> Column:
     words = T.clean_words(text)
-    return T.share(F.size(F.filter(words, lambda w: F.array_contains(T.words_in(FUNCTION_WORDS), w))), F.size(words), None)
+    return T.share(F.size(F.filter(words, lambda w: w.isin(*FUNCTION_WORDS))), F.size(words), None)
 
 
 def better_reading(first: Column, second: Column, first_score: Column, second_score: Column) -> Column:

@@ -55,7 +55,7 @@ def mangled(text: Column) -> Column:
     words = T.all_matches(text, "[A-Za-z]+")
     n = F.size(words)
     mean = T.share(F.length(F.array_join(words, "")), n, None)
-    rate = T.share(F.size(F.filter(words, lambda w: F.array_contains(T.words_in(FUNCTION_WORDS), F.lower(w)))), n, None)
+    rate = T.share(F.size(F.filter(words, lambda w: F.lower(w).isin(*FUNCTION_WORDS))), n, None)
     q = T.quality_signals(text)
     shape = (mean < 2.0) & (q["symbol_ratio"] >= 0.15) & (rate < 0.15)
     vocabulary = (rate < 0.06) & (mean < 3.0) & ((q["symbol_ratio"] >= 0.05) | (q["vowelless_ratio"] >= 0.25))
@@ -67,7 +67,7 @@ def language_signals(df: DataFrame, text: str = "text") -> DataFrame:
     distinct_function_words."""
     t = F.coalesce(F.col(text), F.lit(""))
     words = T.clean_words(t)
-    hits = F.filter(words, lambda w: F.array_contains(T.words_in(FUNCTION_WORDS), w))
+    hits = F.filter(words, lambda w: w.isin(*FUNCTION_WORDS))
     all_, latin = T.letters(t), T.script_counts(t, ["latin"])["latin"]
     return df.withColumns({"letters": all_, "non_latin_ratio": T.share(all_ - latin, all_, None), "clean_word_count": F.size(words), "function_word_rate": T.share(F.size(hits), F.size(words), None), "distinct_function_words": F.size(F.array_distinct(hits))})
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -224,22 +226,24 @@ def inner_units(texts: list[str]) -> list[tuple[int, int, str, str | None, int]]
 
 
 def section_bodies(units: DataFrame, lines: DataFrame) -> DataFrame:
-    """(document_id, key, line_no, line_end, unit_type, label, depth): the units inside each provision. A
-    provision's lines are one group; its lines come by an equi-join on the document and the provision that
+    """(document_id, key, line_no, line_end, unit_type, label, depth): the units inside each provision. Its
+    lines are one row, taken apart in Arrow batches; they come by an equi-join on the document and the provision that
     the last heading before each line opens."""
     own = units.where(F.col("unit_type").isin(*PROVISIONS)).select("document_id", "key", F.col("line_no").alias("first"), F.col("line_end").alias("final"))
     w = Window.partitionBy("document_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     heads = own.select("document_id", F.col("first").alias("line_no"), "key", "first", "final")
     rows = lines.select("document_id", "line_no", "text").join(heads, ["document_id", "line_no"], "left")
     rows = rows.withColumns({c: F.last(c, True).over(w) for c in ("key", "first", "final")}).where("first is not null and line_no <= final")
-    schema = "document_id string, key string, line_no int, line_end int, unit_type string, label string, depth int"
+    bodies = rows.groupBy("document_id", "key", "first").agg(F.array_sort(F.collect_list(F.struct("line_no", "text"))).alias("l")).select("document_id", "key", "first", F.col("l.text").alias("texts"))
+    names = ["document_id", "key", "line_no", "line_end", "unit_type", "label", "depth"]
+    types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32()]
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("line_no")
-        did, key, first = part["document_id"].iloc[0], part["key"].iloc[0], int(part["first"].iloc[0])
-        return pd.DataFrame([(did, key, first + a, first + b, k, x, d) for a, b, k, x, d in inner_units(part["text"].tolist())], columns=["document_id", "key", "line_no", "line_end", "unit_type", "label", "depth"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(did, key, first + a, first + b, k, x, d) for did, key, first, texts in zip(*(c.to_pylist() for c in batch.columns)) for a, b, k, x, d in inner_units(texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names)
 
-    return rows.groupBy("document_id", "key", "first").applyInPandas(run, schema)
+    return bodies.mapInArrow(run, "document_id string, key string, line_no int, line_end int, unit_type string, label string, depth int")
 
 
 def preambles(lines: DataFrame, found: DataFrame) -> DataFrame:
