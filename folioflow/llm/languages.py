@@ -177,9 +177,9 @@ class Crf:
                 err = p.copy()
                 np.put_along_axis(err, gold[..., None], np.take_along_axis(err, gold[..., None], 2) - 1, 2)
                 err[~mask] = 0
-                gw = np.zeros_like(self.weight)
-                np.add.at(gw, feats.reshape(-1, MOST_FEATURES), err.reshape(-1, 1, k).repeat(MOST_FEATURES, 1))
-                gw[pad] = 0
+                used, at = np.unique(feats, return_inverse=True)  # only features of this batch change
+                gw = np.stack([np.bincount(at.ravel(), np.repeat(err[..., y].ravel(), MOST_FEATURES), len(used)) for y in range(k)], axis=1)
+                gw[used == pad] = 0
                 both = mask[:, 1:]
                 shift = emit.max(axis=2, keepdims=True)
                 right = np.exp(emit - shift)[:, 1:] * beta[:, 1:]
@@ -187,10 +187,10 @@ class Crf:
                 pair /= pair.sum(axis=(2, 3), keepdims=True)
                 gt = pair[both].sum(axis=0)
                 np.subtract.at(gt, (gold[:, :-1][both], gold[:, 1:][both]), 1)
-                gw, gt = gw / len(batch) + DECAY * self.weight, gt / len(batch)
-                g2w += gw * gw
+                gw, gt = gw / len(batch) + DECAY * self.weight[used], gt / len(batch)
+                g2w[used] += gw * gw
                 g2t += gt * gt
-                self.weight -= RATE * gw / np.sqrt(g2w)
+                self.weight[used] -= RATE * gw / np.sqrt(g2w[used])
                 self.trans -= RATE * gt / np.sqrt(g2t)
 
     def emission(self, word: str) -> np.ndarray:
