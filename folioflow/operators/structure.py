@@ -44,11 +44,13 @@ def contents_pages(lines: DataFrame, run: int = 5) -> DataFrame:
     """(document_id, page_number): pages that name themselves contents, or of whose lines five and half at
     least are bare entries."""
     t = F.col("text")
-    entry = ~t.rlike(SECTION_DASH) & (t.rlike(TOC_ENTRY) | t.rlike(TOC_NUMBER))
+    entry = t.rlike(r"^\s*[0-9]") & ~t.rlike(SECTION_DASH) & (t.rlike(TOC_ENTRY) | t.rlike(TOC_NUMBER))
     pages = lines.groupBy("document_id", "page_number").agg(F.count("*").alias("n"), F.count_if(entry).alias("entries"), F.max(t.rlike(TOC_MARKER).cast("int")).alias("named"))
     return pages.where((F.col("named") == 1) | ((F.col("entries") >= run) & (F.col("entries") * 2 >= F.col("n")))).select("document_id", "page_number")
 
 
+#: What any heading opens with: one cheap match that most lines fail.
+OPENING = r"(?i)^\s*(?:\[\s*)?(?:[0-9]|part\s|chapter\s|(?:the\s+)?(?:\S+\s+)?schedules?\b|appendix\b|article\s|art\.)"
 #: The forms of a heading in the order they are tried: kind, detector, pattern, groups of number and heading.
 FORMS = (
     ("part", "part_heading", PART, 1, 2),
@@ -68,7 +70,7 @@ def anchors(lines: DataFrame) -> DataFrame:
     The form is told by one match a form; number and heading are taken out of the lines that have one. A
     part, chapter, schedule or appendix is short, not left open by a comma and not followed by small letters.
     """
-    rows = lines.join(contents_pages(lines), ["document_id", "page_number"], "left_anti")
+    rows = lines.where(F.col("text").rlike(OPENING)).join(contents_pages(lines), ["document_id", "page_number"], "left_anti")
     t, bare = F.col("text"), F.trim("text")
     short = F.length(bare) <= MAX_HEADING
     form = F.lit(None).cast("int")
