@@ -230,11 +230,14 @@ class Crf:
 
 
 def training_rows(documents: DataFrame) -> list[tuple[str, str]]:
-    """The bounded training sample: TRAIN_ROWS labelled texts a language, by hash of the id."""
-    rows = []
+    """The bounded training sample: TRAIN_ROWS labelled texts a language, by hash of the id. Ids are chosen
+    first, so that each task offers only ids; the chosen texts alone come to the driver."""
+    ids: list[int] = []
     for lang in LANGUAGES:
-        rows += documents.where((F.col("lang") == lang) & F.col("text").isNotNull()).select("text", "lang", F.xxhash64("doc_id").alias("h"), "doc_id").orderBy("h", "doc_id").limit(TRAIN_ROWS).select("text", "lang").collect()
-    return [(r["text"], r["lang"]) for r in rows]
+        chosen = documents.where((F.col("lang") == lang) & F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("doc_id").alias("h"))
+        ids += [r["doc_id"] for r in chosen.orderBy("h", "doc_id").limit(TRAIN_ROWS).collect()]
+    rows = documents.where(F.col("doc_id").isin(ids) & F.col("text").isNotNull()).select("doc_id", "text", "lang").collect() if ids else []
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"] or "", r["doc_id"], r["text"]))]
 
 
 def fit(documents: DataFrame) -> Crf:
