@@ -79,6 +79,32 @@ def representatives(members: DataFrame, by: str, *order: Column) -> DataFrame:
     return members.groupBy(by).agg(F.min_by(F.struct(*[F.col(c) for c in members.columns if c != by]), F.struct(*order)).alias("m")).select(by, "m.*")
 
 
+def word_sets(rows: DataFrame, key: str, words: str) -> DataFrame:
+    """(key, words, first): each row's set of words, where it isn't empty, and the least key of those with the
+    same set. ``words`` is an array of distinct values, sorted."""
+    rows = rows.where(F.size(words) > 0).select(key, F.col(words).alias("words"))
+    return rows.join(rows.groupBy("words").agg(F.min(key).alias("first")), "words").select(key, "words", "first")
+
+
+def set_pairs(sets: DataFrame, key: str, words: str, least: float = 0.5) -> DataFrame:
+    """(a, b, likeness), a < b: all pairs of different sets whose Jaccard likeness is ``least`` or more, by an
+    exact prefix filter. Of sets so alike, the words in order of rarity share one among the first
+    n - ceil(least * n) + 1 of each; a pair is kept at its first common word only, where the words from there
+    on can still make the likeness. No word is left out for being frequent."""
+    each = sets.select(F.col(key).alias("k"), F.explode(words).alias("word"))
+    df = each.groupBy("word").agg(F.count("*").alias("df"))
+    ordered = each.join(df, "word").groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda x: x["word"]).alias("w"))
+    n = F.size("w")
+    prefix = ordered.withColumn("n", n).select("k", "w", "n", F.posexplode(F.slice("w", 1, n - F.ceil(F.lit(least) * n).cast("int") + 1)).alias("at", "word"))
+    side = lambda c: prefix.select("word", *[F.col(x).alias(f"{x}_{c}") for x in ("k", "w", "n", "at")])
+    may = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    pairs = side("a").join(side("b"), "word").where((F.col("k_a") < F.col("k_b")) & (may * (1 + least) >= least * (F.col("n_a") + F.col("n_b")) - 1e-9))
+    both = pairs.withColumn("both", F.array_intersect("w_a", "w_b")).where(F.col("both")[0] == F.col("word"))
+    shared = F.size("both")
+    out = both.select(F.col("k_a").alias("a"), F.col("k_b").alias("b"), F.round(shared / (F.col("n_a") + F.col("n_b") - shared), 4).alias("likeness"))
+    return out.where(F.col("likeness") >= least)
+
+
 def span_classes(spans: DataFrame, key: str = "document_id", text: str = "text") -> DataFrame:
     """(class_hash, documents, spans, first): spans of one normalised text that occur in two documents or
     more."""

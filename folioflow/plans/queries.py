@@ -180,17 +180,37 @@ def shared_passages(spark: SparkSession, d: str) -> DataFrame:
     return dedup.span_classes(rows, "doc_id", "line")
 
 
+def _title_sets(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "corpus_documents").where("title is not null").select("document_id", T.title_words(F.col("title")).alias("words"))
+    return cut(dedup.word_sets(t, "document_id", "words"))
+
+
+def _title_set_pairs(sets: DataFrame) -> DataFrame:
+    return dedup.set_pairs(sets.where("document_id = first"), "first", "words")
+
+
+@query
+def title_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Each titled document beside the least document whose title has the same words."""
+    return _title_sets(spark, d).select("document_id", "first")
+
+
+@query
+def title_set_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of different sets of title words that are alike, each under its least document (``title_sets``)."""
+    return _title_set_pairs(_title_sets(spark, d))
+
+
 @query
 def title_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Titles of one rare word in common, with how alike their words are."""
-    t = table(spark, d, "corpus_documents").where("title is not null").select("document_id", T.title_words(F.col("title")).alias("words"))
-    words = t.select("document_id", F.explode("words").alias("word"))
-    rare = words.groupBy("word").agg(F.count("*").alias("df")).where("df between 2 and 20").select("word")
-    kept = words.join(rare, "word")
-    pairs = kept.select("word", F.col("document_id").alias("a")).join(kept.select("word", F.col("document_id").alias("b")), "word").where("a < b").select("a", "b").distinct()
-    side = lambda c: t.select(F.col("document_id").alias(c), F.col("words").alias(f"w{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", F.round(F.size(F.array_intersect("wa", "wb")) / F.size(F.array_union("wa", "wb")), 4).alias("likeness")).where("likeness >= 0.5")
+    """All pairs of documents whose titles share half of their words or more, with how alike they are: the
+    pairs of sets, and of each set with itself, for all their members."""
+    sets = _title_sets(spark, d)
+    same = sets.groupBy("first").agg(F.count("*").alias("n")).where("n > 1").select(F.col("first").alias("a"), F.col("first").alias("b"), F.lit(1.0).alias("likeness"))
+    found = _title_set_pairs(sets).unionByName(same)
+    side = lambda c: sets.select(F.col("first").alias(c), F.col("document_id").alias(f"d{c}"))
+    rows = found.join(side("a"), "a").join(side("b"), "b").where("a <> b or da < db")
+    return rows.select(F.least("da", "db").alias("a"), F.greatest("da", "db").alias("b"), "likeness")
 
 
 # Panels

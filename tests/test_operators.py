@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.operators import dedup, documents, dq, geometry, graph, html, journal, lines, panels, respace, retrieval, sampling, spans, stats, structure
+from folioflow.plans import queries
 
 LINES = "document_id string, stream_index int, page_number int, page_line_index int, text string"
 
@@ -102,6 +103,20 @@ def test_relations(spark, jaccard, title, containment, flags, want):
     assert spark.range(1).select(dedup.relation(*args)).first()[0] == want
 
 
+def test_title_pairs_against_brute_force(spark, tmp_path):
+    r = random.Random(5)
+    words = ["harbour", "estate", "market", "fund", "council", "tribunal", "parcel", "licence"]
+    titles = {f"d{i:03}": " ".join(r.sample(words, r.randint(1, 5))) for i in range(120)} | {f"e{i:02}": "Rare Zanzibar Manifest" for i in range(25)} | {"x": None, "y": "1950"}
+    spark.createDataFrame(list(titles.items()), "document_id string, title string").write.parquet(f"{tmp_path}/corpus_documents.parquet")
+    sets = {k: frozenset(t.lower().split()) for k, t in titles.items() if t and t != "1950"}
+    want = {(a, b, round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 4)) for a in sets for b in sets if a < b and 2 * len(sets[a] & sets[b]) >= len(sets[a] | sets[b])}
+    got = [tuple(x) for x in queries.title_pairs(spark, str(tmp_path)).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    first = {x["document_id"]: x["first"] for x in queries.title_sets(spark, str(tmp_path)).collect()}
+    assert first == {k: min(x for x in sets if sets[x] == s) for k, s in sets.items()}
+    assert {tuple(x) for x in queries.title_set_pairs(spark, str(tmp_path)).collect()} == {x for x in want if x[0] == first[x[0]] and x[1] == first[x[1]] and sets[x[0]] != sets[x[1]]}
+
+
 def test_edges_against_sets(spark):
     r = random.Random(3)
     pool = [" ".join(f"t{r.randrange(200)}" for _ in range(6)) for _ in range(60)]
