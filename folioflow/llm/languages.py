@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ EPOCHS, RATE, DECAY = 6, 0.1, 1e-5
 DOUBT = 0.4
 #: Weights of hashed features, and features of a word at most.
 BUCKETS, MOST_FEATURES = 1 << 16, 30
+#: Training rows of one language that hold a word, from which on the fit vouches for it as readable.
+LEXICON_ROWS = 2
 #: Words decoded in one stretch, and words on either side that only lend it context.
 STRETCH, CONTEXT = 480, 24
 #: Words gathered before the chains of many documents are run side by side.
@@ -111,6 +114,7 @@ class Crf:
         self.weight = np.zeros((BUCKETS + 1, k))
         self.trans = np.zeros((k, k))
         self.memo: dict[str, np.ndarray] = {}
+        self.lexicon: frozenset[str] = frozenset()
 
     def fit(self, rows: list[tuple[str, str]], seed: int = 7) -> "Crf":
         """Fit on (text, language) rows. Chains are made of stretches of several rows, so that transitions
@@ -128,6 +132,8 @@ class Crf:
             self.weight[:], self.trans[:] = 0, 0
             self._train(data, rng)
             self.memo.clear()
+        rows_of = Counter((x, y) for w, y in data for x in set(w) if len(x) > 1)
+        self.lexicon = frozenset(x for (x, _), n in rows_of.items() if n >= LEXICON_ROWS)
         return self
 
     def _line(self, words: list[str]) -> np.ndarray:
@@ -251,8 +257,9 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
     """(document_id, stream_index, language, confidence): the language of each line of running text, with
     the mean probability of its words. The chain runs over all words of a chunk, so that short lines take
     the language around them. Running heads and feet, page numbers, notes, lines without words and lines
-    that aren't readable (junk) have no row."""
-    common = common_words(lines)
+    that aren't readable (junk) have no row. Words that the training rows share are readable, so that a
+    language in few documents is read too."""
+    common = common_words(lines) | model.lexicon
     shared = lines.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.trans, common))
     names = np.array(LANGUAGES, object)
 

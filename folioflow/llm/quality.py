@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,14 +16,14 @@ from pyspark.sql import functions as F
 
 from folioflow.llm.furniture import BODY, Roles
 from folioflow.llm.lines import doc_chunks, groups
-from folioflow.llm.scans import line_words, words_of
+from folioflow.llm.scans import _give, line_words, words_of
 from folioflow.session import cut
 
 PROSE, LIST, TABLE, JUNK = "prose", "list", "table", "junk"
 CLASSES = (PROSE, LIST, TABLE, JUNK)
 
-#: A common word stands in at least this share of the documents, and in COMMON_LEAST of them. There are at
-#: most 1 / share times as many as a document has different words on average.
+#: A common word stands in at least this share of the documents with its script, and in COMMON_LEAST of them. Of each
+#: script there are at most 1 / share times as many as a document has different words on average.
 COMMON_SHARE, COMMON_LEAST = 0.002, 2
 #: Of a line's words, this share at least is common in readable text.
 READABLE = 0.5
@@ -44,32 +45,102 @@ _END = frozenset(".!?;:।")
 _SENTENCE = re.compile(r"[.!?।](?:\s|\Z)")
 
 
-def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the words of each run of lines of one document, once a run; and of the runs, under ""."""
-    seen: Counter[str] = Counter()
-    runs, now, texts = 0, None, []
+#: Parts that a document's words are dealt into, and words that one task holds before it gives them.
+PARTS, HELD = 8, 400_000
+#: Stands among a document's words for the document itself and, with a number after it, for its scripts. No
+#: word holds this character.
+MARK_OF = "="
+FAR_SCRIPTS = 40
+
+
+def script_of(word: str) -> int:
+    """The block of 128 code points that a word's first letter is in; Latin letters are 0, those beyond the
+    alphabets are one."""
+    c = ord(word[0])
+    return min(c >> 7, FAR_SCRIPTS) if c > 0x24F else 0
+
+
+def _place(word: str) -> tuple[int, str]:
+    """The part of a word, and the mark of its script where it begins with a letter."""
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % PARTS, f"{MARK_OF}{script_of(word)}" if word[0].isalpha() else MARK_OF
+
+
+def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(document_id, part, words): the different words of each document, as far as a task sees it, with the
+    marks of the document and its scripts in part 0."""
+    held: dict[str, set[str]] = defaultdict(set)
+    place: dict[str, tuple[int, str]] = {}
+    size = 0
+
+    def give() -> pa.RecordBatch:
+        ids, part, words = [], [], []
+        for did, own in held.items():
+            parts: list[list[str]] = [[] for _ in range(PARTS)]
+            marks = {MARK_OF}
+            for w in own:
+                p = place.get(w)
+                if p is None:
+                    p = place[w] = _place(w)
+                parts[p[0]].append(w)
+                marks.add(p[1])
+            parts[0] += marks
+            for k, x in enumerate(parts):
+                if x:
+                    ids.append(did)
+                    part.append(k)
+                    words.append(" ".join(x))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(part, pa.int32()), pa.array(words, pa.string())], ["document_id", "part", "words"])
+
     for b in batches:
+        texts = defaultdict(list)
         for did, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            if did != now:
-                seen.update(set(words_of("\n".join(texts))))
-                runs, now, texts = runs + 1, did, []
-            if t:
-                texts.append(t)
-        if len(seen) > 400_000:
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+            texts[did].append(t or "")
+        for did, x in texts.items():
+            own = held[did]
+            before = len(own)
+            own.update(words_of("\n".join(x)))
+            size += len(own) - before
+        if size > HELD:
+            yield give()
+            held.clear()
+            size = 0
+            if len(place) > HELD:
+                place.clear()
+    yield give()
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each word, from rows in order of (document_id, part) that are all in one task."""
+    seen: Counter[str] = Counter()
+    now, own = None, set()
+    for b in batches:
+        for did, part, words in zip(*(c.to_pylist() for c in b.columns)):
+            if (did, part) != now:
+                seen.update(own)
+                now, own = (did, part), set()
+            own.update(words.split(" "))
+        if len(seen) > HELD:
+            yield from _give(seen)
             seen = Counter()
-    seen.update(set(words_of("\n".join(texts))))
-    seen[""] = runs
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+    seen.update(own)
+    yield from _give(seen)
 
 
 def common_words(lines: DataFrame) -> frozenset[str]:
     """Words that many documents hold, so that what one document repeats does not become common. A document
-    counts once for each run of its lines in the order they are stored; numbers and single letters are left
-    out."""
-    counts = cut(lines.select("document_id", "text").mapInArrow(_held, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
-    runs = counts.where("word = ''").agg(F.sum("n")).first()[0] or 0
-    kept = counts.where((F.length("word") > 1) & (F.col("n") >= max(COMMON_LEAST, runs * COMMON_SHARE))).toPandas()
+    counts once for a word, in whatever order and pieces its lines are stored; numbers and single letters
+    are left out. A word is held against the documents that have words of its script, so that a rare script
+    is judged by its own documents."""
+    rows = lines.where("document_id is not null").select("document_id", "text").mapInArrow(_partial, "document_id string, part int, words string")
+    rows = rows.repartition("document_id", "part").sortWithinPartitions("document_id", "part")
+    counts = cut(rows.mapInArrow(_frequencies, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    marks = {r["word"][1:]: r["n"] for r in counts.where(F.col("word").startswith(MARK_OF)).collect()}
+    least = lambda n: max(COMMON_LEAST, n * COMMON_SHARE)
+    script = F.when(F.ascii("word") > 0x24F, F.least(F.shiftright(F.ascii("word"), 7), F.lit(FAR_SCRIPTS))).otherwise(0)
+    cutoff = F.lit(least(marks.pop("", 0)))
+    for k, n in marks.items():
+        cutoff = F.when(script == int(k), least(n)).otherwise(cutoff)
+    kept = counts.where((F.length("word") > 1) & ~F.col("word").startswith(MARK_OF) & (F.col("n") >= cutoff)).toPandas()
     return frozenset(w for w in kept["word"] if not w.isdigit())
 
 

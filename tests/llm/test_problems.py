@@ -143,6 +143,25 @@ def test_signals_of_empty_and_blank_documents(spark):
     assert quality.assess(lines_of(spark, {"a": [["x"]]}).limit(0)).count() == 0
 
 
+def test_common_words_do_not_depend_on_the_order_of_rows(spark):
+    docs = {f"d{i:03}": [[f"every owner of estate {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}word", "shall deposit the fund", f"only{i} here", f"only{i} there"]] for i in range(100)}
+    docs["d000"][0] += ["strange gloss"] * 40  # one document's own words, in many pieces
+    docs |= {f"t{i}": [["நிலம் உரிமை சட்டம்"]] for i in range(2)}
+    df = lines_of(spark, docs)
+    texts = {d: " ".join(t for page in pages for t in page) for d, pages in docs.items()}
+    held = [set(scans.words_of(t)) for t in texts.values()]
+    want = {w for w in set().union(*held) if sum(w in h for h in held) >= 2 and len(w) > 1}
+    shuffled = df.withColumn("r", F.xxhash64("document_id", "stream_index")).repartition(7, "r").sortWithinPartitions("r").drop("r")
+    assert quality.common_words(df.coalesce(1)) == want
+    assert quality.common_words(shuffled) == want and "gloss" not in want
+
+
+def test_a_rare_script_is_judged_by_its_own_documents(spark, monkeypatch):
+    monkeypatch.setattr(quality, "COMMON_SHARE", 0.1)
+    docs = {f"d{i:03}": [["every owner shall deposit the fund"]] for i in range(100)} | {f"t{i}": [["நிலம் உரிமை சட்டம்"]] for i in range(3)} | {f"o{i}": [["seldom"]] for i in range(3)}
+    assert quality.common_words(lines_of(spark, docs)) == set("every owner shall deposit the fund நிலம் உரிமை சட்டம்".split())
+
+
 # Problem 4
 
 
