@@ -23,8 +23,9 @@ WORD_SHARE, WORD_COUNT = 1e-6, 4
 CONFUSED, SPLIT, MERGED, RUN_ON, HYPHEN, STRANGE, LETTER = 4.0, 5.0, 5.0, 7.0, 0.5, 9.0, 1.6
 #: Confusions in one word at most, and letters of a lexicon word.
 MOST_CONFUSED, LONGEST = 2, 28
-#: A line with three strange words or more, and more than this share, is not prose and is not decoded.
-STRANGE_SHARE = 0.34
+#: A line with three strange words or more, and more than this share, is not prose unless decoding explains
+#: this share of them; a word of fewer letters than TELLING is explained by chance and doesn't count for that.
+STRANGE_SHARE, EXPLAINED, TELLING = 0.34, 0.5, 4
 MARKS = "-‐\xad¬"
 
 #: What stands between words: white space and these marks. A soft hyphen inside a word is no mark.
@@ -219,20 +220,21 @@ class Page:
             text = self.texts[i].rstrip()
             broken = len(text) > 1 and text[-1] in MARKS and bool(toks) and (text[-2].isalpha() or unicodedata.category(text[-2])[0] == "M")
             odd = [k for k, t in enumerate(toks) if not (fine[t] if t in fine else known(t))]
-            if len(odd) > 2 and sum(t not in dec.cost and not t.isdigit() for t in toks) > STRANGE_SHARE * len(toks):
-                odd = []
             own_first, skip_first = skip_first, False
+            first, last = int(own_first), len(toks) - broken
+            read = []
             for k in odd:
-                if k == 0 and own_first or broken and k == len(toks) - 1:
+                if not first <= k < last:
                     continue
-                t = toks[k]
-                if dec.number(t):
-                    self.misread[i] = True
-                    continue
-                lo, hi = max(k - 1, 1 if own_first else 0), min(k + 2, len(toks) - broken)
-                words, bad, _ = dec.decode(tuple(toks[lo:hi]), (" ",) * (hi - lo - 1))
-                if bad[k - lo]:
-                    self.misread[i] = True
+                lo, hi = max(k - 1, first), min(k + 2, last)
+                if dec.number(toks[k]) or dec.decode(tuple(toks[lo:hi]), (" ",) * (hi - lo - 1))[1][k - lo]:
+                    read.append(toks[k])
+            if read and len(odd) > 2:
+                strange = [k for k, t in enumerate(toks) if t not in dec.cost and not t.isdigit()]
+                own = sum(first <= k < last for k in strange)
+                if len(strange) > STRANGE_SHARE * len(toks) and sum(len(t) >= TELLING for t in read) < EXPLAINED * own:
+                    read = []
+            self.misread[i] |= bool(read)
             if not broken:
                 continue
             j = order[n + 1] if n + 1 < len(order) else None
@@ -381,7 +383,8 @@ def noisy_lines(lines: DataFrame) -> DataFrame:
     """(document_id, stream_index, noise): the lines with furniture, a broken word or a misread one.
 
     A broken word whose rest stands on the first page of the next chunk is seen there (``doc_chunks``).
-    Empty lines and lines of strange words only carry no noise but furniture. No lines: no rows.
+    Empty lines carry no noise but furniture, and lines of strange words no misreading unless decoding explains
+    half of them. No lines: no rows.
     """
     model = Model(lines)
 

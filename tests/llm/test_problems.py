@@ -201,6 +201,11 @@ def test_broken_words_and_compounds():
     assert p.hyphen == [True, False, True, False, True]
 
 
+def test_heavily_misread_lines_are_decoded_and_junk_is_not():
+    p = page(["rnarket regisfer and clepo5it of every cerfificate fund", "tekram retsiger tbe tisoped dnuf reppu", "xqzt rnarket wvkp jjgh tbe", "every 0wner shall register"])
+    assert p.misread == [True, False, False, True]
+
+
 def test_furniture_and_its_neighbours():
     body = ["every owner shall deposit the fund", "of the council and any estate", "such register of the market"]
     texts, pages = [], []
