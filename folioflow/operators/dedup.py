@@ -7,29 +7,69 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
 from folioflow.operators.graph import connected_components
+from folioflow.session import cut
 
 MIN_TOKENS, MAX_DOCUMENTS, MIN_SHARED = 5, 50, 3
 SAME, VERSION, TITLE, CONTAINS = 0.95, 0.5, 0.8, 0.9
+#: Scores are rounded to four places before they are judged.
+ROUNDING = 1e-4
+
+
+def _prints(text: str) -> Column:
+    lines = F.transform(T.split_lines(F.lower(text)), lambda x: T.all_matches(x, "[a-z0-9]+"))
+    return F.array_distinct(F.transform(F.filter(lines, lambda w: F.size(w) >= MIN_TOKENS), lambda w: F.sha2(F.array_join(w, " "), 256)))
 
 
 def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, fingerprint): the distinct lines of a text of MIN_TOKENS tokens or more, as a hash of their
     tokens. Compatibility characters are expected to be folded (``functions.unicode.nfkc``)."""
-    lines = F.transform(T.split_lines(F.lower(text)), lambda x: T.all_matches(x, "[a-z0-9]+"))
-    kept = F.transform(F.filter(lines, lambda w: F.size(w) >= MIN_TOKENS), lambda w: F.sha2(F.array_join(w, " "), 256))
-    return documents.select(key, F.explode(F.array_distinct(kept)).alias("fingerprint"))
+    return documents.select(key, F.explode(_prints(text)).alias("fingerprint"))
+
+
+def line_sets(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, first, n): each text with fingerprints beside the least key with the same set of them, and how
+    many there are. ``first`` stands for all its copies."""
+    each = documents.select(key, _prints(text).alias("p")).where(F.size("p") > 0).select(key, F.size("p").alias("n"), F.sha2(F.array_join(F.array_sort("p"), ""), 256).alias("h"))
+    return each.join(each.groupBy("h").agg(F.min(key).alias("first")), "h").select(key, "first", "n")
 
 
 def candidate_pairs(prints: DataFrame, key: str = "doc_id") -> DataFrame:
     """(a, b, shared), a < b: pairs that share MIN_SHARED fingerprints or more of those in 2 to MAX_DOCUMENTS
     documents. A boilerplate line proposes no pairs, so no join group is larger than MAX_DOCUMENTS; it still
-    counts when a pair is scored."""
+    counts when a pair is scored. This is the reference's list; ``alike_pairs`` is the one without a cap."""
     rare = prints.groupBy("fingerprint").agg(F.count("*").alias("df")).where(F.col("df").between(2, MAX_DOCUMENTS)).select("fingerprint")
     kept = prints.join(rare, "fingerprint")
     a, b = kept.select("fingerprint", F.col(key).alias("a")), kept.select("fingerprint", F.col(key).alias("b"))
     return a.join(b, "fingerprint").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= MIN_SHARED)
 
 
+def _ranked(prints: DataFrame, key: str) -> DataFrame:
+    """(k, fingerprint, df, at, n): each document's fingerprints, rarest first, from 1 on."""
+    df = prints.groupBy("fingerprint").agg(F.count("*").alias("df"))
+    own = Window.partitionBy("k")
+    rows = prints.select(F.col(key).alias("k"), "fingerprint").join(df, "fingerprint")
+    return rows.withColumn("at", F.row_number().over(own.orderBy("df", "fingerprint"))).withColumn("n", F.count("*").over(own))
+
+
+def alike_pairs(prints: DataFrame, key: str = "doc_id", jaccard: float = 0.5, containment: float | None = None) -> DataFrame:
+    """(a, b), a < b: candidates among which are all pairs that reach the Jaccard likeness or, where it is
+    given, the containment. An exact prefix filter: of two sets so alike, one fingerprint is among the first
+    n - ceil(least * n) + 1 of both, rarest first; of a set so contained, one of its first is anywhere in
+    the other. No fingerprint is left out for being frequent. ``prints`` holds one document of each set."""
+    ranked = cut(_ranked(prints, key))
+    side = lambda rows, c: rows.select("fingerprint", *[F.col(x).alias(f"{x}_{c}") for x in ("k", "n", "at")])
+    shared = ranked.where("df > 1")
+    head = lambda least: shared.where(F.col("at") <= F.col("n") - F.ceil((least - ROUNDING) * F.col("n")) + 1)
+    may = 1 + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    least = jaccard - ROUNDING
+    near = side(head(jaccard), "a").join(side(head(jaccard), "b"), "fingerprint").where((F.col("k_a") < F.col("k_b")) & (may * (1 + least) >= least * (F.col("n_a") + F.col("n_b"))))
+    out = near.select(F.col("k_a").alias("a"), F.col("k_b").alias("b"))
+    if containment is not None:
+        inside = side(head(containment), "a").join(side(shared, "b"), "fingerprint").where((F.col("k_a") != F.col("k_b")) & (F.col("n_a") <= F.col("n_b")) & (may >= (containment - ROUNDING) * F.col("n_a")))
+        out = out.unionByName(inside.select(F.least("k_a", "k_b").alias("a"), F.greatest("k_a", "k_b").alias("b")))
+    return out.distinct()
+
+
 def identity_links(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(first, key): each copy of a text that isn't blank beside the first document with it. One row a copy
     ties them together, however many there are."""

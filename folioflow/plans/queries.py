@@ -152,10 +152,37 @@ def exact_text_links(spark: SparkSession, d: str) -> DataFrame:
     return dedup.identity_links(table(spark, d, "documents"))
 
 
+def _links(docs: DataFrame, sets: DataFrame, jaccard: float, containment: float | None = None) -> DataFrame:
+    """Scored edges between the firsts of equal line sets (``dedup.line_sets``), without a cap on how many
+    documents a line is in."""
+    firsts = sets.where("doc_id = first and n >= " + str(dedup.MIN_SHARED)).select("doc_id")
+    prints = cut(dedup.fingerprints(docs.join(firsts, "doc_id", "left_semi")))
+    return dedup.scored_edges(dedup.alike_pairs(prints, "doc_id", jaccard, containment), prints).where(F.col("shared") >= dedup.MIN_SHARED)
+
+
+@query
+def line_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Each document with fingerprints beside the least document with the same ones."""
+    return dedup.line_sets(table(spark, d, "documents")).select("doc_id", "first")
+
+
+@query
+def near_dup_links(spark: SparkSession, d: str) -> DataFrame:
+    """All near duplicates and containing texts between the firsts of ``line_sets``; ``near_dup_edges`` is
+    the reference's list, in which lines of more than 50 documents propose no pair."""
+    docs = table(spark, d, "documents")
+    edges = _links(docs, dedup.line_sets(docs), dedup.VERSION, dedup.CONTAINS)
+    return edges.withColumn("relation", dedup.relation(F.col("jaccard"), F.lit(0.0), F.col("containment"))).where("relation <> 'unrelated'")
+
+
 def _clusters(spark: SparkSession, d: str) -> DataFrame:
-    same = _edges(spark, d).where(dedup.relation(F.col("jaccard"), F.lit(0.0), F.col("containment")) == "same_instrument").select("a", "b")
-    copies = dedup.identity_links(table(spark, d, "documents")).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    return dedup.clusters(same.unionByName(copies))
+    docs = table(spark, d, "documents")
+    sets = cut(dedup.line_sets(docs))
+    edges = _links(docs, sets, dedup.SAME)
+    same = edges.where(dedup.relation(F.col("jaccard"), F.lit(0.0), F.col("containment")) == "same_instrument").select("a", "b")
+    members = sets.where((F.col("doc_id") != F.col("first")) & (F.col("n") >= dedup.MIN_SHARED)).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    copies = dedup.identity_links(docs).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+    return dedup.clusters(same.unionByName(members).unionByName(copies))
 
 
 @query

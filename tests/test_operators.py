@@ -117,6 +117,30 @@ def test_title_pairs_against_brute_force(spark, tmp_path):
     assert {tuple(x) for x in queries.title_set_pairs(spark, str(tmp_path)).collect()} == {x for x in want if x[0] == first[x[0]] and x[1] == first[x[1]] and sets[x[0]] != sets[x[1]]}
 
 
+def test_links_without_a_cap_against_brute_force(spark, tmp_path):
+    r = random.Random(9)
+    line = lambda i: f"line number {'abcdefghijklmnopqrstuvwxyz'[i % 26]}{i} of the act"
+    whole = [line(i) for i in range(40)]
+    texts = {i: whole for i in range(60)} | {60: whole[:39], 61: whole[:25], 62: whole[:20] + [line(i) for i in range(50, 65)]}
+    texts |= {100 + k: [line(i) for i in r.sample(range(100, 116), r.randint(2, 12))] for k in range(70)}
+    spark.createDataFrame([(k, "\n".join(t), "s", 1) for k, t in texts.items()], "doc_id bigint, text string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    sets = {k: frozenset(t) for k, t in texts.items()}
+    first = {k: min(x for x in sets if sets[x] == s) for k, s in sets.items()}
+    firsts = sorted(set(first.values()))
+    want = {}
+    for i, a in enumerate(firsts):
+        for b in firsts[i + 1 :]:
+            n = len(sets[a] & sets[b])
+            j, c = round(n / len(sets[a] | sets[b]), 4), round(n / min(len(sets[a]), len(sets[b])), 4)
+            if n >= dedup.MIN_SHARED and (j >= 0.5 or c >= 0.9):
+                want[a, b] = (n, j, c)
+    got = {(x["a"], x["b"]): (x["shared"], x["jaccard"], x["containment"]) for x in queries.near_dup_links(spark, str(tmp_path)).collect()}
+    assert got == want and (0, 60) in got and (0, 61) in got
+    assert {tuple(x) for x in queries.line_sets(spark, str(tmp_path)).collect()} == set(first.items())
+    cluster = {x["doc_id"]: x["cluster"] for x in queries.dup_clusters(spark, str(tmp_path)).collect()}
+    assert all(cluster[i] == 0 for i in range(61)) and 61 not in cluster
+
+
 def test_edges_against_sets(spark):
     r = random.Random(3)
     pool = [" ".join(f"t{r.randrange(200)}" for _ in range(6)) for _ in range(60)]
