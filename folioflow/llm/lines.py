@@ -53,18 +53,22 @@ def groups(batch: pa.RecordBatch) -> Iterator[tuple[str, list[int], list[int], l
         yield did, page[a:b], index[a:b], text[a:b], ahead[a:b]
 
 
-def doc_chunks(lines: DataFrame) -> DataFrame:
+def doc_chunks(lines: DataFrame, back: bool = False) -> DataFrame:
     """(document_id, chunk, block, lines): a document's lines in order, CHUNK_PAGES pages and BLOCK_LINES
     lines of a page at most to a group, so that a document with a third of all rows is many groups.
 
     The first page of a chunk also closes the one before, marked ``ahead``: what runs on over the chunk's
-    end can be seen there. Redeliveries are dropped as in ``page_blocks``; a null page number counts as 0.
+    end can be seen there. With ``back`` the last page of a chunk also opens the next, marked the same way. Redeliveries are dropped as in ``page_blocks``; a null page number counts as 0.
     """
     page, at = F.coalesce("page_number", F.lit(0)), F.coalesce("page_line_index", F.lit(0))
     line = lambda ahead: F.struct(page.alias("page"), "stream_index", at.alias("at"), F.coalesce("text", F.lit("")).alias("text"), F.lit(ahead).alias("ahead"))
     chunk = F.floor(page / CHUNK_PAGES).cast("int")
     own = F.struct(chunk.alias("chunk"), line(False).alias("line"))
     before = F.struct((chunk - 1).alias("chunk"), line(True).alias("line"))
+    after = F.struct((chunk + 1).alias("chunk"), line(True).alias("line"))
     first = (F.pmod(page, F.lit(CHUNK_PAGES)) == 0) & (page > 0)
-    rows = lines.where("document_id is not null and stream_index is not null").select("document_id", (at / BLOCK_LINES).cast("int").alias("block"), F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own))).alias("x"))
+    ends = F.when(first, F.array(own, before))
+    if back:
+        ends = ends.when(F.pmod(page, F.lit(CHUNK_PAGES)) == CHUNK_PAGES - 1, F.array(own, after))
+    rows = lines.where("document_id is not null and stream_index is not null").select("document_id", (at / BLOCK_LINES).cast("int").alias("block"), F.explode(ends.otherwise(F.array(own))).alias("x"))
     return rows.groupBy("document_id", F.col("x.chunk").alias("chunk"), "block").agg(F.array_sort(F.collect_set("x.line")).alias("lines"))

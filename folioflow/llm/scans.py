@@ -264,13 +264,13 @@ class Page:
 
     def paragraphs(self, dec: Decoder) -> Iterator[tuple[str, int, int, str]]:
         """(kind, first stream index, last, text) of the running text and the notes, repaired, furniture
-        left out. Lines of the chunk after it only lend their words to what is broken at the end."""
+        left out. Lines of the chunks before and after only lend their words to what is broken at either end."""
         for kind, name in ((BODY, "text"), (FOOTNOTE, "note")):
             order = [i for i, r in enumerate(self.role) if r == kind and self.texts[i].strip()]
             lines = repaired([self.texts[i] for i in order], [self.hyphen[i] for i in order], [self.misread[i] for i in order], dec)
             for a, b in paragraph_spans([self.texts[i] for i in order], [self.hyphen[i] for i in order]):
                 own = [k for k in range(a, b) if not self.ahead[order[k]]]
-                text = _KEPT.sub("-", " ".join(x for x in lines[a:b][: len(own)] if x))
+                text = _KEPT.sub("-", " ".join(lines[k] for k in own if lines[k]))
                 if own and text:
                     yield name, self.index[order[own[0]]], self.index[order[own[-1]]], text
 
@@ -334,9 +334,13 @@ def repaired(texts: list[str], hyphens: list[bool], misread: list[bool], dec: De
     return out
 
 
-def paragraph_spans(texts: list[str], hyphens: list[bool], most: int = 80) -> list[tuple[int, int]]:
+#: Lines of a paragraph from which on each costs OVER.
+LONG, OVER = 40, 0.1
+
+
+def paragraph_spans(texts: list[str], hyphens: list[bool]) -> list[tuple[int, int]]:
     """Paragraphs as spans of lines, by dynamic programming: the division whose beginnings look most like
-    beginnings, with a charge for each paragraph and for one of more than 40 lines. A line begins one if it
+    beginnings, with a charge for each paragraph and for each line over LONG, of which there may be any number. A line begins one if it
     opens with a number or label, if the line before is closed, short or both; not after a broken word, and
     hardly with a small letter."""
     n = len(texts)
@@ -355,9 +359,12 @@ def paragraph_spans(texts: list[str], hyphens: list[bool], most: int = 80) -> li
             g -= 2.5
         gain[i] = -50.0 if hyphens[i - 1] else g
     best, back = [0.0] + [-1e18] * n, [0] * (n + 1)
+    far, top = 0, -math.inf  # of all beginnings LONG lines or more before: their order stays, so the best one is enough
     for j in range(1, n + 1):
-        for i in range(max(0, j - most), j):
-            c = best[i] + gain[i] - 0.5 - 0.1 * max(0, j - i - 40)
+        if j >= LONG and (c := best[j - LONG] + gain[j - LONG] + OVER * (j - LONG)) > top:
+            far, top = j - LONG, c
+        for i in (*((far,) if j >= LONG else ()), *range(max(0, j - LONG + 1), j)):
+            c = best[i] + gain[i] - 0.5 - OVER * max(0, j - i - LONG)
             if c > best[j]:
                 best[j], back[j] = c, i
     out, j = [], n
@@ -382,7 +389,8 @@ class Model:
 def noisy_lines(lines: DataFrame) -> DataFrame:
     """(document_id, stream_index, noise): the lines with furniture, a broken word or a misread one.
 
-    A broken word whose rest stands on the first page of the next chunk is seen there (``doc_chunks``).
+    A broken word whose rest stands on the first page of the next chunk is seen from both (``doc_chunks``): its
+    line is reported by its own chunk, a misreading in its rest by the next.
     Empty lines carry no noise but furniture, and lines of strange words no misreading unless decoding explains
     half of them. No lines: no rows.
     """
@@ -399,7 +407,7 @@ def noisy_lines(lines: DataFrame) -> DataFrame:
                     noise.append(kind)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(at, pa.int32()), pa.array(noise, pa.string())], ["document_id", "stream_index", "noise"])
 
-    return doc_chunks(lines).select("document_id", "lines").mapInArrow(run, "document_id string, stream_index int, noise string")
+    return doc_chunks(lines, back=True).select("document_id", "lines").mapInArrow(run, "document_id string, stream_index int, noise string")
 
 
 def paragraphs(lines: DataFrame) -> DataFrame:
@@ -421,7 +429,7 @@ def paragraphs(lines: DataFrame) -> DataFrame:
             types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], ["document_id", "chunk", "kind", "paragraph", "first_index", "last_index", "text"])
 
-    return doc_chunks(lines).select("document_id", "lines", "chunk").mapInArrow(run, schema)
+    return doc_chunks(lines, back=True).select("document_id", "lines", "chunk").mapInArrow(run, schema)
 
 
 def repaired_labels(labels: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:

@@ -252,6 +252,24 @@ def test_noise_over_tables(spark):
     assert scans.paragraphs(df).where("document_id = 'd1__1'").count() > 0
 
 
+def test_a_paragraph_of_any_length_is_one():
+    texts = ["Every owner shall deposit the fund of the estate"] + ["and any market of the council or such register"] * 200 + ["1. Any estate."]
+    assert scans.paragraph_spans(texts, [False] * len(texts)) == [(0, 201), (201, 202)]
+
+
+def test_a_word_broken_over_a_chunk_end(spark):
+    fill = [[f"every owner of the {x} shall deposit the {y}", f"with the {y} and any market of the {z}"] for x, y, z in ORDERS]
+    pages = [fill[i % 6] for i in range(62)] + [["the owner shall register the certi-"], ["f1cate of every estate"], fill[0]]
+    docs = {f"d{i}__1": [["the certificate of the council and any certificate of the fund"] * 3] for i in range(12)} | {"long__1": pages}
+    df = lines_of(spark, docs)
+    at = 124
+    got = {(r["stream_index"], r["noise"]) for r in scans.noisy_lines(df).where("document_id = 'long__1'").collect()}
+    assert {(at, "hyphen"), (at + 1, "misread")} <= got
+    rows = scans.paragraphs(df).where("document_id = 'long__1'").collect()
+    whole = " ".join(r["text"] for r in sorted(rows, key=lambda r: r["first_index"]))
+    assert "register the certificate of every estate" in whole and "f1cate" not in whole and sum(r["last_index"] - r["first_index"] + 1 for r in rows) <= at + 4
+
+
 # Problem 5
 
 
