@@ -49,6 +49,23 @@ def running_total(rows: DataFrame, key: str, order: str, value: Column, name: st
     return out.withColumn(name, (F.col("_own") + F.col("_before")).cast("bigint")).select(*rows.columns, name)
 
 
+def carried(rows: DataFrame, key: str, order: str, values: dict[str, Column], own: bool = True, ahead: bool = False) -> DataFrame:
+    """Adds each of ``values``: the last one that isn't null over the rows of the same key up to this one in
+    order; with ``own`` false before this one, with ``ahead`` the first one after it instead. Places go in
+    buckets as in ``running_total``, and what the buckets before hold comes from a table of one row a bucket."""
+    at = F.floor(F.col(order) / BUCKET)
+    sort = F.desc if ahead else F.asc
+    frame = lambda w, last: w.rowsBetween(Window.unboundedPreceding, last)
+    w = frame(Window.partitionBy(key, "_bucket").orderBy(sort(order)), 0 if own else -1)
+    inner = rows.withColumn("_bucket", at).withColumns({f"_v{n}": c for n, c in values.items()})
+    pick = F.min_by if ahead else F.max_by
+    ends = inner.groupBy(key, "_bucket").agg(*[pick(f"_v{n}", F.when(F.col(f"_v{n}").isNotNull(), F.col(order))).alias(f"_v{n}") for n in values])
+    v = frame(Window.partitionBy(key).orderBy(sort("_bucket")), -1)
+    before = ends.select(key, "_bucket", *[F.last(f"_v{n}", True).over(v).alias(f"_b{n}") for n in values])
+    out = inner.withColumns({f"_o{n}": F.last(f"_v{n}", True).over(w) for n in values}).join(before, [key, "_bucket"])
+    return out.select(*rows.columns, *[F.coalesce(f"_o{n}", f"_b{n}").alias(n) for n in values])
+
+
 def line_stream(lines: DataFrame) -> DataFrame:
     """Lines that aren't blank with a dense ``line_no`` in document order beside their own index."""
     live = lines.where(~T.is_blank(F.col("text")))

@@ -197,13 +197,56 @@ def test_the_tree_of_an_act(spark):
     rows = lines.line_stream(stream(spark, ACT))
     units = structure.unit_spans(structure.in_sequence(structure.chosen_provisions(structure.anchors(rows))), rows)
     got = {r["key"]: (r["line_no"], r["line_end"]) for r in units.collect()}
-    assert got == {"chapter:I": (2, 3), "chapter:I/section:1": (4, 5), "chapter:I/section:2": (6, 10), "chapter:II": (11, 11), "chapter:II/section:3": (12, 15), "schedule:_": (16, 17)}
+    assert got == {"chapter:I": (2, 10), "chapter:I/section:1": (4, 5), "chapter:I/section:2": (6, 10), "chapter:II": (11, 15), "chapter:II/section:3": (12, 15), "schedule:_": (16, 17)}
     inner = [(r["line_no"], r["line_end"], r["unit_type"], r["label"], r["depth"]) for r in structure.section_bodies(units, rows).orderBy("line_no").collect()]
-    assert inner == [(4, 4, "subsection", "1", 1), (5, 5, "subsection", "2", 1), (7, 7, "clause", "a", 1), (8, 8, "subclause", "i", 2), (9, 9, "subclause", "ii", 2), (10, 10, "clause", "b", 1), (12, 12, "subsection", "1", 1), (13, 13, "proviso", None, 2), (14, 14, "subsection", "2", 1), (15, 15, "explanation", None, 2)]
+    assert inner == [(4, 4, "subsection", "1", 1), (5, 5, "subsection", "2", 1), (7, 9, "clause", "a", 1), (8, 8, "subclause", "i", 2), (9, 9, "subclause", "ii", 2), (10, 10, "clause", "b", 1), (12, 13, "subsection", "1", 1), (13, 13, "proviso", None, 2), (14, 15, "subsection", "2", 1), (15, 15, "explanation", None, 2)]
     assert structure.structure_summary(units).first()["confidence"] == "structured"
     assert [(r["line_no"], r["line_end"]) for r in structure.preambles(rows, structure.anchors(rows)).collect()] == [(1, 1)]
 
 
+HEADINGS = [
+    ("PART II", "part", "II", None), ("Part 3-A. Of Owners", "part", "3-A", "Of Owners"), ("PART VIA — OF FUNDS", "part", "VIA", "OF FUNDS"), ("PART-I", None, None, None), ("Part of the river", None, None, None), ("Part I of the Act shall", None, None, None),
+    ("CHAPTER 5: Duties", "chapter", "5", "Duties"), ("CHAPTER V,", None, None, None), ("Chapter XIIII", "chapter", "XIIII", None),
+    ("THE FIRST SCHEDULE", "schedule", "FIRST", None), ("SCHEDULE II", "schedule", "II", None), ("Second Schedule: Rates", "schedule", "Second", "Rates"), ("THE 3RD SCHEDULE", "schedule", "3RD", None), ("SCHEDULE", "schedule", None, None), ("The schedule of fees", None, None, None), ("the owner", None, None, None),
+    ("APPENDIX B", "appendix", "B", None), ("Appendix 2. Forms", "appendix", "2", "Forms"), ("appendixes to", None, None, None),
+    ("Article 21.", "article", "21", None), ("ARTICLE 370", "article", "370", None), ("Art. 5 Duties", "article", "5", "Duties"), ("Article 14 – Conflict of rights – Whoever", "article", "14", "Conflict of rights"), ("Article 348 of the Act", None, None, None), ("article 4", None, None, None),
+    ("12. Duties of owners.—Whoever holds", "section", "12", "Duties of owners"), ("[12 - A. Fees .-- The fee", "section", "12-A", "Fees"), ("376AB. Fees. – x", "section", "376AB", "Fees"), ("12A. Duties of owners.", "section", "12A", "Duties of owners"), ("12.Duties", None, None, None), ("12345. Duties", None, None, None), ("12 Duties", None, None, None), ("12abc. Duties", None, None, None), ("", None, None, None),
+]
+
+
+def test_headings(spark):
+    rows = spark.createDataFrame([(f"d{i:02d}", 0, 1, t) for i, (t, *_) in enumerate(HEADINGS)], "document_id string, line_no int, page_number int, text string")
+    got = {r["document_id"]: (r["unit_type"], r["number"], r["heading"]) for r in structure.anchors(rows).collect()}
+    assert {HEADINGS[i][0]: got.get(f"d{i:02d}", (None,) * 3) for i in range(len(HEADINGS))} == {t: tuple(x) for t, *x in HEADINGS}
+
+
+def test_captions_below(spark):
+    rows = lines.line_stream(stream(spark, [["CHAPTER V", "OF THE OWNER", "PART I", "(a) BOATS", "SCHEDULE", "Rates of fees", "APPENDIX A", "12. FEES"]]))
+    assert [(r["heading"], r["detected_by"]) for r in structure.anchors(rows).where("unit_type <> 'section'").orderBy("line_no").collect()] == [("OF THE OWNER", "chapter_heading_caption_below"), (None, "part_heading"), (None, "schedule_heading"), (None, "appendix_heading")]
+
+
+def test_units_of_parts_and_schedules(spark):
+    rows = lines.line_stream(stream(spark, [["PART I", "CHAPTER 1", "1. A b.", "PART II", "2. C d.", "x", "SCHEDULE I", "1. E f.", "y", "CHAPTER 2", "3. G h."]]))
+    got = {r["key"]: (r["line_no"], r["line_end"], r["parent_line"]) for r in structure.unit_spans(structure.anchors(rows), rows).collect()}
+    assert got == {"part:I": (0, 2, None), "part:I/chapter:1": (1, 2, 0), "part:I/chapter:1/section:1": (2, 2, 1), "part:II": (3, 5, None), "part:II/section:2": (4, 5, 3), "schedule:I": (6, 8, None), "schedule:I/section:1": (7, 8, 6), "chapter:2": (9, 10, None), "chapter:2/section:3": (10, 10, 9)}
+
+
+@pytest.mark.parametrize("ahead", [False, True])
+def test_carried_over_buckets(spark, monkeypatch, ahead):
+    monkeypatch.setattr(lines, "BUCKET", 7)
+    r = random.Random(2)
+    rows = [(k, i, r.choice([None, None, i])) for k in "ab" for i in range(60) if r.random() < 0.7]
+    got = {(x["k"], x["i"]): x["c"] for x in lines.carried(spark.createDataFrame(rows, "k string, i int, v int"), "k", "i", {"c": F.col("v")}, own=False, ahead=ahead).collect()}
+    near = (lambda k, i: min((v for q, j, v in rows if q == k and j > i and v is not None), default=None)) if ahead else (lambda k, i: max((v for q, j, v in rows if q == k and j < i and v is not None), default=None))
+    assert got == {(k, i): near(k, i) for k, i, _ in rows}
+
+
+def test_titles(spark):
+    rows = lines.line_stream(stream(spark, ACT)).unionByName(lines.line_stream(stream(spark, [["THE HARBOUR RULES OF 1950", "x"]], "e")))
+    docs = spark.createDataFrame([("d", "The River  Act, 1950"), ("e", None), ("f", "Gone"), ("g", " ")], "document_id string, title string")
+    assert {tuple(r) for r in structure.titles(rows, docs).collect()} == {("d", "The River  Act, 1950", "metadata_confirmed_on_page"), ("e", "THE HARBOUR RULES OF 1950", "first_page_heading"), ("f", "Gone", "metadata"), ("g", None, None)}
+
+
 def test_contents_pages_are_left_out(spark):
     toc = ["ARRANGEMENT OF SECTIONS", "1. Short title.", "2. Definitions."]
     listing = [f"{i}. Caption" for i in range(1, 7)]
