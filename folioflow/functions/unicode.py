@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 import unicodedata
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType
+from pyspark.sql.types import BooleanType, StringType
 
-from folioflow.functions.wordlists import TITLE_STOPWORDS
+from folioflow.functions.text import title_words
 
 
 @F.pandas_udf(StringType())
@@ -47,29 +47,19 @@ def slug(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-def _alike(a: str, b: str) -> bool:
-    return a == b or min(len(a), len(b)) >= 5 and difflib.SequenceMatcher(None, a, b).ratio() >= 0.8
+#: Letters of a word from which on a slip is allowed, and letters to one slip.
+LONG_WORD, LETTERS_A_SLIP = 5, 5
 
 
-@F.pandas_udf(DoubleType())
-def title_similarity(x: pd.Series, y: pd.Series) -> pd.Series:
-    """Share of two titles' words that pair up, in order of the first's; long words pair with a slip."""
-
-    def words(t: str | None) -> list[str]:
-        return sorted(set(re.findall("[a-z]+", (t or "").lower())) - set(TITLE_STOPWORDS))
-
-    def one(a: list[str], b: list[str]) -> float:
-        if not a and not b:
-            return 0.0
-        free = list(b)
-        for w in a:
-            hit = next((v for v in free if _alike(w, v)), None)
-            if hit is not None:
-                free.remove(hit)
-        m = len(b) - len(free)
-        return m / (len(a) + len(b) - m)
-
-    return pd.Series([one(words(a), words(b)) for a, b in zip(x, y)])
+def title_similarity(x: Column | str, y: Column | str) -> Column:
+    """Share of two titles' words that pair up; 0 of two titles without words. Equal words pair first; each of
+    the rest, in order, with the first word left over that differs from it by one slip (an edit) in five
+    letters at most, both being long. Columns only."""
+    a, b = (title_words(F.col(c) if isinstance(c, str) else c) for c in (x, y))
+    slip = lambda v, w: (F.least(F.length(v), F.length(w)) >= LONG_WORD) & (F.levenshtein(v, w) * LETTERS_A_SLIP <= F.greatest(F.length(v), F.length(w)))
+    left = F.aggregate(F.array_except(a, b), F.array_except(b, a), lambda free, w: F.array_remove(free, F.coalesce(F.get(F.filter(free, lambda v: slip(v, w)), F.lit(0)), F.lit(""))))
+    paired = F.size(b) - F.size(left)
+    return F.coalesce(F.try_divide(paired.cast("double"), (F.size(a) + F.size(b) - paired).cast("double")), F.lit(0.0))
 
 
 @F.pandas_udf(StringType())

@@ -109,8 +109,13 @@ def clusters(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def numbered(found: DataFrame) -> DataFrame:
-    """Clusters with the name dup-00001 and on, in order of their least member."""
-    names = found.select("cluster").distinct().withColumn("cluster_id", F.format_string("dup-%05d", F.row_number().over(Window.orderBy("cluster"))))
+    """Clusters with the name dup-00001 and on, in order of their least member: numbered within ranges of that
+    member, to which the sizes of the ranges before are added, so that no task orders all clusters."""
+    ranged = cut(found.select("cluster").distinct().repartitionByRange("cluster").select("cluster", F.spark_partition_id().alias("range")))
+    sizes = ranged.groupBy("range").agg(F.count("*").alias("n"))
+    before = sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("cluster")) + F.col("before")
+    names = ranged.join(F.broadcast(before), "range").select("cluster", F.format_string("dup-%05d", place).alias("cluster_id"))
     return found.join(names, "cluster")
 
 

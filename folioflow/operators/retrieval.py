@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
+from folioflow.session import cut
 
 K1, B, MAX_TERMS = 1.2, 0.75, 24
 
@@ -15,25 +16,38 @@ def query_terms(questions: DataFrame, key: str, text: str, most: int = MAX_TERMS
     return questions.select(key, F.explode(F.slice(F.array_distinct(T.content_words(F.col(text))), 1, most)).alias("term"))
 
 
-def postings(units: DataFrame, key: list[str], text: str) -> DataFrame:
-    """(*key, term, tf, dl): how often each term occurs in each unit, beside the unit's length in terms."""
+def postings(units: DataFrame, key: list[str], text: str, terms: DataFrame | None = None) -> DataFrame:
+    """(*key, term, tf, dl): how often each term occurs in each unit, beside the unit's length in terms. With
+    ``terms`` (term) of those only: other words are dropped in the scan's own tasks, where Spark can broadcast
+    the terms, before anything is counted or shuffled."""
     words = units.select(*key, T.content_words(F.col(text)).alias("words"))
-    return words.select(*key, F.size("words").alias("dl"), F.explode("words").alias("term")).groupBy(*key, "dl", "term").agg(F.count("*").alias("tf"))
+    rows = words.select(*key, F.size("words").alias("dl"), F.explode("words").alias("term"))
+    if terms is not None:
+        rows = rows.join(terms.select("term").distinct(), "term", "left_semi")
+    return rows.groupBy(*key, "dl", "term").agg(F.count("*").alias("tf"))
 
 
-def corpus_statistics(index: DataFrame, units: int, key: list[str]) -> tuple[DataFrame, float]:
-    """(term, idf) of an index, and the mean length of the units that hold a term."""
-    df = index.groupBy("term").agg(F.count("*").alias("df"))
-    mean = index.select(*key, "dl").distinct().agg(F.avg("dl")).first()[0] or 1.0
-    return df.select("term", F.log(1 + (units - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")), float(mean)
+def unit_statistics(units: DataFrame, text: str) -> tuple[int, float]:
+    """How many units there are, and the mean length in terms of those that hold one: one aggregate."""
+    n = F.size(T.content_words(F.col(text)))
+    many, mean = units.agg(F.count("*"), F.avg(F.when(n > 0, n))).first()
+    return many, float(mean or 1.0)
 
 
-def bm25(terms: DataFrame, index: DataFrame, units: int, query: str, key: list[str], top: int, within: DataFrame | None = None) -> DataFrame:
-    """(query, *key, score, rank): the ``top`` units of each query by BM25, ties by key. ``within`` restricts
-    them to (query, key...) pairs. The index is filtered to the queries' terms before anything is joined, and
-    each task ranks what it has first, so the last window sees ``top`` rows a task and query."""
-    idf, mean = corpus_statistics(index, units, key)
-    wanted = index.join(terms.select("term").distinct(), "term", "left_semi").join(idf, "term")
+def search(terms: DataFrame, units: DataFrame, query: str, key: list[str], text: str, top: int, within: DataFrame | None = None) -> DataFrame:
+    """(query, *key, score, rank) of the ``top`` units by BM25 over the units' texts (``bm25``)."""
+    index = cut(postings(units, key, text, terms))
+    return bm25(terms, index, *unit_statistics(units, text), query, key, top, within)
+
+
+def bm25(terms: DataFrame, index: DataFrame, units: int, mean: float, query: str, key: list[str], top: int, within: DataFrame | None = None) -> DataFrame:
+    """(query, *key, score, rank): the ``top`` units of each query by BM25, ties by key. ``index`` holds the
+    postings of the queries' terms in all units, of which there are ``units`` with ``mean`` terms. ``within``
+    restricts the result to (query, key...) pairs. Each task ranks what it has first, so the last window sees
+    ``top`` rows a task and query."""
+    df = F.col("df")
+    idf = index.groupBy("term").agg(F.count("*").alias("df")).select("term", F.log(1 + (units - df + 0.5) / (df + 0.5)).alias("idf"))
+    wanted = index.join(idf, "term")
     score = F.sum(F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / mean)))
     hits = terms.join(wanted, "term")
     if within is not None:

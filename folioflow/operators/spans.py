@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,18 +45,19 @@ def keep_novel(spans: list[tuple[str, int, int]], budget: int) -> list[tuple[int
 def within_budget(spans: DataFrame, budgets: list[int]) -> DataFrame:
     """(question_id, budget, rank, document_id, start, end): the pieces of ranked spans that count for each
     budget. One question's ranked spans are one group; a ranking is as long as its retriever makes it."""
-    import pandas as pd
-
-    schema = "question_id string, budget bigint, rank int, document_id string, start bigint, end bigint"
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("rank")
-        q = part["question_id"].iloc[0]
-        listed = list(zip(part["document_id"], part["start"], part["end"]))
-        rows = [(q, b, *piece) for b in budgets for piece in keep_novel(listed, b)]
-        return pd.DataFrame(rows, columns=["question_id", "budget", "rank", "document_id", "start", "end"])
-
-    return spans.select("question_id", "rank", "document_id", "start", "end").groupBy("question_id").applyInPandas(run, schema)
+    names = ["question_id", "budget", "rank", "document_id", "start", "end"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for q, listed in zip(*(c.to_pylist() for c in batch.columns)):
+                ranked = [(x["document_id"], x["start"], x["end"]) for x in listed]
+                rows += [(q, b, *piece) for b in budgets for piece in keep_novel(ranked, b)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], names)
+
+    ranked = spans.groupBy("question_id").agg(F.array_sort(F.collect_list(F.struct("rank", "document_id", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end")))).alias("listed"))
+    return ranked.mapInArrow(run, "question_id string, budget bigint, rank int, document_id string, start bigint, end bigint")
 
 
 def gold_locations(questions: DataFrame) -> DataFrame:

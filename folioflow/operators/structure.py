@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.operators.lines import carried
-from folioflow.session import cut
+from folioflow.session import stage
 
 # The words that open headings, notes and enacting formulas, and the marks around numbers.
 ORDINALS = ("first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth", "eleventh", "twelfth")
@@ -247,9 +247,9 @@ def anchors(lines: DataFrame) -> DataFrame:
     line stream (``operators.lines.line_stream``) off its contents pages (``heading_of``). A division without a
     caption of its own takes the next line, if that is one (``..._caption_below``).
 
-    The readings are checkpointed: they are few lines and used several times.
+    The readings are written to the shared folder: they are few lines and used several times.
     """
-    read = cut(_readings(lines, "document_id", "line_no", "page_number"))
+    read = stage(_readings(lines, "document_id", "line_no", "page_number"), "readings")
     found = read.where("unit_type is not null").join(_contents(read, lines), ["document_id", "page_number"], "left_anti")
     bare = found.where(F.col("heading").isNull() & ~F.col("unit_type").isin(*PROVISIONS)).select("document_id", "line_no")
     below = lines.where(_is_caption(F.col("text"))).select("document_id", (F.col("line_no") - 1).alias("line_no"), F.col("text").alias("_below"))

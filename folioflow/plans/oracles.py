@@ -85,13 +85,61 @@ LANGUAGE = f"""SELECT doc_id, n AS clean_word_count, round(rate, 4) AS function_
  SELECT doc_id, len(w) AS n, CASE WHEN len(w) = 0 THEN 0.0 ELSE CAST(len(h) AS DOUBLE) / len(w) END AS rate, len(list_distinct(h)) AS distinct_function_words, letters, CASE WHEN letters = 0 THEN 0.0 ELSE (letters - latin) / CAST(letters AS DOUBLE) END AS other FROM (
  SELECT doc_id, w, list_filter(w, lambda x: list_contains({_list(FUNCTION_WORDS)}, x)) AS h, letters, latin FROM (SELECT doc_id, {_CLEAN} AS w, {_LETTERS} AS letters, {_LATIN} AS latin FROM documents)))"""
 
-DASH = "(?:[‐-―−]+|-{1,3})"
-NUMBER = "[0-9]{1,4}(?:\\s?-\\s?[A-Z]{1,3}|[A-Z]{1,3})?"
-SECTION_DASH = f"^\\s*(?:\\[\\s*)?({NUMBER})\\s*\\.\\s*(\\S.{{0,198}}?)\\s*\\.\\s*{DASH}\\s*"
-TOC_ENTRY, TOC_NUMBER = f"^\\s*{NUMBER}\\s*\\.\\s+\\S.{{0,118}}$", f"^\\s*{NUMBER}\\s*\\.?\\s*$"
-TOC_MARKER = "(?i)^\\s*(?:ARRANGEMENT\\s+OF\\s+(?:SECTIONS?|RULES?|REGULATIONS?|CLAUSES?|CHAPTERS?|PARAGRAPHS?)|TABLE\\s+OF\\s+CONTENTS?|CONTENTS?|INDEX|SECTIONS?)\\s*[.:]?\\s*$"
-CONTENTS = f"""(SELECT document_id, page_number FROM (SELECT document_id, page_number, count(*) AS n, count(*) FILTER (WHERE NOT regexp_matches(text, '{SECTION_DASH}') AND (regexp_matches(text, '{TOC_ENTRY}') OR regexp_matches(text, '{TOC_NUMBER}'))) AS entries,
- bool_or(regexp_matches(text, '{TOC_MARKER}')) AS named FROM {LINES} GROUP BY 1, 2) WHERE named OR (entries >= 5 AND entries * 2 >= n))"""
+# Provisions are read by what stands before a line's first full stop and what closes the caption after it. The
+# tables have no parts, chapters, schedules or articles; those readings are held against a table of cases in the tests.
+_BARE = "regexp_replace(text, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g')"
+_CONTENTS = _list(("index", "section", "sections", "content", "contents", "table of content", "table of contents", *(f"arrangement of {x}{s}" for x in ("section", "rule", "regulation", "clause", "chapter", "paragraph") for s in ("", "s"))))
+_NUMBERED = "regexp_full_match(number, '[0-9]{1,4}(-?[A-Z]{1,3})?')"
+
+
+def _read(lines: str) -> str:
+    return f"""(SELECT *, regexp_replace(trim(rest), '\\s*\\.$', '') AS plain, CASE WHEN {_NUMBERED} AND stopped AND length(closed) BETWEEN 1 AND 199 THEN closed END AS dashed FROM (
+ SELECT *, regexp_extract(rest, '^\\s*(\\S.*?)\\s*\\.\\s*[‐‑‒–—―-]', 1) AS closed FROM (
+ SELECT *, regexp_replace(rtrim(split_part(inside, '.', 1)), '\\s?-\\s?', '-') AS number, contains(inside, '.') AS stopped, substr(inside, length(split_part(inside, '.', 1)) + 2) AS rest FROM (
+ SELECT *, regexp_replace(bare, '^\\[\\s*', '') AS inside FROM (SELECT *, {_BARE} AS bare FROM {lines}))) WHERE regexp_matches(inside, '^[0-9]') OR list_contains({_CONTENTS}, regexp_replace(lower(bare), '[.:]+$', ''))))"""
+
+
+def _contents(lines: str) -> str:
+    entry = f"NOT starts_with(bare, '[') AND {_NUMBERED} AND (NOT stopped OR trim(rest) = '' OR (regexp_matches(rest, '^\\s') AND length(trim(rest)) <= 119 AND dashed IS NULL))"
+    return f"""(SELECT document_id, page_number FROM (SELECT document_id, page_number, count(*) FILTER (WHERE {entry}) AS entries, bool_or(list_contains({_CONTENTS}, regexp_replace(lower(bare), '[.:]+$', ''))) AS named FROM {_read(lines)} GROUP BY 1, 2)
+ JOIN (SELECT document_id, page_number, count(*) AS n FROM {lines} GROUP BY 1, 2) USING (document_id, page_number) WHERE named OR (entries >= 5 AND entries * 2 >= n))"""
+
+
+CONTENTS = _contents(LINES)
+ANCHORS = f"""(SELECT document_id, line_no, page_number, 'section' AS unit_type, number, CASE WHEN dashed IS NOT NULL THEN 'numbered_heading_dash' ELSE 'numbered_heading_line' END AS detected_by FROM {_read(STREAM)} r
+ WHERE {_NUMBERED} AND stopped AND (dashed IS NOT NULL OR (regexp_matches(rest, '^\\s') AND length(plain) BETWEEN 1 AND 199 AND length(bare) <= 200)) AND NOT EXISTS (SELECT 1 FROM {_contents(STREAM)} c WHERE c.document_id = r.document_id AND c.page_number = r.page_number))"""
+FORMULA = "regexp_matches(lower(text), '(^|\\s)(an\\s+act\\s+to|an\\s+act\\s+further\\s+to|whereas|be\\s+it\\s+enacted|in\\s+exercise\\s+of\\s+the\\s+powers\\s+conferred)([^a-z0-9]|$)')"
+
+# The characters of ranked spans that no earlier span of the document holds: between any two ends the least rank.
+RANKED = f"(SELECT question_id, document_id, rank, greatest(0, start - 200) AS start, \"end\" + 200 AS \"end\" FROM (SELECT question_id, CAST(row_number() OVER (PARTITION BY question_id ORDER BY CAST(location > 0 AS INTEGER), CAST(requirement <> 'required' AS INTEGER), g, location) AS INTEGER) AS rank, x.document_id AS document_id, x.char_start AS start, x.char_end AS \"end\" FROM {GOLD}))"
+NOVEL = f"""(WITH s AS (SELECT * FROM {RANKED} WHERE "end" > start), pt AS (SELECT question_id, document_id, start AS a FROM s UNION SELECT question_id, document_id, "end" FROM s),
+ seg AS (SELECT *, lead(a) OVER (PARTITION BY question_id, document_id ORDER BY a) AS b FROM pt),
+ own AS (SELECT seg.question_id, seg.document_id, a, b, min(rank) AS rank FROM seg JOIN s ON s.question_id = seg.question_id AND s.document_id = seg.document_id AND s.start <= a AND s."end" >= b GROUP BY 1, 2, 3, 4),
+ isl AS (SELECT *, sum(fresh) OVER (PARTITION BY question_id, document_id, rank ORDER BY a ROWS UNBOUNDED PRECEDING) AS i FROM (SELECT *, CASE WHEN lag(b) OVER (PARTITION BY question_id, document_id, rank ORDER BY a) = a THEN 0 ELSE 1 END AS fresh FROM own))
+ SELECT *, coalesce(sum(b - a) OVER (PARTITION BY question_id ORDER BY rank, a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT question_id, document_id, rank, min(a) AS a, max(b) AS b FROM isl GROUP BY question_id, document_id, rank, i))"""
+PIECES = f"(SELECT question_id, budget, rank, document_id, a AS start, CAST(least(b, a + budget - before) AS BIGINT) AS \"end\" FROM {NOVEL}, (VALUES (2000), (8000), (32000)) b(budget) WHERE before < budget)"
+SPANS_SCORED = f"""(WITH p AS MATERIALIZED (SELECT * FROM {PIECES}), gold AS (SELECT question_id, group_id, requirement, location, x.document_id AS document_id, x.char_start AS cs, x.char_end AS ce FROM {GOLD}),
+ held AS (SELECT g.question_id, g.group_id, g.requirement, g.location, g.budget, ce - cs AS n, coalesce(sum(greatest(0, least(p."end", ce) - greatest(p.start, cs))) FILTER (WHERE p.start IS NOT NULL), 0) AS o FROM (SELECT * FROM gold, (VALUES (2000), (8000), (32000)) b(budget)) g LEFT JOIN p ON p.question_id = g.question_id AND p.document_id = g.document_id AND p.budget = g.budget GROUP BY g.question_id, g.group_id, g.requirement, g.location, g.document_id, g.budget, cs, ce),
+ grp AS (SELECT question_id, budget, group_id, requirement, max(CASE WHEN n > 0 AND CAST(o AS DOUBLE) / n >= 0.5 THEN 1 ELSE 0 END) AS hit, sum(o) AS o FROM held GROUP BY 1, 2, 3, 4)
+ SELECT question_id, category, budget, recall, all_required, coalesce(docs, 0) / CAST(gold_docs AS DOUBLE) AS document_recall, CASE WHEN used > 0 THEN o / CAST(used AS DOUBLE) END AS precision, CAST(coalesce(used, 0) AS BIGINT) AS used FROM
+ (SELECT question_id, budget, avg(hit) AS recall, min(hit) FILTER (WHERE requirement = 'required') AS all_required, sum(o) AS o FROM grp GROUP BY 1, 2)
+ JOIN (SELECT question_id, count(DISTINCT document_id) AS gold_docs FROM gold GROUP BY 1) USING (question_id)
+ LEFT JOIN (SELECT question_id, budget, count(DISTINCT document_id) AS docs FROM p WHERE (question_id, document_id) IN (SELECT (question_id, document_id) FROM gold) GROUP BY 1, 2) USING (question_id, budget)
+ LEFT JOIN (SELECT question_id, budget, sum("end" - start) AS used FROM p GROUP BY 1, 2) USING (question_id, budget) JOIN (SELECT question_id, category FROM {ASKED}) USING (question_id))"""
+RECIPROCAL = f"""WITH p AS (SELECT * FROM {PIECES} WHERE budget = 32000), o AS (SELECT l.question_id, l.group_id, l.location, l.x.char_start AS cs, l.x.char_end AS ce, p.rank, sum(greatest(0, least(p."end", l.x.char_end) - greatest(p.start, l.x.char_start))) AS o FROM {GOLD} l JOIN p ON p.question_id = l.question_id AND p.document_id = l.x.document_id GROUP BY ALL),
+ hit AS (SELECT question_id, group_id, min(rank) AS rank FROM (SELECT *, sum(o) OVER (PARTITION BY question_id, group_id, location ORDER BY rank ROWS UNBOUNDED PRECEDING) AS got FROM o) WHERE got >= 0.5 * (ce - cs) GROUP BY 1, 2),
+ per AS (SELECT question_id, avg(coalesce(1.0 / rank, 0.0)) AS rr FROM (SELECT DISTINCT question_id, group_id FROM {GOLD}) LEFT JOIN hit USING (question_id, group_id) GROUP BY 1)
+ SELECT category, round(avg(rr), 4) AS mrr, count(*) AS questions FROM per JOIN (SELECT question_id, category FROM {ASKED}) USING (question_id) GROUP BY 1"""
+_PLAIN = "lower(trim(regexp_replace({}, '[\\s\\x{{00A0}}]+', ' ', 'g')))"
+_STATED = "len(list_filter(range(1, len(parts)), lambda i: NOT regexp_matches(right(parts[i], 1), '[a-z0-9]') AND NOT regexp_matches(left(parts[i + 1], 1), '[a-z0-9]'))) > 0"
+ANSWERS = f"""WITH a AS (SELECT question_id, '"' || coalesce(gold_answer, '') || '"' AS answer, must_cite, required_facts FROM {ASKED}),
+ fact AS (SELECT question_id, avg(hit) AS facts FROM (SELECT question_id, n, max(CAST({_STATED} AS INTEGER)) AS hit FROM (SELECT question_id, n, string_split({_PLAIN.format("answer")}, {_PLAIN.format("wording")}) AS parts FROM (SELECT question_id, answer, n, unnest(required_facts[n]) AS wording FROM (SELECT *, unnest(range(1, len(required_facts) + 1)) AS n FROM a))) GROUP BY 1, 2) GROUP BY 1),
+ cited AS (SELECT question_id, c.document_id AS document_id, c.key AS key FROM (SELECT question_id, unnest(list_distinct(must_cite)) AS c FROM a)), gold AS (SELECT DISTINCT question_id, group_id, x.document_id AS document_id, x.key AS key FROM {GOLD}),
+ named AS (SELECT question_id, avg(CASE WHEN (question_id, document_id, key) IN (SELECT (question_id, document_id, key) FROM gold) THEN 1 ELSE 0 END) AS cp FROM cited GROUP BY 1),
+ found AS (SELECT question_id, avg(hit) AS cr FROM (SELECT question_id, group_id, max(CASE WHEN (question_id, document_id, key) IN (SELECT (question_id, document_id, key) FROM cited) THEN 1 ELSE 0 END) AS hit FROM gold GROUP BY 1, 2) GROUP BY 1),
+ said AS (SELECT DISTINCT question_id, unnest(list_concat(regexp_extract_all(answer, '"([^"]{{12,}})"', 1), regexp_extract_all(answer, '“([^”]{{12,}})”', 1))) AS quote FROM a),
+ held AS (SELECT question_id, count(*) AS quotes, avg(hit) AS grounded FROM (SELECT s.question_id, s.quote, max(CASE WHEN contains(t.text, s.quote) THEN 1 ELSE 0 END) AS hit FROM said s LEFT JOIN (SELECT DISTINCT question_id, document_id FROM cited) c ON c.question_id = s.question_id LEFT JOIN {PAGES} t ON t.document_id = c.document_id GROUP BY 1, 2) GROUP BY 1)
+ SELECT question_id, round(facts, 4) AS facts, round(cp, 4) AS citation_precision, round(cr, 4) AS citation_recall, round(grounded, 4) AS grounded, coalesce(quotes, 0) AS quotes FROM a LEFT JOIN fact USING (question_id) LEFT JOIN named USING (question_id) LEFT JOIN found USING (question_id) LEFT JOIN held USING (question_id)"""
 
 WINDOWS = "(SELECT doc_id, text, CAST(s AS INTEGER) AS start, CAST(least(s + 1200, length(text)) AS INTEGER) AS \"end\", substring(text, CAST(s AS BIGINT) + 1, 1200) AS body FROM (SELECT doc_id, text, unnest(range(0, CAST(greatest(0, ceil((length(text) - 1200) / 900.0)) AS BIGINT) * 900 + 1, 900)) AS s FROM documents WHERE length(text) > 0))"
 TERMS = f"(SELECT DISTINCT item_id, unnest(list_slice(list_filter(w, lambda x, i: list_position(w, x) = i), 1, 24)) AS term FROM (SELECT item_id, {_content('text')} AS w FROM eval_items))"
@@ -118,6 +166,17 @@ LABELS = f"(SELECT document_id, first(verdict ORDER BY assessed_at DESC NULLS LA
 LATEST_INVENTORY = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY discovered_at DESC NULLS LAST, year DESC NULLS LAST) AS _n FROM inventory) WHERE _n = 1)"
 
 ORACLES: dict[str, str] = {
+    "anchors": f"SELECT document_id, line_no, unit_type, number, detected_by FROM {ANCHORS}",
+    "provision_style": f"SELECT *, CASE WHEN dashed >= 3 THEN 'dash' WHEN plain >= 3 THEN 'line' WHEN dashed > 0 THEN 'dash' ELSE 'line' END AS style FROM (SELECT document_id, CAST(0 AS BIGINT) AS articles, count(*) FILTER (WHERE detected_by = 'numbered_heading_dash') AS dashed, count(*) FILTER (WHERE detected_by = 'numbered_heading_line') AS plain FROM {ANCHORS} GROUP BY 1)",
+    "ascending_numbers": f"SELECT document_id, pairs, CASE WHEN pairs >= 4 THEN round(CAST(up AS DOUBLE) / pairs, 4) END AS share FROM (SELECT document_id, count(before) AS pairs, count(*) FILTER (WHERE n >= before) AS up FROM (SELECT *, lag(n) OVER (PARTITION BY document_id ORDER BY line_no) AS before FROM (SELECT *, CAST(regexp_extract(number, '^[0-9]+') AS INTEGER) AS n FROM {ANCHORS})) GROUP BY 1)",
+    "number_ambiguity": f"SELECT unit_type, number, count(DISTINCT document_id) AS documents FROM {ANCHORS} GROUP BY 1, 2",
+    "cross_references": f"SELECT DISTINCT s.document_id, s.number, s.line_no, h.target FROM (SELECT document_id, line_no, unnest(regexp_extract_all(text, '\\b[Ss]ections?\\s+([0-9]{{1,4}}[A-Z]{{0,3}})\\b', 1)) AS number FROM {STREAM}) s JOIN (SELECT document_id, number, min(line_no) AS target FROM {ANCHORS} GROUP BY 1, 2 HAVING count(*) = 1) h USING (document_id, number) WHERE s.line_no <> h.target",
+    "preambles": f"SELECT s.document_id, min(s.line_no) AS line_no, greatest(min(s.line_no), coalesce(min(f.first) - 1, min(l.last))) AS line_end FROM {STREAM} s LEFT JOIN (SELECT document_id, min(line_no) AS first FROM {ANCHORS} GROUP BY 1) f ON f.document_id = s.document_id JOIN (SELECT document_id, max(line_no) AS last FROM {STREAM} GROUP BY 1) l ON l.document_id = s.document_id WHERE {FORMULA} AND s.line_no < coalesce(f.first, 2147483647) AND NOT EXISTS (SELECT 1 FROM {_contents(STREAM)} c WHERE c.document_id = s.document_id AND c.page_number = s.page_number) GROUP BY 1",
+    "budget_pieces": f"SELECT question_id, CAST(budget AS BIGINT) AS budget, rank, document_id, start, \"end\" FROM {PIECES}",
+    "question_scores": f"SELECT question_id, category, CAST(budget AS BIGINT) AS budget, round(recall, 4) AS recall, round(document_recall, 4) AS document_recall, round(precision, 4) AS precision, used FROM {SPANS_SCORED}",
+    "score_report": f"SELECT category, CAST(budget AS BIGINT) AS budget, count(*) AS questions, round(avg(recall), 4) AS recall, round(avg(all_required), 4) AS all_required, round(avg(document_recall), 4) AS document_recall, round(avg(precision), 4) AS precision, round(avg(used), 4) AS used, count(*) FILTER (WHERE used = 0) AS empty FROM {SPANS_SCORED} GROUP BY 1, 2",
+    "mean_reciprocal_rank": RECIPROCAL,
+    "gold_answer_scores": ANSWERS,
     "corpus_identity": f"SELECT c.document_id, c.category, c.title, coalesce(c.year, i.year) AS year, coalesce(c.enactment_date, i.enactment_date) AS enactment_date, i.year IS NOT NULL AS listed FROM corpus_documents c LEFT JOIN {LATEST_INVENTORY} i USING (document_id)",
     "documents_without_lines": "SELECT document_id, category FROM corpus_documents WHERE document_id NOT IN (SELECT document_id FROM page_lines WHERE document_id IS NOT NULL)",
     "listings_merged": "SELECT dedup_key, arg_min(document_id, (discovered_at, document_id)) AS document_id, "
@@ -144,7 +203,7 @@ ORACLES: dict[str, str] = {
     "cluster_names": f"SELECT node AS doc_id, 'dup-' || lpad(CAST(dense_rank() OVER (ORDER BY cluster) AS VARCHAR), 5, '0') AS cluster_id FROM {CLUSTERS}",
     "cluster_representatives": f"SELECT cluster, node AS doc_id, n_chars FROM (SELECT c.cluster, c.node, d.n_chars, row_number() OVER (PARTITION BY c.cluster ORDER BY d.n_chars DESC, c.node) AS r FROM {CLUSTERS} c JOIN documents d ON d.doc_id = c.node) WHERE r = 1",
     "shared_passages": "SELECT class_hash, count(DISTINCT doc_id) AS documents, count(*) AS spans, min(doc_id) AS first FROM (SELECT doc_id, sha256(trim(regexp_replace(line, '[\\s\\x{00A0}]+', ' ', 'g'))) AS class_hash FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) >= 40) GROUP BY 1 HAVING count(DISTINCT doc_id) > 1",
-    "title_pairs": f"WITH t AS (SELECT document_id, {TITLES} AS w FROM corpus_documents WHERE title IS NOT NULL), e AS (SELECT document_id, unnest(w) AS word FROM t), k AS (SELECT e.* FROM e JOIN (SELECT word FROM e GROUP BY 1 HAVING count(*) BETWEEN 2 AND 20) USING (word)) SELECT a, b, likeness FROM (SELECT p.a, p.b, round(CAST(len(list_intersect(x.w, y.w)) AS DOUBLE) / len(list_distinct(list_concat(x.w, y.w))), 4) AS likeness FROM (SELECT DISTINCT k.document_id AS a, l.document_id AS b FROM k JOIN k l ON l.word = k.word AND k.document_id < l.document_id) p JOIN t x ON x.document_id = p.a JOIN t y ON y.document_id = p.b) WHERE likeness >= 0.5",
+    "title_pairs": f"WITH t AS (SELECT document_id, {TITLES} AS w FROM corpus_documents WHERE title IS NOT NULL) SELECT a, b, likeness FROM (SELECT x.document_id AS a, y.document_id AS b, round(CAST(len(list_intersect(x.w, y.w)) AS DOUBLE) / len(list_distinct(list_concat(x.w, y.w))), 4) AS likeness FROM t x JOIN t y ON x.document_id < y.document_id WHERE len(x.w) > 0 AND len(y.w) > 0) WHERE likeness >= 0.5",
     "text_signals": f"SELECT doc_id, characters, word_count, token_count, mean_word_length, single_char_rate, mixed_case_rate, alnum_mix_rate, common_word_rate, vowelless_ratio, replacement_char_count FROM {SIGNALS} documents)",
     "quality_panel": PANEL,
     "page_verdicts": f"SELECT document_id, page_number, word_count, CASE WHEN word_count < 60 THEN 'unjudged' WHEN mean_word_length < 4.2 OR single_char_rate > 0.12 OR mixed_case_rate > 0.01 THEN 'suspect' ELSE 'good' END AS verdict FROM {SIGNALS} {PAGES})",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from folioflow.functions import text as T
 from folioflow.functions import unicode as U
 from folioflow.operators import dedup, dq, journal, lines, panels, retrieval, sampling, spans, stats, structure
-from folioflow.session import cut
+from folioflow.session import cut, stage
 from folioflow.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -335,7 +335,7 @@ def table_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, d: str) -> DataFrame:
-    return cut(lines.line_stream(lines.deduplicated(table(spark, d, "page_lines"))).select("document_id", "line_no", "page_number", "text"))
+    return stage(lines.line_stream(lines.deduplicated(table(spark, d, "page_lines"))).select("document_id", "line_no", "page_number", "text"), "stream")
 
 
 @query
@@ -423,9 +423,10 @@ def _terms(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def bm25_documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    index = cut(retrieval.postings(docs, ["doc_id"], "text"))
-    return retrieval.bm25(_terms(spark, d), index, docs.count(), "item_id", ["doc_id"], 10).select("item_id", "doc_id", "rank")
+    return retrieval.search(_terms(spark, d), table(spark, d, "documents"), "item_id", ["doc_id"], "text", 10).select("item_id", "doc_id", "rank")
+
+
+WINDOW_KEY = ["doc_id", "start", "end"]
 
 
 def _windows(spark: SparkSession, d: str) -> DataFrame:
@@ -434,18 +435,15 @@ def _windows(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def bm25_windows(spark: SparkSession, d: str) -> DataFrame:
-    w = _windows(spark, d)
-    index = cut(retrieval.postings(w, ["doc_id", "start", "end"], "body"))
-    found = retrieval.bm25(_terms(spark, d), index, w.count(), "item_id", ["doc_id", "start", "end"], retrieval.window_count(2000))
+    found = retrieval.search(_terms(spark, d), _windows(spark, d), "item_id", WINDOW_KEY, "body", retrieval.window_count(2000))
     return retrieval.fill_budget(found, "item_id", 2000).select("item_id", "rank", "doc_id", "start", "end")
 
 
 @query
 def bm25_two_stage(spark: SparkSession, d: str) -> DataFrame:
-    docs, w, terms = table(spark, d, "documents"), _windows(spark, d), _terms(spark, d)
-    first = retrieval.bm25(terms, cut(retrieval.postings(docs, ["doc_id"], "text")), docs.count(), "item_id", ["doc_id"], 5).select("item_id", "doc_id")
-    index = cut(retrieval.postings(w, ["doc_id", "start", "end"], "body"))
-    found = retrieval.bm25(terms, index, w.count(), "item_id", ["doc_id", "start", "end"], retrieval.window_count(2000), within=cut(first))
+    terms = _terms(spark, d)
+    first = retrieval.search(terms, table(spark, d, "documents"), "item_id", ["doc_id"], "text", 5).select("item_id", "doc_id")
+    found = retrieval.search(terms, _windows(spark, d), "item_id", WINDOW_KEY, "body", retrieval.window_count(2000), within=cut(first))
     return retrieval.fill_budget(found, "item_id", 2000).select("item_id", "rank", "doc_id", "start", "end")
 
 
@@ -463,7 +461,7 @@ def oracle_spans(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pieces(spark: SparkSession, d: str) -> DataFrame:
-    return spans.within_budget(retrieval.oracle_spans(_asked(spark, d), noise=200), BUDGETS)
+    return cut(spans.within_budget(retrieval.oracle_spans(_asked(spark, d), noise=200), BUDGETS))
 
 
 @query
@@ -504,9 +502,8 @@ def gold_answer_scores(spark: SparkSession, d: str) -> DataFrame:
     """The given answers, quoted whole and with their own citations, against facts, evidence and page texts."""
     asked = _asked(spark, d)
     answers = asked.select("question_id", F.concat(F.lit('"'), F.coalesce("gold_answer", F.lit("")), F.lit('"')).alias("answer"), F.col("must_cite").alias("citations"))
-    texts = _pages(spark, d).groupBy("document_id").agg(F.max("text").alias("text"))
-    out = spans.answer_scores(asked, answers, texts)
-    return out.select("question_id", F.round("facts", 4).alias("facts"), F.round("citation_precision", 4).alias("citation_precision"), F.round("citation_recall", 4).alias("citation_recall"), "quotes")
+    out = spans.answer_scores(asked, answers, _pages(spark, d))
+    return out.select("question_id", *[F.round(c, 4).alias(c) for c in ("facts", "citation_precision", "citation_recall", "grounded")], "quotes")
 
 
 # Samples

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Folders of a kept table; a batch rewrites those that its keys fall in.
+BUCKETS = 256
+
+
 def latest_stream(stream: DataFrame, key: str, order: str) -> DataFrame:
     """The last record of each key so far, for output mode ``update`` or ``complete``: an aggregation whose
     state is one row a key."""
@@ -25,18 +29,23 @@ def without_repeats(stream: DataFrame, key: list[str], time: str, late: str = "2
 
 
 def into_table(stream: DataFrame, path: str, checkpoint: str, key: str, order: Column | str):  # noqa: ANN201
-    """A query that keeps a Parquet table of latest rows: each batch is merged with the version before and
-    written as the next, so a failed batch leaves the last whole one."""
+    """A query that keeps a Parquet table of latest rows, in ``BUCKETS`` folders by the hash of the key.
+
+    Each batch reads and rewrites only the folders that its keys fall in. Taking the latest row is idempotent,
+    so a batch that failed halfway is made good by its own repetition. Only the absence of the table, which
+    is looked up, counts as a first batch; any failure to read it ends the query.
+    """
 
-    def merge(batch: DataFrame, n: int) -> None:
+    def merge(batch: DataFrame, n: int) -> None:  # noqa: ARG001
         from folioflow.operators.journal import latest
 
         spark = batch.sparkSession
-        try:
-            held = spark.read.parquet(f"{path}/v{n - 1}")
-            rows = held.select(batch.columns).unionByName(batch)
-        except Exception:  # noqa: BLE001  # the first batch has no table before it
-            rows = batch
-        latest(rows, key, order).write.mode("overwrite").parquet(f"{path}/v{n}")
+        rows = batch.where(F.col(key).isNotNull()).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+            touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # BUCKETS at most
+            rows = spark.read.parquet(path).where(F.col("bucket").isin(touched)).select(rows.columns).unionByName(rows)
+        kept = latest(rows, key, order).repartition("bucket")
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

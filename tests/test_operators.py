@@ -48,6 +48,21 @@ def test_components_of_many_levels(spark, monkeypatch):
     assert {r[0] for r in graph.connected_components(df).select("component").distinct().collect()} == {0}
 
 
+def test_components_that_forests_alone_would_not_shrink(spark, monkeypatch):
+    monkeypatch.setattr(graph, "FOREST_EDGES", 40)
+    r = random.Random(3)
+    names = list(range(900))
+    r.shuffle(names)
+    edges = [(names[i], names[i + 1]) for i in range(899) if i % 300] + [(2000, 2001), (5000, 5000)]
+    r.shuffle(edges)
+    got = {x["node"]: x["component"] for x in graph.connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(8)).collect()}
+    want = {}
+    for at in ((0,), range(1, 301), range(301, 601), range(601, 900)):
+        own = [names[i] for i in at]
+        want |= {x: min(own) for x in own if len(own) > 1}
+    assert got == want | {2000: 2000, 2001: 2000, 5000: 5000}
+
+
 def test_components_of_strings_nulls_and_nothing(spark):
     df = spark.createDataFrame([("b", "a"), (None, "x"), ("c", None), ("é", "z")], "a string, b string")
     assert {tuple(r) for r in graph.connected_components(df).collect()} == {("a", "a"), ("b", "a"), ("z", "z"), ("é", "z")}
@@ -290,7 +305,7 @@ def test_bm25_against_the_formula(spark):
     df = spark.createDataFrame(list(docs.items()), "doc_id int, text string")
     q = spark.createDataFrame([(1, "river owner of the boat"), (2, "the of")], "item_id int, text string")
     terms = retrieval.query_terms(q, "item_id", "text")
-    got = {(r["item_id"], r["doc_id"]): r["score"] for r in retrieval.bm25(terms, retrieval.postings(df, ["doc_id"], "text"), 4, "item_id", ["doc_id"], 10).collect()}
+    got = {(r["item_id"], r["doc_id"]): r["score"] for r in retrieval.search(terms, df, "item_id", ["doc_id"], "text", 10).collect()}
     bags = {d: [w for w in t.split() if w not in ("of", "the")] for d, t in docs.items()}
     mean = (3 + 2 + 4) / 3
     for d in (1, 2, 3):
@@ -382,6 +397,17 @@ def test_last_records_versions_and_upserts(spark):
     assert [tuple(r) for r in journal.parsed(raw, "document_id string, n int", "document_id").collect()] == [("a", 1)]
 
 
+def test_a_kept_table(spark, tmp_path):
+    from folioflow.streaming.journal import into_table
+
+    src, out = tmp_path / "in", str(tmp_path / "table")
+    src.mkdir()
+    for n, rows in enumerate([[("a", 1, "x"), ("b", 1, "y"), (None, 1, "z")], [("a", 3, "new"), ("a", 2, "old"), ("c", 1, "w")], [("b", 0, "late")]]):
+        spark.createDataFrame(rows, "k string, t int, v string").coalesce(1).write.mode("append").json(str(src))
+        into_table(spark.readStream.schema("k string, t int, v string").json(str(src)), out, str(tmp_path / "cp"), "k", "t").trigger(availableNow=True).start().awaitTermination()
+    assert {tuple(r) for r in spark.read.parquet(out).select("k", "t", "v").collect()} == {("a", 3, "new"), ("b", 1, "y"), ("c", 1, "w")}
+
+
 def test_a_journal_stream(spark, tmp_path):
     from folioflow.streaming.journal import latest_stream, windowed_counts
 
