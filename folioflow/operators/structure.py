@@ -12,7 +12,6 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -321,16 +320,18 @@ def in_sequence(provisions: DataFrame) -> DataFrame:
     their texts: a longest ascending run is a property of the whole sequence."""
     names = ["document_id", "unit_type", "line_no"]
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("line_no")
-        if len(part) >= 3:
-            kept = longest_ascending([_order(n) for n in part["number"]])
-            if len(part) - len(kept) <= 0.3 * len(part):
-                part = part.iloc[kept]
-        return part[names]
-
-    own = provisions.where(F.col("unit_type").isin(*PROVISIONS)).select(*names, "number")
-    kept = own.groupBy("document_id", "unit_type").applyInPandas(run, own.select(*names).schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for did, kind, listed in zip(*(c.to_pylist() for c in batch.columns)):
+                kept = longest_ascending([_order(x["number"]) for x in listed])
+                if len(listed) < 3 or len(listed) - len(kept) > 0.3 * len(listed):
+                    kept = range(len(listed))
+                out += [(did, kind, listed[k]["line_no"]) for k in kept]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int32()))] if out else [pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int32())], names)
+
+    own = provisions.where(F.col("unit_type").isin(*PROVISIONS)).groupBy("document_id", "unit_type").agg(F.array_sort(F.collect_list(F.struct("line_no", "number"))).alias("listed"))
+    kept = own.mapInArrow(run, "document_id string, unit_type string, line_no int")
     return provisions.where(~F.col("unit_type").isin(*PROVISIONS)).unionByName(provisions.join(kept, names).select(provisions.columns))
 
 

@@ -360,7 +360,8 @@ def ascending_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 def _units(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     stream = _stream(spark, d)
-    return cut(structure.unit_spans(structure.in_sequence(structure.chosen_provisions(structure.anchors(stream))), stream)), stream
+    found = stage(structure.in_sequence(structure.chosen_provisions(stage(structure.anchors(stream), "anchors"))), "provisions")
+    return stage(structure.unit_spans(found, stream), "units"), stream
 
 
 @query
