@@ -47,9 +47,12 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
 
 def lower_bound(sizes: np.ndarray, capacity: int = CAPACITY) -> int:
-    """Containers that the sizes need at least: the greatest bound over two families of dual feasible
-    functions (Martello and Toth; Fekete and Schepers), on the histogram of the sizes."""
-    n = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
+    return bound_of(np.bincount(sizes, minlength=capacity + 1).astype(np.int64), capacity)
+
+
+def bound_of(n: np.ndarray, capacity: int = CAPACITY) -> int:
+    """Containers that ``n[x]`` items of each size x need at least: the greatest bound over two families of dual
+    feasible functions (Martello and Toth; Fekete and Schepers)."""
     x = np.arange(capacity + 1, dtype=np.int64)
     best = -(-int((n * x).sum()) // capacity)
     load, many = np.cumsum(n * x), np.cumsum(n)
@@ -99,13 +102,19 @@ def _pack(last: bool, turn: int, capacity: int):
             give[order[room[order] > 0]] = True
         if not last:  # certified or not, what is nearly empty can be filled up elsewhere
             give |= room > SLACK_SHARE * capacity
-        return pd.DataFrame({"doc_id": part["doc_id"], "piece": part["piece"], "tokens": part["tokens"], "container": [f"{turn}-{p}-{b}" for p, b in zip(part["part"], bin_)], "kept": ~give[bin_]})
+        return pd.DataFrame({"doc_id": part["doc_id"], "piece": part["piece"], "tokens": part["tokens"], "container": [f"{turn}-{p}-{b}" for p, b in zip(part["part"], bin_)], "kept": ~give[bin_], "bound": bound})
 
     return run
 
 
 def pack(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, piece, tokens, container): every text in a container, whole unless it is longer than one.
+    """(doc_id, piece, tokens, container): ``packed`` without the bounds."""
+    return packed(counts, capacity).drop("bound")
+
+
+def packed(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(doc_id, piece, tokens, container, bound): every text in a container, whole unless it is longer than one,
+    beside the least number of containers that all texts of its partition need.
 
     A longer text fills containers of its own and its rest is one more item. Items are spread over
     partitions of about ITEMS by hash and packed there by best-fit decreasing. A partition that needs no
@@ -114,12 +123,13 @@ def pack(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     is left. A text without tokens takes no room: its container is null. No texts: no rows.
     """
     kind = counts.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, tokens bigint, container string, kept boolean"
+    schema = f"doc_id {kind}, piece int, tokens bigint, container string, kept boolean, bound bigint"
+    unbound = F.lit(None).cast("bigint").alias("bound")
     full = (F.col("tokens") / capacity).cast("int")
     counts = counts.where("doc_id is not null")
-    none = counts.where("tokens = 0").select("doc_id", F.lit(0).alias("piece"), "tokens", F.lit(None).cast("string").alias("container"))
+    none = counts.where("tokens = 0").select("doc_id", F.lit(0).alias("piece"), "tokens", F.lit(None).cast("string").alias("container"), unbound)
     whole = counts.where(F.col("tokens") >= capacity).select("doc_id", F.explode(F.sequence(F.lit(0), full - 1)).alias("piece"))
-    whole = whole.select("doc_id", "piece", F.lit(capacity).cast("bigint").alias("tokens"), F.concat_ws("-", F.lit("full"), "doc_id", "piece").alias("container"))
+    whole = whole.select("doc_id", "piece", F.lit(capacity).cast("bigint").alias("tokens"), F.concat_ws("-", F.lit("full"), "doc_id", "piece").alias("container"), unbound)
     items = counts.where(F.col("tokens") % capacity > 0).select("doc_id", full.alias("piece"), (F.col("tokens") % capacity).alias("tokens"))
     done = [none, whole]
     for turn in range(ROUNDS + 1):
@@ -140,5 +150,24 @@ def pack(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return out
 
 
+def certificates(counts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(round, partition, containers, bound, texts, tokens, fill): of each partition of each round how many of
+    its containers were kept and what its texts needed at least; of longer texts (round ``full``) the containers
+    they fill; and of round ``all`` the whole: its bound is that of the sizes of all items together, so
+    ``containers`` - ``bound`` is at most what any packing could save."""
+    rows = cut(packed(counts, capacity).where("container is not null"))
+    name = F.split("container", "-")
+    full = name[0] == "full"
+    per = rows.groupBy(name[0].alias("round"), F.when(full, "").otherwise(name[1]).alias("partition")).agg(F.countDistinct("container").alias("containers"), F.max("bound").alias("bound"), F.countDistinct("doc_id").alias("texts"), F.sum("tokens").alias("tokens"))
+    per = per.withColumn("bound", F.coalesce("bound", "containers"))
+    sizes = np.zeros(capacity + 1, np.int64)
+    for r in rows.groupBy("tokens").count().collect():  # one row a size, so at most ``capacity``
+        sizes[r["tokens"]] = r["count"]
+    best = bound_of(sizes, capacity)
+    whole = rows.agg(F.lit("all").alias("round"), F.lit("").alias("partition"), F.countDistinct("container").alias("containers"), F.lit(best).cast("bigint").alias("bound"), F.countDistinct("doc_id").alias("texts"), F.sum("tokens").alias("tokens"))
+    out = per.unionByName(whole.where("containers > 0"))
+    return out.withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * capacity), 4))
+
+
 def assign(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
     return pack(cut(token_counts(documents, tokenizer)), capacity)

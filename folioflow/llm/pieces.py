@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.lines import page_blocks
+from folioflow.llm.lines import BLOCK_LINES, page_blocks
+from folioflow.session import cut
 
 LIMIT, OVERLAP = 2000, 200
 
@@ -129,6 +130,20 @@ def _cut(limit: int, overlap: int):
     return run
 
 
+#: Long pages up to which their names are broadcast to choose their lines; beyond, the choice is a join.
+BROADCAST_PAGES = 200_000
+
+
+def long_pages(lines: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(document_id, page_number) of the pages that make more than ``limit`` characters, from the lengths of
+    their lines alone: no text is shuffled. Lengths are added up by block first, so a page of any size is
+    many tasks' work."""
+    at = F.coalesce("page_line_index", F.lit(0))
+    rows = lines.where("document_id is not null and stream_index is not null").select("document_id", "page_number", (at / BLOCK_LINES).cast("int").alias("block"), F.struct("stream_index", F.length(F.coalesce("text", F.lit(""))).alias("n")).alias("line"))
+    blocks = rows.groupBy("document_id", "page_number", "block").agg(F.collect_set("line").alias("l")).select("document_id", "page_number", F.size("l").alias("k"), F.aggregate("l", F.lit(0).cast("bigint"), lambda s, x: s + x["n"]).alias("n"))
+    return blocks.groupBy("document_id", "page_number").agg((F.sum("n") + F.sum("k") - 1).alias("size")).where(F.col("size") > limit).select("document_id", "page_number")
+
+
 def page_pieces(lines: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, cut_only: bool = False) -> DataFrame:
     """(document_id, page_number, block, piece, char_start, overlap, text): every page of ``page_lines`` in
     pieces of at most ``limit`` characters, each but a page's first opening with the ``overlap`` characters
@@ -153,6 +168,10 @@ def page_pieces(lines: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, cu
 
 
 def found(lines: DataFrame) -> DataFrame:
-    """(document_id, page_number) of the pages that came out in more than one piece."""
-    cut = page_pieces(lines, cut_only=True)
-    return cut.where((F.col("piece") == 1) | (F.col("block") > 0)).select("document_id", "page_number").distinct()
+    """(document_id, page_number) of the pages that came out in more than one piece. Pages that are too short
+    to be cut are told by the lengths of their lines (``long_pages``); only the others' texts move."""
+    names = cut(long_pages(lines).where("page_number is not null"))
+    few = names.count() <= BROADCAST_PAGES
+    chosen = lines.join(F.broadcast(names) if few else names, ["document_id", "page_number"], "left_semi")
+    pieces = page_pieces(chosen, cut_only=True)
+    return pieces.where((F.col("piece") == 1) | (F.col("block") > 0)).select("document_id", "page_number").distinct()

@@ -103,6 +103,12 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containers.assign(_t(spark, sf_dir, "documents"))
 
 
+def p7_certificates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import containers
+
+    return containers.certificates(containers.token_counts(_t(spark, sf_dir, "documents")))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import leaks
 

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.operators.graph import connected_components
+from folioflow.session import cut
 
 #: Share of the questions in each split.
 SHARES = {"train": 0.70, "validation": 0.15, "test": 0.15}
-#: Buckets over which equally large groups are ranked, so that no task ranks them all.
-RANK_BUCKETS = 256
+#: Equally large groups that one task ranks, about; they are spread over as many buckets as that takes.
+RANKED = 100_000
 
 
 def document_key(raw: Column) -> Column:
@@ -81,9 +82,12 @@ def assign_splits(questions: DataFrame, shares: dict[str, float] | None = None)
     shares = shares or SHARES
     alone = questions.where("question_id is not null").select("question_id").distinct()
     members = alone.join(question_groups(questions), "question_id", "left").withColumn("first_question_id", F.coalesce("first_question_id", "question_id"))
-    sizes = members.groupBy("first_question_id").agg(F.count("*").alias("size")).withColumn("bucket", F.pmod(F.xxhash64("first_question_id"), F.lit(RANK_BUCKETS)))
+    sizes = cut(members.groupBy("first_question_id").agg(F.count("*").alias("size")))
+    histogram = [(r["size"], r["n"]) for r in sizes.groupBy("size").agg(F.count("*").alias("n")).collect()]
+    plan = deal(histogram, shares)
+    buckets = -(-max((n for _, n in histogram), default=1) // RANKED)
+    sizes = sizes.withColumn("bucket", F.pmod(F.xxhash64("first_question_id"), F.lit(buckets)))
     cells = sizes.groupBy("size", "bucket").agg(F.count("*").alias("n"))
-    plan = deal([(r["size"], r["n"]) for r in cells.groupBy("size").agg(F.sum("n").alias("n")).collect()], shares)
     names = list(shares)
     spark = questions.sparkSession
     ends = spark.createDataFrame([(s, *[sum(g[: k + 1]) for k in range(len(g))]) for s, g in plan.items()], "size bigint, " + ", ".join(f"end_{k} bigint" for k in range(len(names))))

@@ -439,6 +439,17 @@ def test_every_text_is_placed_once(spark, monkeypatch):
     assert containers.pack(df.limit(0)).count() == 0
 
 
+def test_certificates(spark, monkeypatch):
+    monkeypatch.setattr(containers, "ITEMS", 60)
+    r = random.Random(4)
+    sizes = [r.choice([0, 900, 1100, 1500, 2048, 5000, 300]) for _ in range(300)]
+    rows = {(x["round"], x["partition"]): x for x in containers.certificates(spark.createDataFrame(list(enumerate(sizes)), "doc_id bigint, tokens bigint")).collect()}
+    whole = rows["all", ""]
+    assert whole["tokens"] == sum(sizes) and whole["texts"] == sum(s > 0 for s in sizes) and whole["containers"] == sum(x["containers"] for k, x in rows.items() if k[0] != "all")
+    assert whole["containers"] >= whole["bound"] >= -(-sum(sizes) // 2048) and len(rows) > 3
+    assert containers.certificates(spark.createDataFrame([], "doc_id bigint, tokens bigint")).count() == 0
+
+
 def test_token_counts(spark):
     df = spark.createDataFrame([(1, "The owner shall deposit."), (2, ""), (3, None), (4, "नगर " * 50)], "doc_id bigint, text string")
     got = {r["doc_id"]: r["tokens"] for r in containers.token_counts(df).collect()}
