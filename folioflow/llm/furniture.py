@@ -5,20 +5,23 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.llm.lines import BLOCK_LINES, CHUNK_PAGES
+from folioflow.session import stage
+
 BODY, FURNITURE, FOOTNOTE = 0, 1, 2
 
 #: Lines at either end of a page that may be furniture.
 EDGE = 2
 #: A running head or foot is no longer than this.
 MOST_CHARS = 120
-#: A series is the furniture of many documents: of at least so many, and of one in so many.
-SERIES_DOCUMENTS, SERIES_SHARE = 3, 2000
+#: A series is the furniture of at least so many documents.
+SERIES_DOCUMENTS = 3
 #: Pages a document on which a series stands, on average; a line of copied text stands on one.
 SERIES_PAGES = 1.3
 
@@ -80,38 +83,37 @@ def slug_key(document_id: str) -> frozenset[str]:
 
 
 def page_ends(lines: DataFrame) -> DataFrame:
-    """(document_id, page_number, text): the first two and the last two lines of each page that are not
+    """(document_id, page_number, block, text): the first two and the last two lines of each page that are not
     page numbers, by the page line index, in one aggregation that Spark starts before the shuffle."""
     plain = ~F.col("text").rlike(r"^[\s\[({\-]*(?i:page\s+)?[0-9loOIi|]{1,5}[\s\])}\-]*((?i:of)\s*[0-9loOIi|]{1,5})?$")
     rows = lines.where(plain & F.col("document_id").isNotNull() & (F.length("text") <= MOST_CHARS)).select("document_id", "page_number", F.coalesce("page_line_index", F.lit(0)).alias("at"), "text")
-    ends = rows.groupBy("document_id", "page_number").agg(
-        F.array_compact(F.array(F.min_by("text", "at"), F.max_by("text", "at"), F.max(F.when(F.col("at") == 1, F.col("text"))))).alias("ends")
-    )
-    return ends.select("document_id", "page_number", F.explode(F.array_distinct("ends")).alias("text"))
+    line = F.struct((F.col("at") / BLOCK_LINES).cast("int").alias("block"), "text")
+    ends = rows.groupBy("document_id", "page_number").agg(F.array_compact(F.array(F.min_by(line, "at"), F.max_by(line, "at"), F.max(F.when(F.col("at") == 1, line)))).alias("ends"))
+    return ends.select("document_id", "page_number", F.explode(F.array_distinct("ends")).alias("x")).select("document_id", "page_number", "x.block", "x.text")
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys = [fold(t) if looks_like_head(t) else None for t in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.string())], ["document_id", "page_number", "key"])
+        keys = [fold(t) if looks_like_head(t) else None for t in b.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.string())], ["document_id", "page_number", "block", "key"])
 
 
-def series(lines: DataFrame) -> list[str]:
-    """Folded heads and feet of whole series of documents: page ends that recur over documents and, within
-    them, over pages. At most SERIES_SHARE times the mean number of page ends a document, so small."""
-    keys = page_ends(lines.where("page_number > 1")).mapInArrow(_folded, "document_id string, page_number int, key string").where("key is not null and key <> ''")
-    per = keys.groupBy("key", "document_id").agg(F.countDistinct("page_number").alias("pages"))
-    docs = lines.select("document_id").distinct().count()
-    least = max(SERIES_DOCUMENTS, docs // SERIES_SHARE)
-    found = per.groupBy("key").agg(F.count("*").alias("docs"), F.sum("pages").alias("pages")).where((F.col("docs") >= least) & (F.col("pages") >= SERIES_PAGES * F.col("docs")))
-    return sorted(r["key"] for r in found.select("key").collect())
+def series(lines: DataFrame) -> DataFrame:
+    """(document_id, chunk, block, key): folded heads and feet of whole series of documents, by the chunk
+    (``lines.doc_chunks``) in which they stand: page ends that recur over SERIES_DOCUMENTS documents and, within
+    them, over pages. Nothing comes to the driver; each chunk gets its own heads with its lines."""
+    ends = page_ends(lines.where("page_number > 1")).mapInArrow(_folded, "document_id string, page_number int, block int, key string").where("key is not null and key <> ''")
+    chunk = F.floor(F.col("page_number") / CHUNK_PAGES).cast("int")
+    per = stage(ends.groupBy("key", "document_id", chunk.alias("chunk"), "block").agg(F.countDistinct("page_number").alias("pages")), "page-ends")
+    docs = per.groupBy("key", "document_id").agg(F.sum("pages").alias("pages")).groupBy("key").agg(F.count("*").alias("docs"), F.sum("pages").alias("pages"))
+    kept = docs.where((F.col("docs") >= SERIES_DOCUMENTS) & (F.col("pages") >= SERIES_PAGES * F.col("docs"))).select("key")
+    return per.join(kept, "key", "left_semi").select("document_id", "chunk", "block", "key")
 
 
 class Roles:
-    """Tells the role of each line of a chunk. ``heads`` are the folded heads of series."""
+    """Tells the role of each line of a chunk."""
 
-    def __init__(self, heads: list[str]) -> None:
-        self.heads = frozenset(heads)
+    def __init__(self) -> None:
         self.keys: dict[str, str] = {}
 
     def key(self, text: str) -> str:
@@ -122,8 +124,9 @@ class Roles:
             k = self.keys[text] = fold(text) if looks_like_head(text) else ""
         return k
 
-    def of(self, document_id: str, pages: list[int], texts: list[str]) -> list[int]:
-        """Roles of lines that are given in order, with the page each is on."""
+    def of(self, document_id: str, pages: list[int], texts: list[str], heads: Collection[str] = ()) -> list[int]:
+        """Roles of lines that are given in order, with the page each is on. ``heads`` are the folded heads of
+        series that the chunk holds."""
         role = [BODY] * len(texts)
         spans, start = [], 0
         for i in range(1, len(texts) + 1):
@@ -162,7 +165,7 @@ class Roles:
             titled = len(words) >= 2 and len(words & title) >= 0.8 * len(words) and len(words & title) >= 0.5 * len(title)
             if pages[i] <= 1 and side and titled and not re.search(r"^\s*\d+\s{2,}|\s{2,}\d+\s*$", texts[i]):
                 continue  # the title itself
-            if k in self.heads or titled and side or k in again and len(on[side, k]) > 1:
+            if k in heads or titled and side or k in again and len(on[side, k]) > 1:
                 role[i] = FURNITURE
         return self._notes(spans, texts, role)
 

@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.furniture import BODY, Roles
-from folioflow.llm.lines import doc_chunks, groups
-from folioflow.llm.quality import ODD, ODD_SHARE, READABLE, character_kinds, common_words
+from folioflow.llm.furniture import BODY, Roles, series
+from folioflow.llm.lines import doc_chunks, groups, heads_of
+from folioflow.llm.quality import ODD, ODD_SHARE, READABLE, character_kinds, common_words, own_words
 from folioflow.llm.scans import line_words, words_of
+from folioflow.operators.lines import carried, running_total
+from folioflow.session import cut
 
 LANGUAGES = ("en", "hi", "mr", "bn", "ta", "fr")
 #: Lines in a language from which on a document is written in it.
@@ -26,14 +28,12 @@ TRAIN_ROWS, TRAIN_WORDS = 160, 90
 EPOCHS, RATE, DECAY = 6, 0.1, 1e-5
 #: A row that the first fit gives to another language, and to its own with at most this probability, is left out.
 DOUBT = 0.4
-#: Weights of hashed features, and features of a word at most.
-BUCKETS, MOST_FEATURES = 1 << 16, 30
+#: Weights of hashed features.
+BUCKETS = 1 << 16
 #: Training rows of one language that hold a word, from which on the fit vouches for it as readable.
 LEXICON_ROWS = 2
-#: Words decoded in one stretch, and words on either side that only lend it context.
-STRETCH, CONTEXT = 480, 24
-#: Words gathered before the chains of many documents are run side by side.
-GATHER = 300_000
+#: Words gathered before the chains of many documents are run, and places that run side by side.
+GATHER, SIDE_BY_SIDE = 300_000, 200_000
 
 # Names and codes of the languages in labels.
 NAMES = {
@@ -57,13 +57,13 @@ def label_languages(label: Column) -> Column:
 
 
 def features(word: str) -> list[int]:
-    """Hashed features of a word: itself, affixes, pairs and triples of letters, and its script."""
+    """Hashed features of a word: itself, affixes, all pairs and triples of letters, and its script."""
     w = f"<{word}>"
     script = min(ord(word[0]) >> 7, 40) if ord(word[0]) > 0x24F else 0
     out = [f"w{word}", *(f"s{k}{script}" for k in range(4))]  # a word's script weighs as much as its letters
     out += [f"p{word[:k]}" for k in (1, 2, 3)] + [f"f{word[-k:]}" for k in (1, 2, 3, 4)]
-    out += [f"2{w[i : i + 2]}" for i in range(min(9, len(w) - 1))] + [f"3{w[i : i + 3]}" for i in range(min(9, len(w) - 2))]
-    return [zlib.crc32(x.encode()) % BUCKETS for x in out[:MOST_FEATURES]]
+    out += [f"2{w[i : i + 2]}" for i in range(len(w) - 1)] + [f"3{w[i : i + 3]}" for i in range(len(w) - 2)]
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in out]
 
 
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -111,7 +111,7 @@ class Crf:
 
     def __init__(self) -> None:
         k = len(LANGUAGES)
-        self.weight = np.zeros((BUCKETS + 1, k))
+        self.weight = np.zeros((BUCKETS, k))
         self.trans = np.zeros((k, k))
         self.memo: dict[str, np.ndarray] = {}
         self.lexicon: frozenset[str] = frozenset()
@@ -141,14 +141,15 @@ class Crf:
         return marginals(e, self.trans, np.ones(e.shape[:2], bool))[0].mean(axis=0)
 
     def _train(self, data: list[tuple[list[str], int]], rng: np.random.Generator) -> None:
-        pad = BUCKETS
-        cache: dict[str, list[int]] = {}
+        index: dict[str, int] = {}
+        coded = [(np.array([index.setdefault(w, len(index)) for w in words]), y) for words, y in data]
+        feats = [np.array(features(w)) for w in index]
         g2w, g2t = np.full(self.weight.shape, 1e-3), np.full(self.trans.shape, 1e-2)
         k = len(LANGUAGES)
         for _ in range(EPOCHS):
             pieces = []
-            for n in rng.permutation(len(data)):
-                w, y = data[n]
+            for n in rng.permutation(len(coded)):
+                w, y = coded[n]
                 at = 0
                 while at < len(w):
                     step = int(rng.integers(8, 60))
@@ -163,29 +164,29 @@ class Crf:
             for c in range(0, len(chains), 64):
                 batch = chains[c : c + 64]
                 t = max(sum(len(w) for w, _ in x) for x in batch)
-                feats = np.full((len(batch), t, MOST_FEATURES), pad)
-                gold = np.zeros((len(batch), t), int)
-                mask = np.zeros((len(batch), t), bool)
+                ids, gold, mask = np.zeros((len(batch), t), int), np.zeros((len(batch), t), int), np.zeros((len(batch), t), bool)
                 for i, x in enumerate(batch):
-                    j = 0
-                    for words, y in x:
-                        for w in words:
-                            f = cache.get(w)
-                            if f is None:
-                                f = cache[w] = features(w)
-                            feats[i, j, : len(f)] = f
-                            gold[i, j], mask[i, j] = y, True
-                            j += 1
-                emit = self.weight[feats].sum(axis=2)
+                    n = sum(len(w) for w, _ in x)
+                    ids[i, :n] = np.concatenate([w for w, _ in x])
+                    gold[i, :n] = np.repeat([y for _, y in x], [len(w) for w, _ in x])
+                    mask[i, :n] = True
+                # each different word of the batch has its features summed once, and its errors taken apart once
+                words, place = np.unique(ids, return_inverse=True)
+                place = place.reshape(ids.shape)
+                many = np.array([len(feats[w]) for w in words])
+                flat = np.concatenate([feats[w] for w in words])
+                emit = np.add.reduceat(self.weight[flat], np.cumsum(many) - many, axis=0)[place]
+                emit[~mask] = 0
                 alpha, beta, _ = forward_backward(emit, self.trans, mask)
                 p = alpha * beta
                 p /= p.sum(axis=2, keepdims=True)
                 err = p.copy()
                 np.put_along_axis(err, gold[..., None], np.take_along_axis(err, gold[..., None], 2) - 1, 2)
                 err[~mask] = 0
-                used, at = np.unique(feats, return_inverse=True)  # only features of this batch change
-                gw = np.stack([np.bincount(at.ravel(), np.repeat(err[..., y].ravel(), MOST_FEATURES), len(used)) for y in range(k)], axis=1)
-                gw[used == pad] = 0
+                each = np.stack([np.bincount(place.ravel(), err[..., y].ravel(), len(words)) for y in range(k)], axis=1)
+                used, at = np.unique(flat, return_inverse=True)  # only features of this batch change
+                each = np.repeat(each, many, axis=0)
+                gw = np.stack([np.bincount(at, each[:, y], len(used)) for y in range(k)], axis=1)
                 both = mask[:, 1:]
                 shift = emit.max(axis=2, keepdims=True)
                 right = np.exp(emit - shift)[:, 1:] * beta[:, 1:]
@@ -208,30 +209,27 @@ class Crf:
         return e
 
     def word_marginals(self, chains: list[list[str]]) -> np.ndarray:
-        """Probabilities of the languages for each word of each chain, one row a word in order. Long chains
-        run in stretches that see CONTEXT words beyond either end."""
+        """Probabilities of the languages for each word of each chain, one row a word in order. A chain of any
+        length runs whole; chains of like length run side by side."""
         index: dict[str, int] = {}
         ids = [np.array([index.setdefault(w, len(index)) for w in c], int) for c in chains]
         if not index:
             return np.zeros((0, len(LANGUAGES)))
         table = np.stack([self.emission(w) for w in index])
-        parts = []
-        for n, c in enumerate(ids):
-            for a in range(0, len(c), STRETCH):
-                lo, hi = max(0, a - CONTEXT), min(len(c), a + STRETCH + CONTEXT)
-                parts.append((n, a, min(len(c), a + STRETCH), lo, hi))
-        out = [np.empty((len(c), len(LANGUAGES))) for c in ids]
-        parts.sort(key=lambda x: x[4] - x[3])
-        for b in range(0, len(parts), 256):
-            some = parts[b : b + 256]
-            t = some[-1][4] - some[-1][3]
+        out: list[np.ndarray] = [table[:0]] * len(ids)
+        order = sorted(range(len(ids)), key=lambda n: len(ids[n]))
+        while order:
+            t = len(ids[order[-1]])
+            some = order[-max(1, SIDE_BY_SIDE // max(t, 1)) :]
+            del order[-len(some) :]
             emit, mask = np.zeros((len(some), t, len(LANGUAGES))), np.zeros((len(some), t), bool)
-            for i, (n, _, _, lo, hi) in enumerate(some):
-                emit[i, : hi - lo] = table[ids[n][lo:hi]]
-                mask[i, : hi - lo] = True
-            p = marginals(emit, self.trans, mask)
-            for i, (n, a, z, lo, _) in enumerate(some):
-                out[n][a:z] = p[i, a - lo : z - lo]
+            for i, n in enumerate(some):
+                emit[i, : len(ids[n])] = table[ids[n]]
+                mask[i, : len(ids[n])] = True
+            if t:
+                p = marginals(emit, self.trans, mask)
+                for i, n in enumerate(some):
+                    out[n] = p[i, : len(ids[n])]
         return np.concatenate(out)
 
 
@@ -257,8 +255,8 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
     """(document_id, stream_index, language, confidence): the language of each line of running text, with
     the mean probability of its words. The chain runs over all words of a chunk, so that short lines take
     the language around them. Running heads and feet, page numbers, notes, lines without words and lines
-    that aren't readable (junk) have no row. Words that the training rows share are readable, so that a
-    language in few documents is read too."""
+    that aren't readable (junk) have no row. Words that the training rows share are readable, and words that a
+    chunk uses again and again (``own_words``), so that a language in few documents is read too."""
     common = common_words(lines) | model.lexicon
     shared = lines.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.trans, common))
     names = np.array(LANGUAGES, object)
@@ -267,7 +265,7 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
         crf = Crf.__new__(Crf)
         crf.weight, crf.trans, readable = shared.value
         crf.memo = {}
-        roles = Roles([])
+        roles = Roles()
         chains: list[list[str]] = []
         ids: list[str] = []
         at: list[int] = []
@@ -282,17 +280,18 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(at, pa.int32()), pa.array(names[best], pa.string()), pa.array(total[np.arange(len(best)), best], pa.float64())], ["document_id", "stream_index", "language", "confidence"])
 
         for b in batches:
-            for did, page, index, texts, ahead in groups(b):
-                role = roles.of(did, page, texts)
+            for heads, (did, page, index, texts, ahead) in zip(heads_of(b), groups(b)):
+                role = roles.of(did, page, texts, heads)
                 kind, off = character_kinds(texts)
                 odd = np.add.reduceat(kind == ODD, off[:-1], dtype=np.int64).tolist() if texts else []
                 chain: list[str] = []
                 tokens = line_words(texts)
+                own = own_words(tokens, readable)
                 for i, t in enumerate(texts):
                     if role[i] != BODY or ahead[i] or odd[i] > ODD_SHARE * len(t):
                         continue
                     words = [w for w in tokens[i] if w[0].isalpha()]
-                    if not words or len([w for w in words if w in readable]) < READABLE * len(words):
+                    if not words or len([w for w in words if w in readable or w in own]) < READABLE * len(words):
                         continue
                     chain += words
                     ids.append(did)
@@ -307,7 +306,7 @@ def line_languages(lines: DataFrame, model: Crf) -> DataFrame:
         if chains:
             yield flush()
 
-    return doc_chunks(lines).select("document_id", "lines").mapInArrow(run, _LINES)
+    return doc_chunks(lines, heads=series(lines)).select("document_id", "lines").mapInArrow(run, _LINES)
 
 
 def document_languages(lines: DataFrame, model: Crf) -> DataFrame:
@@ -318,6 +317,19 @@ def document_languages(lines: DataFrame, model: Crf) -> DataFrame:
     return per.where(F.col("lines") >= LEAST_LINES)
 
 
+def segments(lines: DataFrame, model: Crf) -> DataFrame:
+    """(document_id, first_index, last_index, language, lines, confidence): the stretches of each document, in
+    order, whose lines are in one language, with the mean confidence of the lines. Lines that have no language
+    (``line_languages``), or one with less than SURE, end no stretch and belong to none. Stretches are told
+    over buckets of lines, so a document of any size is many tasks' work."""
+    per = cut(line_languages(lines, model).where(F.col("confidence") >= SURE))
+    rows = carried(per, "document_id", "stream_index", {"before": F.col("language")}, own=False)
+    fresh = (~F.col("before").eqNullSafe(F.col("language"))).cast("int")
+    rows = running_total(rows.withColumn("fresh", fresh), "document_id", "stream_index", F.col("fresh"), "segment").withColumn("segment", F.col("segment") + F.col("fresh"))
+    ends = F.min("stream_index").alias("first_index"), F.max("stream_index").alias("last_index")
+    return rows.groupBy("document_id", "segment", "language").agg(*ends, F.count("*").alias("lines"), F.round(F.avg("confidence"), 4).alias("confidence")).drop("segment")
+
+
 def unnamed(lines: DataFrame, corpus: DataFrame, inventory: DataFrame, model: Crf) -> DataFrame:
     """(document_id, language): languages of a document that its corpus label or its latest inventory label
     doesn't name. A null or meaningless label names nothing; a document that a table lacks is not held

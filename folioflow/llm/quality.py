@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.llm.furniture import BODY, Roles
-from folioflow.llm.lines import doc_chunks, groups
+from folioflow.llm.furniture import BODY, Roles, series
+from folioflow.llm.lines import doc_chunks, groups, heads_of
 from folioflow.llm.scans import _give, line_words, words_of
 from folioflow.session import cut
 
@@ -33,13 +33,16 @@ ODD_SHARE = 0.15
 FILLER = 3
 #: Unless of its words this share is common.
 FAMILIAR = 0.8
-#: Lines of a run that must have as many cells, for a table.
-ALIGNED = 2
+#: Lines before and after a row that its cells are held against, and the share of them that must stand under others.
+ALIGNED, STANDS_UNDER = 2, 0.6
+#: Points from which on a line is an entry of a list.
+ITEM = 3
 
 _ENUM = re.compile(r"\s*(?:[\[(](?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,7})[\])]|(?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,7})[.)]\s|[•\-*–—▪◦·‣►]\s)")
 _LEADER = re.compile(r"[.·…]{4,}\s*\S{0,8}\s*\Z")
 _BLANKS = re.compile(r"_{3,}|\.{12,}\Z")
 _GAP = re.compile(r"(?<=\S)\s{2,}(?=\S)")
+_CELL = re.compile(r"[^\s|](?:[^\s|]|[^\S\t](?=[^\s|]))*")
 _VALUE = re.compile(r"\s*(?:[-–—]|nil|n/?a|[$₹€£]?\s*-?[\d.,]*\d[\d.,]*\s*%?)\s*\Z", re.I)
 _END = frozenset(".!?;:।")
 _SENTENCE = re.compile(r"[.!?।](?:\s|\Z)")
@@ -144,6 +147,28 @@ def common_words(lines: DataFrame) -> frozenset[str]:
     return frozenset(w for w in kept["word"] if not w.isdigit())
 
 
+#: A group has words of its own if of its unknown words with OWN_LETTERS letters or more this share stands on
+#: OWN_LINES lines or more, and so many different ones do.
+OWN_LINES, OWN_LETTERS, OWN_SHARE, OWN_WORDS = 3, 4, 0.4, 15
+
+
+def own_words(tokens: list[list[str]], common: frozenset[str]) -> set[str]:
+    """Words outside ``common`` that a group of lines uses again and again, as a language does that few
+    documents are in: a rare language is told from junk by its own texts, however small its share of the
+    corpus. Garbled text repeats few of its words, filler has few different ones; both give none."""
+    unknown = set().union(*tokens) - common
+    if len(unknown) < OWN_WORDS:
+        return set()
+    seen: Counter[str] = Counter()
+    for t in tokens:
+        seen.update(unknown.intersection(t))
+    long = {w: n for w, n in seen.items() if (len(w) >= OWN_LETTERS and w.isalpha()) or not w.isascii()}
+    again = [n for n in long.values() if n >= OWN_LINES]
+    if len(again) < OWN_WORDS or sum(again) < OWN_SHARE * sum(long.values()):
+        return set()
+    return {w for w, n in seen.items() if n >= OWN_LINES and w[0].isalpha()}
+
+
 LETTER, DIGIT, MARK, SPACE, PLAIN, SYMBOL, ODD = range(7)
 _PLAIN = frozenset(".,;:!?'\"()[]%&/|-–—‘’“”•*§°·।॥‐¬₹$€£#+=")
 #: Characters that written text does not hold; an underscore counts with blanks to fill in.
@@ -170,24 +195,36 @@ def character_kinds(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return kinds_of_characters()[np.minimum(cps, 0x10000)], at
 
 
-def cells(text: str) -> list[str]:
-    """The cells of a line that a tab, a bar, a run of spaces or, where most cells are values, a comma or
-    semicolon divides; else the line alone."""
+def cells(text: str) -> tuple[str, list[str]]:
+    """The delimiter of a line's cells and the cells: a tab, a bar, a gap of spaces or, where most cells are
+    values, a comma or semicolon; else none and the line alone."""
     t = text.strip()
     if "\t" in t:
-        return [x.strip() for x in t.split("\t")]
+        return "\t", [x.strip() for x in t.split("\t")]
     if " | " in t or t.count("|") > 1:
-        return [x.strip() for x in t.strip("|").split("|")]
+        return "|", [x.strip() for x in t.strip("|").split("|")]
     if "  " in t and len(parts := _GAP.split(t)) > 1 and not _LEADER.search(t):
-        return parts
+        return " ", parts
     if "," in t or "; " in t:
         for d in (", ", "; ", ","):
             if t.count(d) > 1 or d != "," and d in t:
                 parts = t.split(d)
                 values = sum(_VALUE.match(x) is not None for x in parts)
                 if values >= 0.4 * len(parts) and values:
-                    return parts
-    return [t]
+                    return d[0], parts
+    return "", [t]
+
+
+def columns(text: str) -> list[tuple[int, int]]:
+    """Where the cells that gaps or bars part begin and end in a line."""
+    return [(m.start(), m.end()) for m in _CELL.finditer(text.rstrip())]
+
+
+def alignment(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> float:
+    """Of the cells of two lines, as a share of the larger number, those that begin or end in one column, a
+    character off at most: cells flush left or flush right."""
+    left, right = {x + d for x, _ in b for d in (-1, 0, 1)}, {y + d for _, y in b for d in (-1, 0, 1)}
+    return sum(x in left or y in right for x, y in a) / max(len(a), len(b), 1)
 
 
 def autocorrelation(x: np.ndarray, most: int = 4) -> float:
@@ -204,63 +241,88 @@ def periodicity(indent: np.ndarray) -> float:
     return autocorrelation(indent.astype(float)) if indent.any() else 0.0
 
 
-def classify_lines(texts: list[str], tokens: list[list[str]], common: frozenset[str], odd: np.ndarray | None = None) -> list[str]:
+def in_table(i: int, split: list[tuple[str, list[str]]], texts: list[str]) -> bool:
+    """Whether a line is a row of cells. Its cells are values, or they stand under those of a line near by:
+    the same delimiter as often, or gaps and bars in the same columns (``alignment``)."""
+    mark, own = split[i]
+    values = sum(_VALUE.match(c) is not None for c in own)
+    if len(own) >= 3 and 2 * values >= len(own):
+        return True
+    if not values and (len(own) < 3 or sum(map(len, own)) > 25 * len(own)):
+        return False
+    near = [j for j in range(max(0, i - ALIGNED), min(len(split), i + ALIGNED + 1)) if j != i and len(split[j][1]) > 1]
+    if any(len(split[j][1]) == len(own) for j in near):
+        return True
+    return mark in " |" and any(split[j][0] == mark and alignment(columns(texts[i]), columns(texts[j])) >= STANDS_UNDER for j in near)
+
+
+def list_evidence(i: int, texts: list[str], toks: list[str], out: list[str], short: bool, filled: float, rhythm: float, running: float) -> int:
+    """What speaks for a line as an entry of a list, in points; ITEM or more make it one.
+
+    A sentence, or small letters that go on in the next line, take away all. An opened line (a number, letter or
+    bullet) has 2, and 1 if it leaves room: short, on a loose page, the last, or before another opened line.
+    Other lines begin with a capital: 3 for items in a row; else 1 each for a page that running text doesn't
+    fill, for few words, and for no line before that breaks off. Indentation that recurs adds 1 and line
+    lengths that follow each other take 2, as the fill of running text makes them do.
+    """
+    s = texts[i].strip()
+    opened = _ENUM.match(s)
+    rest = s[opened.end() :] if opened else s
+    following = texts[i + 1].lstrip() if i + 1 < len(texts) else ""
+    if _SENTENCE.search(rest) or len(rest) > 160:
+        return 0
+    next_opened = bool(following) and _ENUM.match(following) is not None
+    if following[:1].islower() and not next_opened:
+        return 0
+    if opened:
+        return 2 + (short or filled < 0.5 or not following or next_opened)
+    if not s[:1].isupper():
+        return 0
+    if s.count(",") >= 2 and len(toks) <= 2.2 * (s.count(",") + 1):
+        return ITEM
+    whole = i == 0 or out[-1] == LIST or not texts[i - 1].rstrip()[-1:].islower()
+    return (filled < 0.35) + (len(toks) <= 6) + whole + (rhythm > 0.5) - 2 * (running > 0.5)
+
+
+def classify_lines(texts: list[str], tokens: list[list[str]], common: frozenset[str] | set[str], odd: np.ndarray | None = None) -> list[str]:
     """A class for each line of one group, from the line and the ones around it.
 
-    Tables: as many cells as a neighbour, and cells that are values or stand in columns. Lists: opened by a
-    number, letter or bullet, or led by dots to a page, or items in a row, without being sentences; short
-    lines that no sentence runs through, where line lengths don't follow the regular fill of running text.
-    Junk: characters that aren't writing, blanks to fill in, lines repeated, words that aren't words.
+    Tables: rows of cells that are values or stand under those of other rows (``in_table``). Junk: characters
+    that aren't writing, blanks to fill in, lines repeated, words that aren't words. Lists: led by dots to a
+    page, or enough evidence for an entry (``list_evidence``), in which the group's fill, the periodicity of its
+    indentation and the autocorrelation of its line lengths count.
     """
     n = len(texts)
-    split = [cells(t) for t in texts]
-    width = [len(c) for c in split]
     size = np.array([len(t.rstrip()) for t in texts], float)
     full = np.percentile(size, 90) if n else 0.0
     filled = float((size >= 0.8 * full).mean()) if n else 0.0
     copies = Counter(t.strip() for t in texts)
-    regular = autocorrelation(size) > 0.5 or periodicity(np.array([len(t) - len(t.lstrip()) for t in texts])) > 0.5
+    running, rhythm = autocorrelation(size), periodicity(np.array([len(t) - len(t.lstrip()) for t in texts]))
     if odd is None:
         kind, at = character_kinds(texts)
         odd = np.add.reduceat(kind == ODD, at[:-1], dtype=np.int64) if n else at[:0]
+    split = [cells(t) for t in texts]
     out = []
     for i, (t, toks, strange) in enumerate(zip(texts, tokens, odd.tolist())):
         s = t.strip()
         known = len([w for w in toks if w in common])
-        if known == len(toks) > 2 and s[0].islower() and width[i] == 1 and not strange and copies[s] < FILLER and "...." not in s and toks.count(toks[1]) == 1:
-            out.append(PROSE)  # the middle of running text
+        leader = "...." in s or "··" in s or "……" in s
+        alone = len(split[i][1]) == 1
+        few = len(toks) > 5 and len(set(toks)) <= len(toks) // 3
+        if alone and known == len(toks) and not strange and not few and not leader and s[:1].islower() and copies[s] < FILLER and not _ENUM.match(s):
+            out.append(PROSE)  # nothing below could hold: no cells, no junk, no entry without a capital or an opening
             continue
         words = [w for w in toks if not w[0].isdigit()] if known < len(toks) else toks
         if strange > ODD_SHARE * len(s) or "__" in s and known < 3 and _BLANKS.search(s):
             out.append(JUNK)
-            continue
-        if width[i] >= 2 and max(0, i - ALIGNED) < n and any(width[j] == width[i] for j in range(max(0, i - ALIGNED), min(n, i + ALIGNED + 1)) if j != i):
-            values = sum(_VALUE.match(c) is not None for c in split[i])
-            if values or width[i] >= 3 and sum(len(c) for c in split[i]) <= 25 * width[i]:
-                out.append(TABLE)
-                continue
-        if width[i] >= 3 and sum(_VALUE.match(c) is not None for c in split[i]) * 2 >= width[i]:
+        elif not alone and in_table(i, split, texts):
             out.append(TABLE)
-            continue
-        if copies[s] >= FILLER and len(s) > 8 and known < FAMILIAR * len(words) or len(words) > 1 and known < READABLE * len(words) or len(toks) > 5 and len(set(toks)) <= len(toks) // 3:
+        elif copies[s] >= FILLER and len(s) > 8 and known < FAMILIAR * len(words) or len(words) > 1 and known < READABLE * len(words) or few:
             out.append(JUNK)
-            continue
-        if ("...." in s or "··" in s or "……" in s) and _LEADER.search(s):
-            out.append(LIST)
-            continue
-        opened = _ENUM.match(s)
-        rest = s[opened.end() :] if opened else s
-        sentence = _SENTENCE.search(rest) is not None or len(rest) > 160
-        following = texts[i + 1].lstrip() if i + 1 < n else ""
-        runs_on = bool(following) and not _ENUM.match(following) and following[0].islower()
-        if opened and not sentence and not runs_on and (size[i] < 0.8 * full or filled < 0.5 or i + 1 == n or _ENUM.match(following)):
-            out.append(LIST)
-        elif not opened and not sentence and s.count(",") >= 2 and len(toks) <= 2.2 * (s.count(",") + 1) and s[:1].isupper() and not runs_on:
-            out.append(LIST)
-        elif not opened and not sentence and not regular and filled < 0.35 and len(toks) <= 6 and s[:1].isupper() and not runs_on and (i == 0 or not texts[i - 1].rstrip()[-1:].islower() or out[-1] == LIST):
+        elif leader and _LEADER.search(s):
             out.append(LIST)
         else:
-            out.append(PROSE)
+            out.append(LIST if list_evidence(i, texts, toks, out, size[i] < 0.8 * full, filled, rhythm, running) >= ITEM else PROSE)
     return out
 
 
@@ -269,10 +331,12 @@ _FIGURES = ["lines", "characters", "letters", "spaces", "symbols", "replaced", "
 
 def figures(texts: list[str], common: frozenset[str]) -> list[int]:
     tokens = line_words(texts)
+    own = own_words(tokens, common)
+    readable = common | own if own else common
     kind, at = character_kinds(texts)
     of = np.bincount(kind, minlength=7).tolist()
     words = [w for t in tokens for w in t]
-    classes = Counter(classify_lines(texts, tokens, common, np.add.reduceat(kind == ODD, at[:-1], dtype=np.int64)))
+    classes = Counter(classify_lines(texts, tokens, readable, np.add.reduceat(kind == ODD, at[:-1], dtype=np.int64)))
     return [
         len(texts), len(kind) - 1, of[LETTER], of[SPACE] - 1, of[SYMBOL] + of[ODD], sum(t.count("�") for t in texts), len(words), sum(map(len, words)),
         len([w for w in words if len(w) == 1]), len([w for w in words if w in common]), sum(t.rstrip()[-1:] in _END for t in texts), *(classes[k] for k in CLASSES),
@@ -282,20 +346,20 @@ def figures(texts: list[str], common: frozenset[str]) -> list[int]:
 def document_figures(lines: DataFrame) -> DataFrame:
     """(document_id, *_FIGURES): counts over each document's running text, running heads, feet and notes
     aside. They are taken by chunk and added up, so no document is ever in one task."""
-    words = lines.sparkSession.sparkContext.broadcast(common_words(lines))
+    shared = lines.sparkSession.sparkContext.broadcast(common_words(lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roles, common = Roles([]), words.value
+        common, roles = shared.value, Roles()
         for b in batches:
             rows = []
-            for did, page, _, texts, ahead in groups(b):
-                role = roles.of(did, page, texts)
+            for heads, (did, page, _, texts, ahead) in zip(heads_of(b), groups(b)):
+                role = roles.of(did, page, texts, heads)
                 body = [t for t, r, a in zip(texts, role, ahead) if r == BODY and not a and t.strip()]
                 rows.append((did, *(figures(body, common) if body else [0] * len(_FIGURES))))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)] if rows else [pa.array([], pa.string())] + [pa.array([], pa.int64())] * len(_FIGURES), ["document_id", *_FIGURES])
 
     ddl = "document_id string, " + ", ".join(f"{c} bigint" for c in _FIGURES)
-    parts = doc_chunks(lines).select("document_id", "lines").mapInArrow(run, ddl)
+    parts = doc_chunks(lines, heads=series(lines)).select("document_id", "lines").mapInArrow(run, ddl)
     return parts.groupBy("document_id").agg(*[F.sum(c).alias(c) for c in _FIGURES])
 
 

@@ -97,6 +97,13 @@ def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.document_languages(_t(spark, sf_dir, "page_lines"), model)
 
 
+def p6_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import languages
+
+    model = languages.fit(_t(spark, sf_dir, "documents"))
+    return languages.segments(_t(spark, sf_dir, "page_lines"), model)
+
+
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import containers
 

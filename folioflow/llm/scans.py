@@ -5,24 +5,31 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioflow.llm.furniture import BODY, CONFUSIONS, FOOTNOTE, FURNITURE, Roles, series
-from folioflow.llm.lines import doc_chunks, groups
-from folioflow.session import cut
+from folioflow.llm.lines import doc_chunks, groups, heads_of
+from folioflow.session import cut, stage
 
-#: A lexicon word has at least this share of all words, so there are at most 1 / share of them, and this count.
-WORD_SHARE, WORD_COUNT = 1e-6, 4
+#: Words of the lexicon at most, which bounds what is broadcast; a lexicon word is among so many most frequent
+#: ones, whatever the size of the corpus, and has this count.
+LEXICON_WORDS, WORD_COUNT = 1_000_000, 4
 #: Costs in nats: a confusion, an inserted word break, a removed one, a removed line break, a line break
 #: with a hyphen removed, a word that is not in the lexicon and each of its letters.
 CONFUSED, SPLIT, MERGED, RUN_ON, HYPHEN, STRANGE, LETTER = 4.0, 5.0, 5.0, 7.0, 0.5, 9.0, 1.6
-#: Confusions in one word at most, and letters of a lexicon word.
-MOST_CONFUSED, LONGEST = 2, 28
+#: Confusions in one word at most, letters up to which the second is tried, and letters of a lexicon word.
+MOST_CONFUSED, TWICE, LONGEST = 2, 18, 28
+#: Letters of a strange piece from which on its parts, too, may hold a confusion.
+RUN_TOGETHER = 10
+#: Pieces that are decoded together at most; a longer run of strange ones is decoded in such stretches.
+TOGETHER = 12
 #: A line with three strange words or more, and more than this share, is not prose unless decoding explains
 #: this share of them; a word of fewer letters than TELLING is explained by chance and doesn't count for that.
 STRANGE_SHARE, EXPLAINED, TELLING = 0.34, 0.5, 4
@@ -34,6 +41,7 @@ _ASCII = bytes(32 if chr(i) in _BETWEEN else i for i in range(128)) + bytes(rang
 _OTHER = [c for c in _BETWEEN if ord(c) > 127]
 _ORDINAL = re.compile(r"[0-9]+(?:st|nd|rd|th|[a-z])\Z")
 _READ = [(r, t) for t, r in CONFUSIONS]
+_REMOVED = {" ": MERGED, "\n": RUN_ON}
 
 
 def _spaced(text: str) -> str:
@@ -74,19 +82,53 @@ def _give(seen: Counter) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def lexicon(lines: DataFrame, share: float = WORD_SHARE) -> tuple[dict[str, int], int]:
-    """Counts of the words of all lines that have at least ``share`` of them, and the number of all words.
+def lexicon(lines: DataFrame, most: int = LEXICON_WORDS) -> tuple[dict[str, int], int]:
+    """Counts of the ``most`` most frequent words of all lines, as far as they occur WORD_COUNT times, and the
+    number of all words.
 
-    Counted in the scan's own tasks first, so that the shuffle carries one row a word and task. The result
-    comes to the driver: at most 1 / share words by construction.
+    Counted in the scan's own tasks first, so that the shuffle carries one row a word and task. Where the cut
+    falls is told from the number of words by size of their count, in steps of a twelfth of a doubling, of which
+    there are at most 768; words of the step that the cut falls in are left out.
     """
     counts = lines.select("text").mapInArrow(_count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     counts = cut(counts)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    kept = counts.where(F.col("n") >= max(WORD_COUNT, total * share)).toPandas()
+    step = F.floor(F.log2("n") * 12).cast("int")
+    steps = sorted(((r["step"], r["words"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()), reverse=True)
+    total, held, least = sum(n for _, _, n in steps), 0, 0
+    for k, words, _ in steps:
+        held += words
+        if held > most:
+            least = k + 1
+            break
+    kept = counts.where((F.col("n") >= WORD_COUNT) & (step >= least)).toPandas()
     return dict(zip(kept["word"], kept["n"])), total
 
 
+class Weights(dict):
+    """A weight for each character such that both sides of every confusion weigh the same. A text that is a
+    lexicon word but for confusions, however many, therefore weighs what that word does; others are told by
+    that at once."""
+
+    def __init__(self) -> None:
+        own = {c: zlib.crc32(c.encode()) + (1 << 33) for c in "etasgzy"}  # one weight a class of single letters
+        e, t, a, s, g, z, y = own.values()
+        of = {"e": e, "t": t, "a": a, "s": s, "g": g, "z": z, "y": y, "i": 1, "r": 1, "h": 2, "u": 2, "n": 2, "m": 3, "d": e + 1, "k": e + 1, "w": 2 * y, "b": 2, "c": e, "l": 1, "f": t, "o": a, "q": g, "v": y}
+        super().__init__(of)
+        for true, read in CONFUSIONS:
+            if len(true) == len(read) == 1 and read not in of:
+                self[read] = of[true]
+        for true, read in CONFUSIONS:
+            if self.of(true) != self.of(read):
+                raise ValueError(f"{true} and {read} don't weigh the same")
+
+    def __missing__(self, c: str) -> int:
+        w = self[c] = (zlib.crc32(c.encode("utf-8", "surrogatepass")) << 20) + ord(c) + (1 << 54)
+        return w
+
+    def of(self, text: str) -> int:
+        return sum(map(self.__getitem__, text))
+
+
 class Decoder:
     """Joint segmentation of a short run of pieces: which words they are, where words were split, merged or
     broken over lines, and which characters were misread."""
@@ -95,20 +137,31 @@ class Decoder:
         self.total = max(total, 2)
         self.cost = {w: -math.log(n / self.total) for w, n in counts.items() if not w.isdigit()}
         self.least = min(self.cost.values(), default=0.0)
+        self.weight = Weights()
+        self.heavy = set(map(self.weight.of, self.cost))
         self.seen: dict[tuple, tuple] = {}
         self.fine: dict[str, bool] = {}
+        self.read: dict[tuple[str, int], tuple[float, str, tuple[int, ...]]] = {}
 
     def known(self, word: str) -> bool:
         return word in self.cost
 
-    def variants(self, s: str) -> tuple[float, str, tuple[int, ...]]:
+    def variants(self, s: str, most: int = MOST_CONFUSED) -> tuple[float, str, tuple[int, ...]]:
         """The cheapest lexicon word that ``s`` can be read for, with the places of the confusions. Two are
-        tried where no single one explains it."""
+        tried where no single one explains it, and ``most`` allows it."""
+        hit = self.read.get((s, most))
+        if hit is None:
+            if len(self.read) > 400_000:
+                self.read.clear()
+            hit = self.read[s, most] = self._variants(s, most)
+        return hit
+
+    def _variants(self, s: str, most: int) -> tuple[float, str, tuple[int, ...]]:
         best = (self.cost.get(s, math.inf), s, ())
-        if best[0] <= self.least + CONFUSED:
+        if best[0] <= self.least + CONFUSED or self.weight.of(s) not in self.heavy:
             return best
         layer = [(s, (), 0)]
-        for k in range(1, MOST_CONFUSED + 1):
+        for k in range(1, most + 1):
             following = []
             for text, places, least in layer:
                 for read, true in _READ:
@@ -119,7 +172,7 @@ class Decoder:
                         c = self.cost.get(t)
                         if c is not None and c + k * CONFUSED < best[0]:
                             best = (c + k * CONFUSED, t, at)
-                        if k < MOST_CONFUSED and len(s) <= 18:
+                        if k < most and len(s) <= TWICE:
                             following.append((t, at, p + len(true)))
                         p = text.find(read, p + 1)
             if best[2]:
@@ -130,53 +183,73 @@ class Decoder:
     def decode(self, pieces: tuple[str, ...], breaks: tuple[str, ...]) -> tuple[list[str], list[bool], list[bool]]:
         """Viterbi over the pieces' letters. ``breaks`` holds what stood between two pieces: " ", "\\n" or a
         hyphen at a line end. Gives the words, for each piece whether it has a misread letter, and for each
-        break whether it was taken out."""
+        break whether it was taken out.
+
+        One lattice: an arc is a word from one place in the letters to another, with a charge for each break it
+        runs over and for a beginning or an end within a piece. A word over whole pieces may hold confusions,
+        whatever breaks it runs over, and so may a part of a piece of RUN_TOGETHER letters or more that would
+        else stay strange. A whole piece of any length may be a strange word.
+        """
         hit = self.seen.get((pieces, breaks))
         if hit is not None:
             return hit
+        out = self._path(pieces, breaks, False)
+        if out[3]:
+            out = self._path(pieces, breaks, True)
+        if len(self.seen) > 100_000:
+            self.seen.clear()
+        self.seen[pieces, breaks] = out[:3]
+        return out[:3]
+
+    def _path(self, pieces: tuple[str, ...], breaks: tuple[str, ...], parts: bool) -> tuple[list[str], list[bool], list[bool], bool]:
+        """The best path of ``decode``, without or with confusions in parts of pieces, and whether a piece of
+        RUN_TOGETHER letters or more stayed strange on it."""
         s = "".join(pieces)
         cut = [0]
         for p in pieces:
             cut.append(cut[-1] + len(p))
         kind = dict(zip(cut[1:-1], breaks))
-        inf = math.inf
-        best: list[tuple] = [(inf,)] * (len(s) + 1)
-        best[0] = (0.0, 0, "", ())
-        for i in range(len(s)):
+        ends = {a: b for a, b in zip(cut, cut[1:])}
+        n, inf = len(s), math.inf
+        before = [0, *accumulate(map(self.weight.__getitem__, s))]
+        heavy = self.heavy
+        best: list[tuple] = [(inf,)] * (n + 1)
+        best[0] = (0.0, 0, "", (), False)
+        for i in range(n):
             if best[i][0] == inf:
                 continue
-            at_cut = i in kind or i == 0
+            at_cut = i in ends
             opened = 0.0 if at_cut else SPLIT
             over = 0.0
-            for j in range(i + 1, min(len(s), i + LONGEST) + 1):
-                if j - 1 in kind and j - 1 > i:
-                    over += {" ": MERGED, "\n": RUN_ON}.get(kind[j - 1], HYPHEN)
-                arc, word, wrong = inf, s[i:j], ()
-                whole = at_cut and (j in kind or j == len(s))
-                if whole and over <= HYPHEN:
-                    arc, word, wrong = self.variants(s[i:j])
-                elif whole:
-                    arc = self.cost.get(word, inf)
-                elif j - i > 2 or j - i == 2 and (at_cut or j in kind or j == len(s)):
-                    arc = self.cost.get(word, inf)
-                if arc == inf and whole and over == 0.0:
-                    arc, word, wrong = STRANGE + LETTER * (j - i), s[i:j], ()
-                c = best[i][0] + arc + over + opened
+            for j in range(i + 1, min(n, i + LONGEST) + 1):
+                if j - 1 > i and j - 1 in kind:
+                    over += _REMOVED.get(kind[j - 1], HYPHEN)
+                word = s[i:j]
+                arc, wrong = self.cost.get(word, inf), ()
+                if at_cut and (j in kind or j == n):
+                    if before[j] - before[i] in heavy and (over == 0.0 or arc == inf):
+                        arc, word, wrong = self.variants(word, MOST_CONFUSED if over == 0.0 else 1)
+                elif j - i < 3 and not parts and not (j - i == 2 and (at_cut or j in kind or j == n)):
+                    continue
+                elif parts and arc == inf and over == 0.0 and j - i > 3 and before[j] - before[i] in heavy:
+                    arc, word, wrong = self.variants(word, 1)
+                if arc < inf and (c := best[i][0] + arc + over + opened) < best[j][0]:
+                    best[j] = (c, i, word, tuple(i + w for w in wrong), False)
+            if at_cut:
+                j = ends[i]
+                c = best[i][0] + STRANGE + LETTER * (j - i)
                 if c < best[j][0]:
-                    best[j] = (c, i, word, tuple(i + w for w in wrong))
-        words, wrong, kept, j = [], [], set(), len(s)
-        while j > 0 and best[j][0] < inf:
-            _, i, w, x = best[j]
+                    best[j] = (c, i, s[i:j], (), True)
+        words, wrong, kept, strange, j = [], [], set(), False, n
+        while j > 0:
+            _, i, w, x, odd = best[j]
             words.append(w)
             wrong += x
             kept.add(i)
+            strange |= odd and j - i >= RUN_TOGETHER
             j = i
         bad = [any(a <= w < b for w in wrong) for a, b in zip(cut, cut[1:])]
-        out = (words[::-1], bad, [p not in kept for p in cut[1:-1]])
-        if len(self.seen) > 100_000:
-            self.seen.clear()
-        self.seen[pieces, breaks] = out
-        return out
+        return words[::-1], bad, [p not in kept for p in cut[1:-1]], strange
 
     def is_fine(self, token: str) -> bool:
         """Whether one token, alone, is read as it stands."""
@@ -203,9 +276,9 @@ class Decoder:
 class Page:
     """A chunk's lines with what was found in each."""
 
-    def __init__(self, document_id: str, page: list[int], index: list[int], texts: list[str], ahead: list[bool], roles: Roles, dec: Decoder) -> None:
+    def __init__(self, document_id: str, page: list[int], index: list[int], texts: list[str], ahead: list[bool], roles: Roles, dec: Decoder, heads: Collection[str] = ()) -> None:
         self.page, self.index, self.texts, self.ahead = page, index, texts, ahead
-        self.role = roles.of(document_id, page, texts)
+        self.role = roles.of(document_id, page, texts, heads)
         self.hyphen = [False] * len(texts)
         self.misread = [False] * len(texts)
         self.tokens: list[list[str]] = line_words(texts)
@@ -213,42 +286,73 @@ class Page:
             self._scan([i for i, r in enumerate(self.role) if r == kind], dec)
 
     def _scan(self, order: list[int], dec: Decoder) -> None:
+        """Decode the running text as one stream of words without lines. Words that are read as they stand are
+        fixed; the others, and words on either side of a line end with a hyphen, are decoded with their
+        neighbours, over line ends, those next to each other together."""
         fine, known = dec.fine, dec.is_fine
-        skip_first = False
-        for n, i in enumerate(order):
+        stream: list[str] = []
+        breaks: list[str] = []
+        owner: list[int] = []
+        marked: list[int] = []
+        ends: list[tuple[int, int]] = []
+        odd_of: dict[int, int] = {}
+        for i in order:
             toks = self.tokens[i]
+            if not toks:
+                continue
             text = self.texts[i].rstrip()
-            broken = len(text) > 1 and text[-1] in MARKS and bool(toks) and (text[-2].isalpha() or unicodedata.category(text[-2])[0] == "M")
-            odd = [k for k, t in enumerate(toks) if not (fine[t] if t in fine else known(t))]
-            own_first, skip_first = skip_first, False
-            first, last = int(own_first), len(toks) - broken
-            read = []
-            for k in odd:
-                if not first <= k < last:
+            at = len(stream)
+            if ends and ends[-1][0] == at - 1:
+                marked.append(at)  # what a broken word goes on with
+            odd = [at + k for k, t in enumerate(toks) if not (fine[t] if t in fine else known(t))]
+            odd_of[i] = len(odd)
+            marked += [k for k in odd if not marked or k > marked[-1]]
+            stream += toks
+            owner += [i] * len(toks)
+            breaks += [" "] * (len(toks) - 1) + ["\n"]
+            if len(text) > 1 and text[-1] in MARKS and (text[-2].isalpha() or unicodedata.category(text[-2])[0] == "M"):
+                last = len(stream) - 1
+                breaks[last] = text[-1]
+                ends.append((last, i))
+                if not marked or marked[-1] != last:
+                    marked.append(last)
+        bad: set[int] = set()
+        removed: set[int] = set()
+        n, a = len(stream), 0
+        while a < len(marked):
+            b = a + 1
+            while b < len(marked) and marked[b] - marked[b - 1] <= 1 and marked[b] - marked[a] < TOGETHER - 2:
+                b += 1
+            lo, hi = max(0, marked[a] - 1), min(n, marked[b - 1] + 2)
+            if breaks[marked[b - 1]] not in " \n" and hi < n and b - a > 1 and hi - lo <= TOGETHER:
+                hi += breaks[hi - 1] == " "
+            _, wrong, out = dec.decode(tuple(stream[lo:hi]), tuple(breaks[lo : hi - 1]))
+            for k in marked[a:b]:
+                if wrong[k - lo] or dec.number(stream[k]):
+                    bad.add(k)
+                if k + 1 < hi and out[k - lo]:
+                    removed.add(k)
+            a = b
+        joined: set[int] = set()
+        for k, i in ends:
+            if k + 1 == n or not stream[k + 1][0].isalpha():
+                self.hyphen[i] = not dec.known(stream[k])
+            elif k in removed or not dec.known(stream[k + 1]):
+                self.hyphen[i] = True
+                joined |= {k, k + 1}
+                for x in (k, k + 1):
+                    if x in bad:
+                        self.misread[owner[x]] = True
+        read: dict[int, list[int]] = {}
+        for k in bad - joined:
+            read.setdefault(owner[k], []).append(k)
+        for i, found in read.items():
+            if odd_of[i] > 2:
+                toks = self.tokens[i]
+                strange = [t for t in toks if t not in dec.cost and not t.isdigit()]
+                if len(strange) > STRANGE_SHARE * len(toks) and sum(len(stream[k]) >= TELLING for k in found) < EXPLAINED * len(strange):
                     continue
-                lo, hi = max(k - 1, first), min(k + 2, last)
-                if dec.number(toks[k]) or dec.decode(tuple(toks[lo:hi]), (" ",) * (hi - lo - 1))[1][k - lo]:
-                    read.append(toks[k])
-            if read and len(odd) > 2:
-                strange = [k for k, t in enumerate(toks) if t not in dec.cost and not t.isdigit()]
-                own = sum(first <= k < last for k in strange)
-                if len(strange) > STRANGE_SHARE * len(toks) and sum(len(t) >= TELLING for t in read) < EXPLAINED * own:
-                    read = []
-            self.misread[i] |= bool(read)
-            if not broken:
-                continue
-            j = order[n + 1] if n + 1 < len(order) else None
-            rest = self.tokens[j] if j is not None else []
-            if not rest or not rest[0][0].isalpha():
-                self.hyphen[i] = not dec.known(toks[-1])
-                continue
-            words, bad, out = dec.decode((toks[-1], rest[0]), (text[-1],))
-            joined = out[0] or not dec.known(rest[0])
-            self.hyphen[i] = joined
-            if joined:
-                self.misread[i] |= bad[0]
-                self.misread[j] |= bad[1]
-                skip_first = True
+            self.misread[i] = True
 
     def noise(self) -> Iterator[tuple[int, str]]:
         for i, at in enumerate(self.index):
@@ -262,9 +366,10 @@ class Page:
                 if self.misread[i]:
                     yield at, "misread"
 
-    def paragraphs(self, dec: Decoder) -> Iterator[tuple[str, int, int, str]]:
-        """(kind, first stream index, last, text) of the running text and the notes, repaired, furniture
-        left out. Lines of the chunks before and after only lend their words to what is broken at either end."""
+    def paragraphs(self, dec: Decoder) -> Iterator[tuple[str, int, int, str, bool, bool]]:
+        """(kind, first stream index, last, text, runs on from the chunk before, runs on in the next) of the
+        running text and the notes, repaired, furniture left out. Lines of the chunks before and after only lend
+        their words to what is broken at either end."""
         for kind, name in ((BODY, "text"), (FOOTNOTE, "note")):
             order = [i for i, r in enumerate(self.role) if r == kind and self.texts[i].strip()]
             lines = repaired([self.texts[i] for i in order], [self.hyphen[i] for i in order], [self.misread[i] for i in order], dec)
@@ -272,7 +377,7 @@ class Page:
                 own = [k for k in range(a, b) if not self.ahead[order[k]]]
                 text = _KEPT.sub("-", " ".join(lines[k] for k in own if lines[k]))
                 if own and text:
-                    yield name, self.index[order[own[0]]], self.index[order[own[-1]]], text
+                    yield name, self.index[order[own[0]]], self.index[order[own[-1]]], text, own[0] > a, own[-1] < b - 1
 
 
 _DIGITS = str.maketrans("lIi|oOsSbB", "1111005588")
@@ -375,15 +480,13 @@ def paragraph_spans(texts: list[str], hyphens: list[bool]) -> list[tuple[int, in
 
 
 class Model:
-    """What all tasks share: the lexicon and the heads of series, both of proven size."""
+    """What all tasks share: the lexicon, of LEXICON_WORDS words at most."""
 
     def __init__(self, lines: DataFrame) -> None:
-        counts, total = lexicon(lines)
-        self.value = lines.sparkSession.sparkContext.broadcast((counts, total, series(lines)))
+        self.value = lines.sparkSession.sparkContext.broadcast(lexicon(lines))
 
     def tools(self) -> tuple[Decoder, Roles]:
-        counts, total, heads = self.value.value
-        return Decoder(counts, total), Roles(heads)
+        return Decoder(*self.value.value), Roles()
 
 
 def noisy_lines(lines: DataFrame) -> DataFrame:
@@ -400,36 +503,48 @@ def noisy_lines(lines: DataFrame) -> DataFrame:
         dec, roles = model.tools()
         for b in batches:
             ids, at, noise = [], [], []
-            for did, page, index, texts, ahead in groups(b):
-                for i, kind in Page(did, page, index, texts, ahead, roles, dec).noise():
+            for heads, (did, page, index, texts, ahead) in zip(heads_of(b), groups(b)):
+                for i, kind in Page(did, page, index, texts, ahead, roles, dec, heads).noise():
                     ids.append(did)
                     at.append(i)
                     noise.append(kind)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(at, pa.int32()), pa.array(noise, pa.string())], ["document_id", "stream_index", "noise"])
 
-    return doc_chunks(lines, back=True).select("document_id", "lines").mapInArrow(run, "document_id string, stream_index int, noise string")
+    return doc_chunks(lines, True, series(lines)).select("document_id", "lines").mapInArrow(run, "document_id string, stream_index int, noise string")
 
 
 def paragraphs(lines: DataFrame) -> DataFrame:
     """(document_id, chunk, kind, paragraph, first_index, last_index, text): each document as continuous
     paragraphs of repaired text, its notes as paragraphs of kind ``note``, without running heads, feet and
-    page numbers. ``paragraph`` counts within the chunk and kind, which is the order to read them in."""
+    page numbers. ``paragraph`` counts within the chunk and kind; first_index is the order to read them in. A
+    paragraph that runs over the end of a chunk is told there, where both sides are seen, and its parts are put
+    together again: at most two rows a chunk and kind take part in that."""
     model = Model(lines)
-    schema = "document_id string, chunk int, kind string, paragraph int, first_index int, last_index int, text string"
+    names = ["document_id", "chunk", "kind", "paragraph", "first_index", "last_index", "text", "from_before", "on_after"]
+    types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
+    schema = "document_id string, chunk int, kind string, paragraph int, first_index int, last_index int, text string, from_before boolean, on_after boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dec, roles = model.tools()
         for b in batches:
             rows: list[tuple] = []
-            for chunk, (did, page, index, texts, ahead) in zip(b.column(2).to_pylist(), groups(b)):
+            for chunk, heads, (did, page, index, texts, ahead) in zip(b.column(2).to_pylist(), heads_of(b), groups(b)):
                 seen: Counter[str] = Counter()
-                for kind, first, last, text in Page(did, page, index, texts, ahead, roles, dec).paragraphs(dec):
-                    rows.append((did, chunk, kind, seen[kind], first, last, text))
+                for kind, *rest in Page(did, page, index, texts, ahead, roles, dec, heads).paragraphs(dec):
+                    rows.append((did, chunk, kind, seen[kind], *rest))
                     seen[kind] += 1
-            types = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], ["document_id", "chunk", "kind", "paragraph", "first_index", "last_index", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)] if rows else [pa.array([], t) for t in types], names)
 
-    return doc_chunks(lines, back=True).select("document_id", "lines", "chunk").mapInArrow(run, schema)
+    rows = stage(doc_chunks(lines, True, series(lines)).select("document_id", "lines", "chunk").mapInArrow(run, schema), "paragraphs")
+    open_ = F.col("from_before") | F.col("on_after")
+    w = Window.partitionBy("document_id", "kind").orderBy("first_index")
+    linked = F.col("from_before") & F.coalesce(F.lag("on_after").over(w) & (F.lag("chunk").over(w) == F.col("chunk") - 1), F.lit(False))
+    parts = rows.where(open_).withColumn("fresh", (~linked).cast("int")).withColumn("whole", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_index", "text"))), lambda x: x["text"]), " ")
+    first = lambda c: F.min_by(c, "first_index").alias(c)
+    merged = parts.groupBy("document_id", "kind", "whole").agg(first("chunk"), first("paragraph"), F.min("first_index").alias("first_index"), F.max("last_index").alias("last_index"), F.regexp_replace(text, r"(?<=\\w)[-‐] (?=[a-z])", "-").alias("text"))
+    out = names[:7]
+    return rows.where(~open_).select(out).unionByName(merged.select(out))
 
 
 def repaired_labels(labels: DataFrame, lines: DataFrame, keys: list[str]) -> DataFrame:
@@ -449,7 +564,7 @@ def repaired_labels(labels: DataFrame, lines: DataFrame, keys: list[str]) -> Dat
                     if len(memo) > 100_000:
                         memo.clear()
                     texts = t.split("\n")
-                    page = Page("", [1] * len(texts), list(range(len(texts))), texts, [False] * len(texts), Roles([]), dec)
+                    page = Page("", [1] * len(texts), list(range(len(texts))), texts, [False] * len(texts), Roles(), dec)
                     broken = [len(x.rstrip()) > 1 and x.rstrip()[-1] in MARKS and page.hyphen[i] for i, x in enumerate(texts)]
                     memo[t] = " ".join(x for x in repaired(texts, broken, page.misread, dec) if x)
                 out.append(None if t is None else memo[t])

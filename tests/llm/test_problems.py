@@ -192,8 +192,19 @@ def test_splits_and_merges():
     assert dec.decode(("har", "bour"), ("-",))[0] == ["harbour"]
 
 
+def test_one_lattice_of_breaks_and_confusions():
+    dec = decoder()
+    assert dec.decode(("cer", "fificate"), ("-",)) == (["certificate"], [False, True], [True])
+    assert dec.decode(("rn", "arket"), (" ",))[0] == ["market"]
+    assert dec.decode(("certificateof0wner",), ()) == (["certificate", "of", "owner"], [True], [])
+    long = "x" * 40
+    assert dec.decode(("tbe", long, "fund"), (" ", " "))[0] == ["the", long, "fund"]
+    p = page(["every owner shall regis-", "fer the fund", "of the cer-", "tificateandany estate"])
+    assert p.hyphen[:3:2] == [True, True] and p.misread == [False, True, False, False]
+
+
 def page(texts, pages=None, did="x__1"):
-    return scans.Page(did, pages or [1] * len(texts), list(range(len(texts))), texts, [False] * len(texts), Roles([]), decoder())
+    return scans.Page(did, pages or [1] * len(texts), list(range(len(texts))), texts, [False] * len(texts), Roles(), decoder())
 
 
 def test_broken_words_and_compounds():
@@ -221,7 +232,7 @@ def test_furniture_and_its_neighbours():
 
 def test_notes_at_the_foot():
     texts = ["every owner shall deposit the fund", "1. Subs. by Act 4 of 1950, s. 2, for the fund", "2. See now the estate", "3"]
-    assert Roles([]).of("d__1", [1] * 4, texts) == [BODY, FOOTNOTE, FOOTNOTE, FURNITURE]
+    assert Roles().of("d__1", [1] * 4, texts) == [BODY, FOOTNOTE, FOOTNOTE, FURNITURE]
 
 
 @pytest.mark.parametrize(("text", "is_number"), [("12", True), ("- 4 -", True), ("Page 2 of ll", True), ("[l7O]", True), ("xxxvii", True), ("( 3O )", True), ("137.", True), ("owner", False), ("mi", True), ("did", False), ("", False), ("12 apples", False)])
@@ -400,6 +411,34 @@ def test_labels_that_fail_to_name(spark, crf):
     assert got == {("b", "fr"), ("d", "mr")}
 
 
+def test_segments(spark, crf):
+    r = random.Random(5)
+    say = lambda k, n: [" ".join(r.choices(POOLS[k], k=9)) for _ in range(n)]
+    docs = {"a": [say("en", 8) + say("hi", 6), say("hi", 2) + ["12"] + say("en", 4)], "b": [say("fr", 9)]}
+    got = [tuple(x)[:5] for x in languages.segments(lines_of(spark, docs | {f"z{i}{n}": [say(k, 40)] for i, k in enumerate(POOLS) for n in (1, 2)}), crf).where("document_id < 'z'").orderBy("document_id", "first_index").select("document_id", "first_index", "last_index", "language", "lines").collect()]
+    assert got == [("a", 0, 7, "en", 8), ("a", 8, 15, "hi", 8), ("a", 17, 20, "en", 4), ("b", 0, 8, "fr", 9)]
+    assert languages.segments(lines_of(spark, docs).limit(0), crf).count() == 0
+
+
+def test_a_rare_language_among_many_documents(spark, crf, monkeypatch):
+    monkeypatch.setattr(quality, "COMMON_SHARE", 0.2)  # as two documents are in a thousand
+    r = random.Random(6)
+    rare = [a + b for a in ("zor", "mek", "plia", "hund", "vost", "quel") for b in ("tan", "ire", "oble", "usk", "emma", "ahn")]
+    docs = {f"e{i}": [[" ".join(r.choices(EN, k=9)) for _ in range(12)]] for i in range(20)} | {"t": [[" ".join(r.choices(TA, k=9)) for _ in range(12)]], "r": [[" ".join(r.choices(rare, k=9)) for _ in range(30)]]}
+    docs["j"] = [["".join(r.choice("bcdfghjklmnp") for _ in range(r.randint(4, 8))) + " " + "".join(r.choice("bcdfgx") for _ in range(5)) for _ in range(30)]]
+    df = lines_of(spark, docs)
+    assert {"t"} == {x[0] for x in languages.document_languages(df, crf).where("language = 'ta'").select("document_id").collect()}
+    assert {tuple(x) for x in quality.found(df).collect()} == {("j", "junk")}
+
+
+def test_long_chains_run_whole(crf, monkeypatch):
+    r = random.Random(7)
+    chains = [r.choices(EN + HI, k=n) for n in (1, 5, 700, 3, 2000)]
+    whole = crf.word_marginals(chains)
+    monkeypatch.setattr(languages, "SIDE_BY_SIDE", 1)
+    assert np.allclose(whole, np.concatenate([crf.word_marginals([c]) for c in chains]))
+
+
 def test_label_forms(spark):
     df = spark.createDataFrame([("EN",), ("en-IN",), ("hi/mr",), ("हिन्दी",), ("und",), ("",), (None,), ("ta; French",), ("english ",)], "l string")
     assert [r[0] for r in df.select(languages.label_languages(F.col("l"))).collect()] == [["en"], ["en"], ["hi", "mr"], ["hi"], [], [], [], ["ta", "fr"], ["en"]]
