@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ ALIGNED, STANDS_UNDER = 2, 0.6
 ITEM = 3
 
 _ENUM = re.compile(r"\s*(?:[\[(](?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,7})[\])]|(?:\d{1,3}|[A-Za-z]|[ivxlcIVXLC]{1,7})[.)]\s|[•\-*–—▪◦·‣►]\s)")
+_BULLETS = frozenset("0123456789[(•-*–—▪◦·‣►")
 _LEADER = re.compile(r"[.·…]{4,}\s*\S{0,8}\s*\Z")
 _BLANKS = re.compile(r"_{3,}|\.{12,}\Z")
 _GAP = re.compile(r"(?<=\S)\s{2,}(?=\S)")
@@ -48,8 +50,8 @@ _END = frozenset(".!?;:।")
 _SENTENCE = re.compile(r"[.!?।](?:\s|\Z)")
 
 
-#: Parts that a document's words are dealt into, and words that one task holds before it gives them.
-PARTS, HELD = 8, 400_000
+#: Words that one task holds before it gives them; a document with more than MANY of them gives them in PARTS.
+HELD, MANY, PARTS = 400_000, 20_000, 8
 #: Stands among a document's words for the document itself and, with a number after it, for its scripts. No
 #: word holds this character.
 MARK_OF = "="
@@ -63,69 +65,80 @@ def script_of(word: str) -> int:
     return min(c >> 7, FAR_SCRIPTS) if c > 0x24F else 0
 
 
-def _place(word: str) -> tuple[int, str]:
-    """The part of a word, and the mark of its script where it begins with a letter."""
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % PARTS, f"{MARK_OF}{script_of(word)}" if word[0].isalpha() else MARK_OF
+def marks_of(words: set[str]) -> set[str]:
+    """The marks of a document with these words and of the scripts of those that begin with a letter."""
+    return {MARK_OF, *(f"{MARK_OF}{script_of(c)}" for c in {w[0] for w in words} if c.isalpha())}
+
+
+def part_of(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % PARTS
+
+
+def runs(b: pa.RecordBatch) -> Iterator[tuple[str, str]]:
+    """Of a batch of (document_id, text): each run of rows of one document as one text, joined in Arrow."""
+    if b.num_rows:
+        ids = b.column(0).dictionary_encode()
+        place = np.asarray(ids.indices)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [b.num_rows]]).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), b.column(1).fill_null("")), "\n")
+        yield from zip(ids.dictionary.take(pa.array(place[cuts[:-1]])).to_pylist(), texts.to_pylist())
 
 
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(document_id, part, words): the different words of each document, as far as a task sees it, with the
-    marks of the document and its scripts in part 0."""
+    marks of the document and its scripts. Part -1 holds whatever the document's words are; a document of very
+    many gives them by part."""
     held: dict[str, set[str]] = defaultdict(set)
-    place: dict[str, tuple[int, str]] = {}
     size = 0
 
     def give() -> pa.RecordBatch:
-        ids, part, words = [], [], []
+        rows: list[tuple[str, int, str]] = []
         for did, own in held.items():
-            parts: list[list[str]] = [[] for _ in range(PARTS)]
-            marks = {MARK_OF}
+            marks = marks_of(own)
+            if len(own) <= MANY:
+                rows.append((did, -1, " ".join(own | marks)))
+                continue
+            parts: dict[int, list[str]] = defaultdict(list)
             for w in own:
-                p = place.get(w)
-                if p is None:
-                    p = place[w] = _place(w)
-                parts[p[0]].append(w)
-                marks.add(p[1])
-            parts[0] += marks
-            for k, x in enumerate(parts):
-                if x:
-                    ids.append(did)
-                    part.append(k)
-                    words.append(" ".join(x))
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(part, pa.int32()), pa.array(words, pa.string())], ["document_id", "part", "words"])
+                parts[part_of(w)].append(w)
+            rows += [(did, -1, " ".join(marks)), *((did, k, " ".join(x)) for k, x in parts.items())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.string()))] if rows else [pa.array([], pa.string()), pa.array([], pa.int32()), pa.array([], pa.string())], ["document_id", "part", "words"])
 
     for b in batches:
-        texts = defaultdict(list)
-        for did, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            texts[did].append(t or "")
-        for did, x in texts.items():
+        for did, text in runs(b):
             own = held[did]
             before = len(own)
-            own.update(words_of("\n".join(x)))
+            own.update(words_of(text))
             size += len(own) - before
         if size > HELD:
             yield give()
             held.clear()
             size = 0
-            if len(place) > HELD:
-                place.clear()
     yield give()
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each word, from rows in order of (document_id, part) that are all in one task."""
+    """Documents of each word, from rows in order of (document_id, part) of which those of a document are all in
+    one task. Words of part -1 wait for the part they belong to, if the document has parts."""
     seen: Counter[str] = Counter()
-    now, own = None, set()
+    now, at, own, waiting = None, -1, set(), set()
     for b in batches:
         for did, part, words in zip(*(c.to_pylist() for c in b.columns)):
-            if (did, part) != now:
+            if did != now:
+                seen.update(own | waiting)
+                now, at, own, waiting = did, -1, set(), set()
+            if part != at:
+                if at < 0:
+                    own, waiting = set(), own
                 seen.update(own)
-                now, own = (did, part), set()
+                own = {w for w in waiting if part_of(w) == part}
+                waiting -= own
+                at = part
             own.update(words.split(" "))
         if len(seen) > HELD:
             yield from _give(seen)
             seen = Counter()
-    seen.update(own)
+    seen.update(own | waiting)
     yield from _give(seen)
 
 
@@ -135,7 +148,7 @@ def common_words(lines: DataFrame) -> frozenset[str]:
     are left out. A word is held against the documents that have words of its script, so that a rare script
     is judged by its own documents."""
     rows = lines.where("document_id is not null").select("document_id", "text").mapInArrow(_partial, "document_id string, part int, words string")
-    rows = rows.repartition("document_id", "part").sortWithinPartitions("document_id", "part")
+    rows = rows.repartition("document_id").sortWithinPartitions("document_id", "part")
     counts = cut(rows.mapInArrow(_frequencies, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
     marks = {r["word"][1:]: r["n"] for r in counts.where(F.col("word").startswith(MARK_OF)).collect()}
     least = lambda n: max(COMMON_LEAST, n * COMMON_SHARE)
@@ -236,6 +249,15 @@ def autocorrelation(x: np.ndarray, most: int = 4) -> float:
     return max(float((x[k:] * x[:-k]).sum()) / base for k in range(1, most + 1))
 
 
+def upper(x: np.ndarray, share: float = 0.9) -> float:
+    """The value that ``share`` of a series lie below, between two by proportion; 0 of an empty one."""
+    if not len(x):
+        return 0.0
+    x, at = np.sort(x), share * (len(x) - 1)
+    k = int(at)
+    return float(x[k] + (x[min(k + 1, len(x) - 1)] - x[k]) * (at - k))
+
+
 def periodicity(indent: np.ndarray) -> float:
     """How regularly indented lines recur: the greatest autocorrelation of the indentation."""
     return autocorrelation(indent.astype(float)) if indent.any() else 0.0
@@ -256,7 +278,15 @@ def in_table(i: int, split: list[tuple[str, list[str]]], texts: list[str]) -> bo
     return mark in " |" and any(split[j][0] == mark and alignment(columns(texts[i]), columns(texts[j])) >= STANDS_UNDER for j in near)
 
 
-def list_evidence(i: int, texts: list[str], toks: list[str], out: list[str], short: bool, filled: float, rhythm: float, running: float) -> int:
+def opening(s: str) -> int:
+    """Characters of the number, letter or bullet that a line opens with; 0 for none."""
+    if s[:1] in _BULLETS or "." in s[1:9] or ")" in s[1:9]:
+        m = _ENUM.match(s)
+        return m.end() if m else 0
+    return 0
+
+
+def list_evidence(i: int, bare: list[str], toks: list[str], out: list[str], short: bool, filled: float, rhythm: float, running: float) -> int:
     """What speaks for a line as an entry of a list, in points; ITEM or more make it one.
 
     A sentence, or small letters that go on in the next line, take away all. An opened line (a number, letter or
@@ -265,64 +295,67 @@ def list_evidence(i: int, texts: list[str], toks: list[str], out: list[str], sho
     fill, for few words, and for no line before that breaks off. Indentation that recurs adds 1 and line
     lengths that follow each other take 2, as the fill of running text makes them do.
     """
-    s = texts[i].strip()
-    opened = _ENUM.match(s)
-    rest = s[opened.end() :] if opened else s
-    following = texts[i + 1].lstrip() if i + 1 < len(texts) else ""
-    if _SENTENCE.search(rest) or len(rest) > 160:
-        return 0
-    next_opened = bool(following) and _ENUM.match(following) is not None
+    s = bare[i]
+    following = bare[i + 1] if i + 1 < len(bare) else ""
+    next_opened = opening(following) > 0
     if following[:1].islower() and not next_opened:
         return 0
+    opened = opening(s)
+    if not opened and not s[:1].isupper():
+        return 0
+    if len(s) - opened > 160 or _SENTENCE.search(s, opened):
+        return 0
     if opened:
         return 2 + (short or filled < 0.5 or not following or next_opened)
-    if not s[:1].isupper():
-        return 0
     if s.count(",") >= 2 and len(toks) <= 2.2 * (s.count(",") + 1):
         return ITEM
-    whole = i == 0 or out[-1] == LIST or not texts[i - 1].rstrip()[-1:].islower()
+    whole = i == 0 or out[-1] == LIST or not bare[i - 1][-1:].islower()
     return (filled < 0.35) + (len(toks) <= 6) + whole + (rhythm > 0.5) - 2 * (running > 0.5)
 
 
-def classify_lines(texts: list[str], tokens: list[list[str]], common: frozenset[str] | set[str], odd: np.ndarray | None = None) -> list[str]:
+def classify_lines(texts: list[str], tokens: list[list[str]], common: frozenset[str] | set[str], odd: np.ndarray | None = None, known: list[int] | None = None) -> list[str]:
     """A class for each line of one group, from the line and the ones around it.
 
     Tables: rows of cells that are values or stand under those of other rows (``in_table``). Junk: characters
     that aren't writing, blanks to fill in, lines repeated, words that aren't words. Lists: led by dots to a
     page, or enough evidence for an entry (``list_evidence``), in which the group's fill, the periodicity of its
-    indentation and the autocorrelation of its line lengths count.
+    indentation and the autocorrelation of its line lengths count. ``known`` is the number of common words of each.
     """
     n = len(texts)
     size = np.array([len(t.rstrip()) for t in texts], float)
-    full = np.percentile(size, 90) if n else 0.0
+    full = upper(size)
     filled = float((size >= 0.8 * full).mean()) if n else 0.0
-    copies = Counter(t.strip() for t in texts)
+    bare = [t.strip() for t in texts]
+    copies = Counter(bare)
     running, rhythm = autocorrelation(size), periodicity(np.array([len(t) - len(t.lstrip()) for t in texts]))
     if odd is None:
         kind, at = character_kinds(texts)
         odd = np.add.reduceat(kind == ODD, at[:-1], dtype=np.int64) if n else at[:0]
-    split = [cells(t) for t in texts]
-    out = []
-    for i, (t, toks, strange) in enumerate(zip(texts, tokens, odd.tolist())):
-        s = t.strip()
-        known = len([w for w in toks if w in common])
-        leader = "...." in s or "··" in s or "……" in s
+    if known is None:
+        known = [len([w for w in x if w in common]) for x in tokens]
+    short = (size < 0.8 * full).tolist()
+    split = [cells(t) for t in bare]
+    out: list[str] = []
+    for i, (s, toks, strange, k) in enumerate(zip(bare, tokens, odd.tolist(), known)):
+        words = len(toks)
         alone = len(split[i][1]) == 1
-        few = len(toks) > 5 and len(set(toks)) <= len(toks) // 3
-        if alone and known == len(toks) and not strange and not few and not leader and s[:1].islower() and copies[s] < FILLER and not _ENUM.match(s):
+        few = words > 5 and len(set(toks)) <= words // 3
+        leader = "...." in s or "··" in s or "……" in s
+        if alone and k == words and s[:1].islower() and not strange and not few and not leader and copies[s] < FILLER and not opening(s):
             out.append(PROSE)  # nothing below could hold: no cells, no junk, no entry without a capital or an opening
             continue
-        words = [w for w in toks if not w[0].isdigit()] if known < len(toks) else toks
-        if strange > ODD_SHARE * len(s) or "__" in s and known < 3 and _BLANKS.search(s):
+        if k < READABLE * words or copies[s] >= FILLER:
+            words -= len([w for w in toks if w[0].isdigit()])
+        if strange > ODD_SHARE * len(s) or "__" in s and k < 3 and _BLANKS.search(s):
             out.append(JUNK)
         elif not alone and in_table(i, split, texts):
             out.append(TABLE)
-        elif copies[s] >= FILLER and len(s) > 8 and known < FAMILIAR * len(words) or len(words) > 1 and known < READABLE * len(words) or few:
+        elif copies[s] >= FILLER and len(s) > 8 and k < FAMILIAR * words or words > 1 and k < READABLE * words or few:
             out.append(JUNK)
         elif leader and _LEADER.search(s):
             out.append(LIST)
         else:
-            out.append(LIST if list_evidence(i, texts, toks, out, size[i] < 0.8 * full, filled, rhythm, running) >= ITEM else PROSE)
+            out.append(LIST if list_evidence(i, bare, toks, out, short[i], filled, rhythm, running) >= ITEM else PROSE)
     return out
 
 
@@ -331,15 +364,18 @@ _FIGURES = ["lines", "characters", "letters", "spaces", "symbols", "replaced", "
 
 def figures(texts: list[str], common: frozenset[str]) -> list[int]:
     tokens = line_words(texts)
-    own = own_words(tokens, common)
-    readable = common | own if own else common
+    known = [len([w for w in x if w in common]) for x in tokens]
+    readable, some = common, known
+    if sum(map(len, tokens)) - sum(known) >= OWN_LINES * OWN_WORDS and (own := own_words(tokens, common)):
+        readable = common | own
+        some = [len([w for w in x if w in readable]) for x in tokens]
     kind, at = character_kinds(texts)
     of = np.bincount(kind, minlength=7).tolist()
     words = [w for t in tokens for w in t]
-    classes = Counter(classify_lines(texts, tokens, readable, np.add.reduceat(kind == ODD, at[:-1], dtype=np.int64)))
+    classes = Counter(classify_lines(texts, tokens, readable, np.add.reduceat(kind == ODD, at[:-1], dtype=np.int64), some))
     return [
         len(texts), len(kind) - 1, of[LETTER], of[SPACE] - 1, of[SYMBOL] + of[ODD], sum(t.count("�") for t in texts), len(words), sum(map(len, words)),
-        len([w for w in words if len(w) == 1]), len([w for w in words if w in common]), sum(t.rstrip()[-1:] in _END for t in texts), *(classes[k] for k in CLASSES),
+        len([w for w in words if len(w) == 1]), sum(known), sum(t.rstrip()[-1:] in _END for t in texts), *(classes[k] for k in CLASSES),
     ]
 
 

@@ -11,6 +11,7 @@ from collections.abc import Collection, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +71,9 @@ def line_words(texts: list[str]) -> list[list[str]]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[str] = Counter()
     for b in batches:
-        seen.update(words_of("\n".join(t for t in b.column(0).to_pylist() if t)))
+        if b.num_rows:
+            whole = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column(0).fill_null(""))
+            seen.update(words_of(pc.binary_join(whole, "\n")[0].as_py()))
         if len(seen) > 400_000:
             yield from _give(seen)
             seen = Counter()
