@@ -3,35 +3,37 @@
 from __future__ import annotations
 
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.llm.visual import Table, _form_of, code_points, compose, moved
+from folioflow.session import cut
 
 #: A leak holds NEED of WINDOW successive words of the item.
 WINDOW, NEED = 30, 25
-#: Words that may stand between the item's words in the document, for the prefix bound: each breaks one shingle.
-STRAY = 5
+#: Places at which words may stand between the item's words in the document, for the prefix bound: each breaks one
+#: shingle. A passage with more of them is found only by what the bound leaves over.
+STRAY = 9
 #: Shingles that a prefix has beyond those a leak can break: so many of them are found in any leak.
 BEYOND = 5
-#: Shingles are pairs of successive words, written without the space.
+#: Shingles are pairs of successive words, written without the space; of an item of one word that word.
 SHINGLE = 2
 #: An item may cover at most this multiple of its length in the document.
 STRETCH = 1.6
 #: Stripes of 2 ** BITS characters of the difference between place in text and place in item; three in a row
-#: hold what STRAY words either way shift. Items are told apart above ROOM bits; AHEAD keeps differences positive.
-BITS, ROOM, AHEAD = 6, 44, 1 << 24
+#: hold what lost and stray words shift.
+BITS = 6
 #: Characters by which a word may stand off its place in the item.
 SLACK = 192
-#: Items are held by every task; beyond this many characters of them the join must not be broadcast.
-MAX_ITEM_CHARS = 50_000_000
+#: Bits of the broadcast filter a shingle, and at most (256 MB); beyond, it lets more chance hits into the join.
+SPARSE, MOST_BITS = 16, 31
+#: Characters whose hashes are taken together, and documents up to which the ids of candidates are broadcast.
+TOGETHER, BROADCAST_IDS = 1_000_000, 400_000
 
 
 def _fold_of(ch: str) -> str:
@@ -44,9 +46,9 @@ def tables() -> tuple[Table, Table]:
     return Table(_form_of), Table(_fold_of)
 
 
-def streams(texts: pa.Array) -> tuple[list[str], list[np.ndarray]]:
-    """Of each text the letters, digits and marks alone, folded, and where in that stream something else
-    stood before a character, so that a word may begin there."""
+def folded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts the letters, digits and marks alone, folded, as one code-point array; the offsets of each
+    text in it; and where something else stood before a character, so that a word may begin there."""
     look, fold = tables()
     cps, at = code_points(texts)
     out, src = look.apply(cps)
@@ -59,164 +61,236 @@ def streams(texts: pa.Array) -> tuple[list[str], list[np.ndarray]]:
     start[0] = True
     start[1:-1] = np.diff(src) > 1
     start[at_out] = True
+    return out, at_out, start
+
+
+def streams(texts: pa.Array) -> tuple[list[str], list[np.ndarray]]:
+    """``folded`` text by text: the characters as a string, and where a word may begin."""
+    out, at, start = folded(texts)
     whole = out.astype("<u4").tobytes().decode("utf-32-le")
-    bodies, begins = [], []
-    for a, b in zip(at_out[:-1].tolist(), at_out[1:].tolist()):
-        bodies.append(whole[a:b])
-        begins.append(start[a : b + 1])
-    return bodies, begins
+    return [whole[a:b] for a, b in zip(at.tolist(), at[1:].tolist())], [start[a : b + 1] for a, b in zip(at.tolist(), at[1:].tolist())]
+
+
+def words_of(texts: pa.Array) -> list[list[str]]:
+    out = []
+    for body, begin in zip(*streams(texts)):
+        cuts = np.flatnonzero(begin).tolist()
+        out.append([body[a:b] for a, b in zip(cuts, cuts[1:]) if b > a])
+    return out
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_TURNS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+
+
+@lru_cache(4)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _values(cps: np.ndarray) -> np.ndarray:
+    x = (cps.astype(np.uint64) + np.uint64(1)) * _TURNS[1]
+    return (x ^ (x >> np.uint64(31))) * _TURNS[2]
+
+
+def sums(cps: np.ndarray) -> np.ndarray:
+    """Running sums of the characters' values times a power of their place: the hash of any stretch is the
+    difference of two, brought back to place 0. All modulo 2 ** 64."""
+    size = max(TOGETHER, 1 << int(len(cps)).bit_length())
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(_values(cps) * _powers(int(_BASE), size)[: len(cps)], dtype=np.uint64)])
+
+
+def hashes(total: np.ndarray, n: int) -> np.ndarray:
+    """Of the running sums the hashes of all stretches of ``n`` characters."""
+    size = max(TOGETHER, 1 << int(len(total) - 1).bit_length())
+    return (total[n:] - total[:-n]) * _powers(int(_INVERSE), size)[: len(total) - n]
+
+
+def hash_of(text: str) -> int:
+    return int(sums(np.frombuffer(text.encode("utf-32-le"), np.uint32))[-1].view(np.int64))
 
 
-class Items:
-    """The passages to look for: their words, and the shingles that a leak can't avoid.
+class Filter:
+    """Which hashes are among those of the prefix shingles, but for chance hits: four lookups in one bitmap
+    of SPARSE bits a shingle. This is all that every task holds of the items."""
+
+    def __init__(self, known: np.ndarray, lengths: list[int]) -> None:
+        self.shift = np.uint64(64 - min(MOST_BITS, max(10, int(SPARSE * max(len(known), 1)).bit_length())))
+        self.bits = np.zeros(1 << int(64 - self.shift - np.uint64(3)), np.uint8)
+        self.lengths = sorted(lengths)
+        for turn in _TURNS:
+            at = (known * turn) >> self.shift
+            np.bitwise_or.at(self.bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes that pass."""
+        place = None
+        for turn in _TURNS:
+            at = (h * turn) >> self.shift
+            ok = np.flatnonzero(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+            place = ok if place is None else place[ok]
+            h = h[ok]
+        return place
+
+
+def prefixes(items: DataFrame) -> DataFrame:
+    """(h, item_id, off, least): the hash of each shingle that a leak of the item can't avoid, its place in the
+    item, and how many of them stand in any leak. ``items`` holds (item_id, words).
 
     Shingles are ordered by rarity: the fewer items hold one, the rarer, ties by length and text. A window
     of n words has n - 1 shingles; a lost word breaks two, a stray one breaks one, so of the window's
     rarest ``prefix`` shingles at least ``least`` stand in any leak. Only prefix shingles are looked up.
     """
+    pair = lambda k: F.concat(F.get("words", k), F.coalesce(F.get("words", k + 1), F.lit("")))
+    each = items.select("item_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - SHINGLE, F.lit(0))), pair)).alias("k", "shingle"))
+    held = each.groupBy("shingle").agg(F.countDistinct("item_id").alias("held"))
+    rated = each.join(held, "shingle").groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("k", "held"))).alias("rated"))
+    rows = items.join(rated, "item_id").select("item_id", "words", F.col("rated.held").alias("held"))
+    kind = items.schema["item_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for key, words, many in zip(*(c.to_pylist() for c in b.columns)):
+                n = min(WINDOW, len(words))
+                broken = SHINGLE * (n - -(-NEED * n // WINDOW)) + STRAY
+                prefix = max(1, min(n - 1, broken + BEYOND))
+                least = max(1, prefix - broken)
+                off = np.concatenate([[0], np.cumsum([len(x) for x in words])]).tolist()
+                text = [x + y for x, y in zip(words, words[1:])] or words
+                chosen = set()
+                for w in range(len(words) - n + 1):
+                    chosen.update(sorted(range(w, w + max(n - 1, 1)), key=lambda k: (many[k], -len(text[k]), text[k], k))[:prefix])
+                out += [(hash_of(text[k]), key, off[k], least, len(text[k])) for k in sorted(chosen)]
+            types = [pa.int64(), b.schema.types[0], pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], ["h", "item_id", "off", "least", "size"])
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
-        self.words: dict[int, list[str]] = {}
-        bodies, begins = streams(pa.array([t or "" for _, t in rows], pa.string()))
-        for (key, _), body, begin in zip(rows, bodies, begins):
-            cuts = np.flatnonzero(begin).tolist()
-            words = [body[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
-            if words:
-                self.words[key] = words
-        held = defaultdict(set)
-        for key, words in self.words.items():
-            for k in range(len(words) - 1):
-                held[words[k] + words[k + 1]].add(key)
-        self.window = {k: min(WINDOW, len(w)) for k, w in self.words.items()}
-        self.need = {k: -(-NEED * n // WINDOW) for k, n in self.window.items()}
-        self.offsets = {k: np.concatenate([[0], np.cumsum([len(x) for x in w])]).tolist() for k, w in self.words.items()}
-        self.where: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        self.least = {}
-        for key, words in self.words.items():
-            n, broken = self.window[key], SHINGLE * (self.window[key] - self.need[key]) + STRAY
-            prefix = max(1, min(n - 1, broken + BEYOND))
-            self.least[key] = max(1, prefix - broken)
-            chosen = set()
-            for w in range(len(words) - n + 1):
-                order = sorted(range(w, w + n - 1), key=lambda k: (len(held[words[k] + words[k + 1]]), -len(words[k] + words[k + 1]), words[k] + words[k + 1], k))
-                chosen.update(order[:prefix])
-            for k in chosen:
-                self.where[words[k] + words[k + 1]].append((key, k))
-        self.keys = list(self.words)
-        self.slot_least = [self.least[k] for k in self.keys]
-        #: Of three stripes that hold enough hits one holds a third of them.
-        self.third = min([-(-x // 3) for x in self.slot_least], default=1)
-        slot = {k: i << ROOM for i, k in enumerate(self.keys)}
-        self.automaton = ahocorasick.Automaton()
-        for s, places in self.where.items():
-            self.automaton.add_word(s, [slot[key] + AHEAD + 1 - len(s) - self.offsets[key][k] for key, k in places])
-        if self.where:
-            self.automaton.make_automaton()
-
-    def in_text(self, body: str, begin: np.ndarray) -> list[int]:
-        """The items that the text holds.
-
-        Length and positional bound: place in the text less place in the item is the same for all shingles
-        of a leak, but for what lost and stray words shift. Hits are counted by item and stripe of that
-        difference; the exact check runs where three stripes in a row have the hits that a leak must have.
-        """
-        if not self.where or not body:
-            return []
-        count: dict[int, int] = {}
-        get = count.get
-        for end, places in self.automaton.iter(body):
-            for base in places:
-                k = (base + end >> BITS)
-                count[k] = get(k, 0) + 1
-        found, tried = [], set()
-        for k, n in count.items():
-            if n < self.third:
-                continue
-            slot = k >> ROOM - BITS
-            if max(get(k - 2, 0) + get(k - 1, 0), get(k - 1, 0) + get(k + 1, 0), get(k + 1, 0) + get(k + 2, 0)) + n >= self.slot_least[slot]:
-                key = self.keys[slot]
-                if key in tried:
-                    continue
-                at = ((k & (1 << ROOM - BITS) - 1) << BITS) - AHEAD
-                if self._verify(key, body, begin, at + (1 << BITS)):
-                    tried.add(key)
-                    found.append(key)
-        return found
-
-    def _verify(self, key: int, body: str, begin: np.ndarray, at: int) -> bool:
-        """Whether some window of the item has its needed words in order near where it would stand if the
-        item began at ``at``: the longest chain of (word, place) with both rising and no overlap. Words of up
-        to three letters must stand free. Each word is looked for within SLACK of its own place only."""
-        words, n, need, off = self.words[key], self.window[key], self.need[key], self.offsets[key]
-        find = body.find
-        seen, run = [], [0]
-        for w, o in zip(words, off):
-            lo = at + o - SLACK
-            p = find(w, lo if lo > 0 else 0, at + o + SLACK + len(w)) if at + o + SLACK > 0 else -1
-            seen.append(p)
-            run.append(run[-1] + (p >= 0))
-        starts = [w for w in range(len(words) - n + 1) if run[w + n] - run[w] >= need]
-        if not starts:
-            return False
-        occ: list[tuple[int, int, int]] = []
-        for j, p in enumerate(seen):
-            size, hi = len(words[j]), at + off[j] + SLACK + len(words[j])
-            while p >= 0:
-                if size > 3 or (begin[p] and begin[p + size]):
-                    occ.append((p, j, p + size))
-                p = find(words[j], p + 1, hi)
-        occ.sort()
-        reach = int(STRETCH * off[-1]) + 1
-        for w in starts:
-            own = [o for o in occ if w <= o[1] < w + n]
-            if len({j for _, j, _ in own}) >= need and self._chain(own, reach) >= need:
-                return True
+    return rows.mapInArrow(run, f"h bigint, item_id {kind}, off int, least int, size int")
+
+
+def holds(words: list[str], body: str, begin: np.ndarray, at: int) -> bool:
+    """Whether some window of the item has its needed words in order near where it would stand if the
+    item began at ``at``: the longest chain of (word, place) with both rising and no overlap. Words of up
+    to three letters must stand free. Each word is looked for within SLACK of its own place only."""
+    n = min(WINDOW, len(words))
+    need = -(-NEED * n // WINDOW)
+    off = [0]
+    for x in words:
+        off.append(off[-1] + len(x))
+    find = body.find
+    seen, run = [], [0]
+    for w, o in zip(words, off):
+        lo = at + o - SLACK
+        p = find(w, lo if lo > 0 else 0, at + o + SLACK + len(w)) if at + o + SLACK > 0 else -1
+        seen.append(p)
+        run.append(run[-1] + (p >= 0))
+    starts = [w for w in range(len(words) - n + 1) if run[w + n] - run[w] >= need]
+    if not starts:
         return False
+    occ: list[tuple[int, int, int]] = []
+    for j, p in enumerate(seen):
+        size, hi = len(words[j]), at + off[j] + SLACK + len(words[j])
+        while p >= 0:
+            if size > 3 or (begin[p] and begin[p + size]):
+                occ.append((p, j, p + size))
+            p = find(words[j], p + 1, hi)
+    occ.sort()
+    reach = int(STRETCH * off[-1]) + 1
+    for w in starts:
+        own = [o for o in occ if w <= o[1] < w + n]
+        if len({j for _, j, _ in own}) >= need and chain(own, reach) >= need:
+            return True
+    return False
+
+
+def chain(occ: list[tuple[int, int, int]], reach: int) -> int:
+    best = 0
+    top: list[tuple[int, int]] = []
+    for i, (p, j, e) in enumerate(occ):
+        most, first = 0, p
+        for k in range(i):
+            q, jj, ee = occ[k]
+            if jj < j and ee <= p and e - top[k][1] <= reach and top[k][0] > most:
+                most, first = top[k]
+        top.append((most + 1, first))
+        best = max(best, most + 1)
+    return best
 
-    @staticmethod
-    def _chain(occ: list[tuple[int, int, int]], reach: int) -> int:
-        best = 0
-        top: list[tuple[int, int]] = []
-        for i, (p, j, e) in enumerate(occ):
-            most, first = 0, p
-            for k in range(i):
-                q, jj, ee = occ[k]
-                if jj < j and ee <= p and e - top[k][1] <= reach and top[k][0] > most:
-                    most, first = top[k]
-            top.append((most + 1, first))
-            best = max(best, most + 1)
-        return best
+
+def _hits(shared, kind: str):  # noqa: ANN001, ANN202
+    """(doc_id, h, pos): places of the documents at which a prefix shingle may stand. Hashes are taken of all
+    stretches that are as long as some shingle, many texts at a time."""
+
+    def taken(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        known: Filter = shared.value
+        cps, at, _ = folded(texts)
+        total = sums(cps)
+        where, found = [], []
+        for n in known.lengths:
+            if n <= len(cps):
+                h = hashes(total, n)
+                p = known.hits(h)
+                end = at[np.searchsorted(at, p, "right")]
+                p = p[p + n <= end]  # not over the end of a text
+                where.append(p)
+                found.append(h[p])
+        p = np.concatenate(where) if where else np.zeros(0, np.int64)
+        h = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        row = np.searchsorted(at, p, "right") - 1
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(h.view(np.int64)), pa.array((p - at[row]).astype(np.int32))], ["doc_id", "h", "pos"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size = np.cumsum([len(t) for t in b.column(1).to_pylist()])
+            cuts = [0, *(np.flatnonzero(np.diff(size // TOGETHER)) + 1).tolist(), b.num_rows] if b.num_rows else []
+            for x, y in zip(cuts, cuts[1:]):
+                if y > x:
+                    yield taken(b.column(0).slice(x, y - x), b.column(1).slice(x, y - x))
+
+    return run, f"doc_id {kind}, h bigint, pos int"
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id): documents whose text holds at least NEED of some WINDOW successive words of the
     item, in order and close together.
 
-    Items are a fixed benchmark: their size is checked against MAX_ITEM_CHARS, then every task holds them
-    and reads its documents once; nothing is shuffled but the found pairs. Longer item sets are run in
-    slices of that size. An item of fewer than WINDOW words needs the same share of all its words. Null
-    texts hold nothing; repeated items and documents give one row a pair.
+    Tasks hold only a bitmap of the items' prefix shingles (``Filter``). What passes it is joined with the
+    shingles by hash and counted by document, item and stripe. Length and positional bound: place in the text
+    less place in the item is the same for all shingles of a leak, but for what lost and stray words shift;
+    where three stripes in a row have the hits that a leak must have, the texts of document and item meet and are
+    checked exactly. Neither side is ever collected. An item of fewer than WINDOW words needs the same share
+    of all its words. Null ids and texts hold nothing; repeated items and documents give one row a pair.
     """
     spark = documents.sparkSession
-    pool = items.where("item_id is not null and text is not null").select("item_id", "text").distinct()
-    chars = pool.agg(F.sum(F.length("text"))).first()[0] or 0
-    slices = -(-chars // MAX_ITEM_CHARS) or 1
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    out = None
-    for k in range(slices):
-        part = pool if slices == 1 else pool.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k)
-        rows = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])
-
-        def run(batches: Iterator[pa.RecordBatch], rows=rows) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            wanted = Items(rows.value)
-            for b in batches:
-                docs, hits = [], []
-                for key, body, begin in zip(b.column(0).to_pylist(), *streams(b.column(1))):
-                    for item in wanted.in_text(body, begin):
-                        docs.append(key)
-                        hits.append(item)
-                yield pa.RecordBatch.from_arrays([pa.array(docs, b.schema.types[0]), pa.array(hits, pa.int64())], ["doc_id", "item_id"])
-
-        one = documents.where("text is not null").select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, item_id bigint")
-        out = one if out is None else out.unionByName(one)
-    return out.distinct()
+    kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (items, "item_id")))
+
+    def apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words_of(b.column(1)), pa.list_(pa.string()))], ["item_id", "words"])
+
+    pool = items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
+    pool = cut(pool.mapInArrow(apart, f"item_id {item_kind}, words array<string>").where(F.size("words") > 0))
+    prefix = cut(prefixes(pool))
+    lengths = [r["size"] for r in prefix.select("size").distinct().collect()]
+    shared = spark.sparkContext.broadcast(Filter(prefix.select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(np.uint64), lengths))
+    docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    run, ddl = _hits(shared, kind)
+    stripe = F.floor((F.col("pos") - F.col("off")) / (1 << BITS))
+    hits = docs.mapInArrow(run, ddl).join(prefix.drop("size"), "h").groupBy("doc_id", "item_id", stripe.alias("stripe")).agg(F.count("*").alias("n"), F.max("least").alias("least"))
+    three = hits.select("doc_id", "item_id", "n", "least", F.explode(F.array(F.col("stripe") - 2, F.col("stripe") - 1, F.col("stripe"))).alias("first"))
+    places = three.groupBy("doc_id", "item_id", "first").agg(F.sum("n").alias("n"), F.max("least").alias("least")).where("n >= least")
+    tried = cut(places.groupBy("doc_id", "item_id").agg(F.array_sort(F.collect_list("first")).alias("at")))
+    few = tried.count() <= BROADCAST_IDS
+    rows = docs.join(F.broadcast(tried) if few else tried, "doc_id").join(pool, "item_id").select("doc_id", "item_id", "text", "words", "at")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for words, at, body, begin in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), *streams(b.column(2))):
+                keep.append(any(holds(words, body, begin, ((x + 1) << BITS) + (1 << BITS - 1)) for x in at))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["doc_id", "item_id"]).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(verify, f"doc_id {kind}, item_id {item_kind}").distinct()

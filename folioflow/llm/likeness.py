@@ -7,9 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.unicode import title_similarity
 from folioflow.llm.lines import doc_chunks, groups
 from folioflow.llm.scans import words_of
 from folioflow.operators.graph import connected_components, forest
@@ -27,6 +28,8 @@ RADIUS, SURE = 75, 20
 BLOCK = 512
 #: Candidate documents up to which their ids are broadcast to filter the lines; beyond, the filter is a join.
 BROADCAST_IDS = 400_000
+#: Times that a hot bucket is banded again before it goes block by block.
+DEPTH = 1
 #: Pairs that are compared together.
 PAIRS = 500_000
 #: Bit planes after which blocks of pairs that are all beyond the radius are abandoned.
@@ -108,17 +111,29 @@ def sketches(lines: DataFrame) -> DataFrame:
     return whole.select("document_id", least("many").alias("minima")).where(F.col("minima") != F.lit(bytearray(none)))
 
 
+def band_keys(minima: list[bytes]) -> np.ndarray:
+    """The keys of the bands of each set of minima."""
+    m = np.frombuffer(b"".join(minima), np.uint32).reshape(-1, MINIMA).astype(np.uint64)
+    key = np.zeros((len(m), MINIMA // BAND), np.uint64)
+    for k in range(BAND):
+        key = (key ^ m[:, k::BAND]) * _MIX
+        key ^= key >> np.uint64(31)
+    return (key + np.arange(MINIMA // BAND, dtype=np.uint64)) * _MIX
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, doc) of each band of rows (doc, minima) or, of rows (doc, minima, key) in a hot bucket, of each band
+    within that bucket; the band that made the bucket makes it again and is left out."""
     for b in batches:
         if not b.num_rows:
             continue
-        m = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, MINIMA).astype(np.uint64)
-        key = np.zeros((len(m), MINIMA // BAND), np.uint64)
-        for k in range(BAND):
-            key = (key ^ m[:, k::BAND]) * _MIX
-            key ^= key >> np.uint64(31)
-        key = (key + np.arange(MINIMA // BAND, dtype=np.uint64)) * _MIX
+        key = band_keys(b.column(1).to_pylist())
         doc = np.repeat(b.column(0).to_numpy(), MINIMA // BAND)
+        if b.num_columns > 2:
+            old = b.column(2).to_numpy().view(np.uint64)[:, None]
+            fresh = (key != old).reshape(-1)
+            key = ((key ^ (old >> np.uint64(29))) + old) * _MIX
+            key, doc = key.reshape(-1)[fresh], doc[fresh]
         yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(doc)], ["key", "doc"])
 
 
@@ -235,38 +250,50 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(a, b): pairs of document hashes that share a band and lie within the radius, or stand in for such
     pairs. ``docs`` holds (doc, minima, bits), one row for each different set of minima.
 
-    A bucket of BLOCK members at most is one group. A larger one is cut into blocks by hash and its least
-    document stands in every block; members that are surely like it need no more. Those that are not are
-    held against all blocks, block by block, so that no pair is missed and no group is larger than two blocks.
+    Buckets are counted by partial aggregates. One of BLOCK members at most is one group. A hot one is never a
+    group: its members are held against its least document, and are linked to it where they are surely like
+    it. If all are, that is all. Else the bucket is banded again: members meet in the bands they share within it,
+    of which likeness 0.5 leaves out all with probability 0.0002, in buckets that shrink with each turn, for DEPTH
+    turns. What is hot even then goes block by block: those that aren't surely like the least are held against
+    all blocks, so that no pair is missed and no group is larger than two blocks.
     """
     rows = docs.select("doc", "minima").mapInArrow(_bands, "key bigint, doc bigint")
-    by = Window.partitionBy("key")
-    shared = rows.select("key", "doc", F.count("*").over(by).alias("n"), F.min("doc").over(by).alias("first")).where("n > 1")
-    shared = cut(shared)
     bits = docs.select("doc", "bits")
-    tables = []
+    tables, links = [], []
     member = lambda side: F.struct("doc", "bits", F.lit(side).alias("side"))
-    cold = shared.where(F.col("n") <= BLOCK).join(bits, "doc").groupBy("key").agg(F.collect_list(member(False)).alias("members"))
-    tables.append(cold.select("members"))
-    hot = shared.where(F.col("n") > BLOCK)
-    if not hot.isEmpty():
+    for turn in range(DEPTH + 1):
+        counts = cut(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where("n > 1"))
+        cold = cut(rows.join(counts.where(F.col("n") <= BLOCK).select("key"), "key"))
+        tables.append(cold.join(bits, "doc").groupBy("key").agg(F.collect_list(member(False)).alias("members")).select("members"))
+        hot = counts.where(F.col("n") > BLOCK)
+        if hot.isEmpty():
+            break
+        first_bits = bits.select(F.col("doc").alias("first"), F.col("bits").alias("first_bits"))
+        held = rows.join(hot, "key").join(bits, "doc").join(first_bits, "first")
+        held = cut(held.select("key", "n", "first", "doc", distance("bits", "first_bits").alias("off")))
+        links.append(held.where((F.col("off") <= SURE) & (F.col("doc") != F.col("first"))).select(F.least("first", "doc").alias("a"), F.greatest("first", "doc").alias("b")))
+        open_ = held.join(held.where(F.col("off") > SURE).select("key").distinct(), "key", "left_semi")
+        if open_.isEmpty():
+            break
+        if turn < DEPTH:
+            rows = open_.join(docs.select("doc", "minima"), "doc").select("doc", "minima", "key").mapInArrow(_bands, "key bigint, doc bigint")
+            continue
         blocks = F.ceil(F.col("n") / BLOCK).cast("bigint")
         each = F.sequence(F.lit(0).cast("bigint"), blocks - 1)
-        own = hot.select("key", "n", "first", "doc", F.pmod(F.xxhash64("doc", "key"), blocks).alias("block")).join(bits, "doc")
-        firsts = hot.where("doc = first").select("key", F.explode(each).alias("block"), "doc").join(bits, "doc")
-        grouped = own.select("key", "block", "doc", "bits").unionByName(firsts.select("key", "block", "doc", "bits")).distinct()
-        tables.append(grouped.groupBy("key", "block").agg(F.collect_list(member(False)).alias("members")).select("members"))
-        first_bits = bits.select(F.col("doc").alias("first"), F.col("bits").alias("first_bits"))
-        far = own.join(first_bits, "first").where(distance("bits", "first_bits") > SURE).select("key", "n", "doc", "bits")
-        far = far.withColumn("part", F.pmod(F.xxhash64("doc"), blocks))
-        left = own.select("key", "block", F.explode(each).alias("part"), "doc", "bits").join(far.select("key", "part").distinct(), ["key", "part"], "left_semi")
+        own = open_.withColumn("block", F.pmod(F.xxhash64("doc", "key"), blocks)).join(bits, "doc")
+        far = own.where(F.col("off") > SURE).select("key", "n", "doc", "bits").withColumn("part", F.pmod(F.xxhash64("doc"), blocks))
+        parts = far.select("key", "part").distinct()
+        left = own.join(parts, "key").select("key", "block", "part", "doc", "bits")
         right = far.select("key", F.explode(each).alias("block"), "part", "doc", "bits")
         both = left.select("key", "block", "part", member(False).alias("m")).unionByName(right.select("key", "block", "part", member(True).alias("m")))
         tables.append(both.groupBy("key", "block", "part").agg(F.collect_list("m").alias("members")).select("members"))
     found = tables[0]
     for t in tables[1:]:
         found = found.unionByName(t)
-    return found.mapInArrow(_compare_blocks, "a bigint, b bigint").where("a <> b").distinct()
+    out = found.mapInArrow(_compare_blocks, "a bigint, b bigint").where("a <> b")
+    for x in links:
+        out = out.unionByName(x)
+    return out.distinct()
 
 
 def distance(a: str, b: str):  # noqa: ANN201
@@ -327,8 +354,6 @@ def like_groups(lines: DataFrame) -> DataFrame:
     Documents with the same minima are one in the search, so copies, were they a third of all rows, meet as
     one; each is then verified against the first of them.
     """
-    docs = cut(sketches(lines))
-
     @F.pandas_udf("binary")
     def low_bits(m):  # noqa: ANN001, ANN202
         import pandas as pd
@@ -336,16 +361,29 @@ def like_groups(lines: DataFrame) -> DataFrame:
         u = np.frombuffer(b"".join(m), np.uint32).reshape(-1, MINIMA) if len(m) else np.zeros((0, MINIMA), np.uint32)
         return pd.Series([x.tobytes() for x in np.packbits((u * np.uint32(0x9E3779B1) >> np.uint32(31)).astype(np.uint8), axis=1)])
 
-    same = docs.withColumn("set", F.unhex(F.sha2("minima", 256)))
-    first = same.groupBy("set").agg(F.min("document_id").alias("first"), F.first("minima").alias("minima"), F.count("*").alias("n"))
-    reps = cut(first.select(F.xxhash64("first").alias("doc"), F.col("first"), "minima", low_bits("minima").alias("bits"), "set", "n"))
-    copies = same.select("set", "document_id").join(reps.where("n > 1").select("set", "first"), "set").where("document_id <> first").select(F.col("first").alias("a"), F.col("document_id").alias("b"))
+    docs = cut(sketches(lines).select("document_id", "minima", low_bits("minima").alias("bits")))
+    same = docs.select("document_id", F.unhex(F.sha2("minima", 256)).alias("set"))
+    first = same.groupBy("set").agg(F.min("document_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("set", "first")
+    copies = cut(same.join(first, "set").where("document_id <> first").select(F.col("first").alias("a"), F.col("document_id").alias("b")))
+    reps = docs.join(copies.select(F.col("b").alias("document_id")), "document_id", "left_anti")
+    reps = cut(reps.select(F.xxhash64("document_id").alias("doc"), F.col("document_id").alias("first"), "minima", "bits"))
     name = reps.select("doc", "first")
     found = candidates(reps).join(name.select(F.col("doc").alias("a"), F.col("first").alias("x")), "a").join(name.select(F.col("doc").alias("b"), F.col("first").alias("y")), "b")
     pairs = cut(found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).unionByName(copies))
     return connected_components(verified(lines, pairs)).select(F.col("node").alias("document_id"), F.col("component").alias("group_id"))
 
 
+def titled_groups(lines: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(document_id, group_id, title, title_likeness): the groups beside the documents' titles, and how alike
+    each is to the title of the group's first document (``title_similarity``), so that a group under changed
+    titles shows. A document that the corpus lacks, or without a title, has a null title and likeness 0."""
+    g = cut(like_groups(lines))
+    title = corpus.where("document_id is not null").groupBy("document_id").agg(F.max("title").alias("title"))
+    lead = title.select(F.col("document_id").alias("group_id"), F.col("title").alias("lead"))
+    rows = g.join(title, "document_id", "left").join(lead, "group_id", "left")
+    return rows.select("document_id", "group_id", "title", F.round(title_similarity("title", "lead"), 4).alias("title_likeness"))
+
+
 def found(lines: DataFrame) -> DataFrame:
     """(document_id_a, document_id_b), a < b: the pairs within each group, as asked for: this result itself
     grows with the square of a group."""

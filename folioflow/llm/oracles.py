@@ -39,5 +39,20 @@ SELECT a AS document_id_a, b AS document_id_b FROM reach WHERE a < b
 """
 
 
+P1_GROUPS = f"""
+WITH found AS ({P1_FOUND}) SELECT coalesce(f.first_question_id, q.question_id) AS first_question_id, count(*) AS questions, CAST(1 AS BIGINT) AS splits
+FROM (SELECT DISTINCT question_id FROM questions WHERE question_id IS NOT NULL) q LEFT JOIN found f ON f.question_id = q.question_id GROUP BY 1
+"""
+
+P2_TILING = """
+SELECT document_id, page_number, length(page) AS chars, true AS within FROM (
+  SELECT document_id, page_number, string_agg(text, chr(10) ORDER BY stream_index) AS page
+  FROM (SELECT DISTINCT document_id, page_number, stream_index, text FROM page_lines) GROUP BY 1, 2)
+WHERE page <> ''
+"""
+
+P5_GROUPS = f"SELECT document_id_b AS document_id, min(document_id_a) AS group_id FROM ({P5_FOUND}) GROUP BY 1 UNION SELECT document_id_a, document_id_a FROM ({P5_FOUND}) WHERE document_id_a NOT IN (SELECT document_id_b FROM ({P5_FOUND}))"
+
+
 def oracles() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p2_found": P2_FOUND, "p5_found": P5_FOUND}
+    return {"p1_found": P1_FOUND, "p1_groups": P1_GROUPS, "p2_found": P2_FOUND, "p2_tiling": P2_TILING, "p5_found": P5_FOUND, "p5_groups": P5_GROUPS}

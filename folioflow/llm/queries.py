@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,12 @@ def p1_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.assign_splits(_t(spark, sf_dir, "questions"))
 
 
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each linked set its questions and how many splits they are in: one."""
+    rows = p1_split(spark, sf_dir)
+    return rows.groupBy("first_question_id").agg(F.count("*").alias("questions"), F.countDistinct("split").alias("splits"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import pieces
 
@@ -35,6 +42,12 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(_t(spark, sf_dir, "page_lines"))
 
 
+def p2_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each page the characters that its pieces hold beyond their overlaps: those of the page, block by block."""
+    rows = p2_pieces(spark, sf_dir).groupBy("document_id", "page_number", "block").agg(F.sum(F.length("text") - F.col("overlap")).alias("chars"), F.max(F.length("text")).alias("longest"))
+    return rows.groupBy("document_id", "page_number").agg((F.sum("chars") + F.count("*") - 1).alias("chars"), (F.max("longest") <= 2000).alias("within"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import quality
 
@@ -83,6 +96,12 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return likeness.like_groups(_t(spark, sf_dir, "page_lines"))
 
 
+def p5_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioflow.llm import likeness
+
+    return likeness.titled_groups(_t(spark, sf_dir, "page_lines"), _t(spark, sf_dir, "corpus_documents"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioflow.llm import languages
 

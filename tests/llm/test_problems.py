@@ -143,7 +143,7 @@ def test_signals_of_empty_and_blank_documents(spark):
     assert quality.assess(lines_of(spark, {"a": [["x"]]}).limit(0)).count() == 0
 
 
-def test_common_words_do_not_depend_on_the_order_of_rows(spark):
+def test_common_words_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
     docs = {f"d{i:03}": [[f"every owner of estate {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}word", "shall deposit the fund", f"only{i} here", f"only{i} there"]] for i in range(100)}
     docs["d000"][0] += ["strange gloss"] * 40  # one document's own words, in many pieces
     docs |= {f"t{i}": [["நிலம் உரிமை சட்டம்"]] for i in range(2)}
@@ -153,6 +153,7 @@ def test_common_words_do_not_depend_on_the_order_of_rows(spark):
     want = {w for w in set().union(*held) if sum(w in h for h in held) >= 2 and len(w) > 1}
     shuffled = df.withColumn("r", F.xxhash64("document_id", "stream_index")).repartition(7, "r").sortWithinPartitions("r").drop("r")
     assert quality.common_words(df.coalesce(1)) == want
+    monkeypatch.setattr(quality, "MANY", 5)
     assert quality.common_words(shuffled) == want and "gloss" not in want
 
 
@@ -321,8 +322,11 @@ def test_groups_against_brute_force(spark):
     assert {tuple(x) for x in likeness.found(df.unionByName(df.limit(50))).collect()} == want
 
 
-def test_a_large_bucket_goes_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("depth", [0, 1])
+def test_a_hot_bucket_is_split(spark, monkeypatch, depth):
     monkeypatch.setattr(likeness, "BLOCK", 8)
+    monkeypatch.setattr(likeness, "DEPTH", depth)
+    monkeypatch.setattr(likeness, "SURE", 4)
     r = random.Random(1)
     base = [" ".join(f"w{r.randrange(300)}" for _ in range(9)) for _ in range(40)]
     docs = {}
@@ -334,6 +338,14 @@ def test_a_large_bucket_goes_in_blocks(spark, monkeypatch):
     assert likeness.like_groups(lines_of(spark, docs)).count() == 60
 
 
+def test_titles_of_groups(spark):
+    r = random.Random(4)
+    base = [" ".join(f"w{r.randrange(300)}" for _ in range(9)) for _ in range(20)]
+    df = lines_of(spark, {"a": [base], "b": [base[:19]], "c": [base[1:]], "z": [["one two three four"]]})
+    corpus = spark.createDataFrame([("a", "The Harbour Act"), ("b", "Harbor Act"), ("c", None), ("a", None)], "document_id string, title string").withColumn("group_id", F.lit(1))
+    assert {tuple(x) for x in likeness.titled_groups(df, corpus).collect()} == {("a", "a", "The Harbour Act", 1.0), ("b", "a", "Harbor Act", 1.0), ("c", "a", None, 0.0)}
+
+
 def test_long_documents_are_verified_by_shingle(spark):
     r = random.Random(2)
     pages = [[" ".join(f"w{r.randrange(500)}" for _ in range(8))] for _ in range(150)]
@@ -521,6 +533,36 @@ def test_leaks_whole_altered_and_missed(spark):
     assert leaks.leaks(d.limit(0), i).count() == 0 and leaks.leaks(d, i.limit(0)).count() == 0
 
 
+def test_hashes_of_stretches():
+    r = random.Random(1)
+    text = "".join(r.choices("abcdeé字", k=400))
+    total = leaks.sums(np.array([ord(c) for c in text], np.uint32))
+    for n in (1, 5, 17):
+        assert hashlist(leaks.hashes(total, n)) == [leaks.hash_of(text[i : i + n]) for i in range(len(text) - n + 1)]
+    known = np.array([leaks.hash_of(text[i : i + 5]) for i in range(0, 390, 7)], np.int64).view(np.uint64)
+    h = leaks.hashes(total, 5)
+    assert set(np.flatnonzero(np.isin(h, known))) <= set(leaks.Filter(known, [5]).hits(h).tolist())
+
+
+def hashlist(h):
+    return h.view(np.int64).tolist()
+
+
+def test_stray_words_and_short_items(spark):
+    r = random.Random(3)
+    words = [a + b + c for a in "bcdfg" for b in ("ar", "en", "ol", "um") for c in ("ta", "mo", "lix", "ren")]
+    item = r.sample(words, 40)
+    many = list(item[5:35])
+    for k in sorted(r.sample(range(1, 29), leaks.STRAY), reverse=True):
+        many.insert(k, "qqq")
+    for k in (0, 12, 33):
+        many[k] = "zz"
+    docs = [(1, " ".join(r.choices(words, k=60) + many + r.choices(words, k=60))), (2, "well then harbourmaster it is"), (3, "the harbour master"), (4, "one two " * 50), (5, "x" * 5000)]
+    items = [(1, " ".join(item)), (2, "Harbourmaster!"), (3, "alpha beta gamma"), (4, ""), (5, "two one")]
+    d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {tuple(x) for x in leaks.leaks(d, i).collect()} == {(1, 1), (2, 2), (3, 2), (4, 5)}
+
+
 # Problem 9
 
 
