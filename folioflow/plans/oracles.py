@@ -166,6 +166,11 @@ LABELS = f"(SELECT document_id, first(verdict ORDER BY assessed_at DESC NULLS LA
 LATEST_INVENTORY = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY discovered_at DESC NULLS LAST, year DESC NULLS LAST) AS _n FROM inventory) WHERE _n = 1)"
 
 ORACLES: dict[str, str] = {
+    "sound_pages": f"WITH v AS (SELECT document_id, page_number, CASE WHEN word_count < 60 THEN 'unjudged' WHEN mean_word_length < 4.2 OR single_char_rate > 0.12 OR mixed_case_rate > 0.01 THEN 'suspect' ELSE 'good' END AS verdict FROM {SIGNALS} {PAGES})), c AS (SELECT document_id, count(*) FILTER (WHERE verdict = 'good') AS good, count(*) FILTER (WHERE verdict = 'suspect') AS suspect FROM v GROUP BY 1) SELECT document_id, page_number FROM v JOIN c USING (document_id) WHERE verdict = 'good' OR (verdict = 'unjudged' AND good > suspect)",
+    "document_titles": f"""WITH h AS (SELECT document_id, line_no, {_BARE} AS bare, regexp_replace(lower(trim(regexp_replace(text, '[\\s\\x{{00A0}}]+', ' ', 'g'))), '[0-9]+', '#', 'g') AS line FROM {STREAM} s WHERE line_no < 40 AND NOT EXISTS (SELECT 1 FROM {_contents(STREAM)} c WHERE c.document_id = s.document_id AND c.page_number = s.page_number)),
+ m AS (SELECT document_id, nullif(trim(title), '') AS said, regexp_replace(regexp_replace(lower(trim(regexp_replace(title, '\\s+', ' ', 'g'))), '[0-9]+', '#', 'g'), '^the ', '') AS key FROM corpus_documents)
+ SELECT document_id, coalesce(said, top) AS title, CASE WHEN said IS NOT NULL AND hit THEN 'metadata_confirmed_on_page' WHEN said IS NOT NULL THEN 'metadata' WHEN top IS NOT NULL THEN 'first_page_heading' END AS title_source FROM (
+ SELECT m.document_id, max(said) AS said, bool_or(coalesce(contains(line, key), false)) AS hit, arg_min(bare, line_no) FILTER (WHERE length(bare) BETWEEN 10 AND 200 AND len(regexp_extract_all(bare, '\\p{{Lu}}')) > 0.8 * len(regexp_extract_all(bare, '\\p{{L}}'))) AS top FROM m LEFT JOIN h ON h.document_id = m.document_id GROUP BY 1)""",
     "anchors": f"SELECT document_id, line_no, unit_type, number, detected_by FROM {ANCHORS}",
     "provision_style": f"SELECT *, CASE WHEN dashed >= 3 THEN 'dash' WHEN plain >= 3 THEN 'line' WHEN dashed > 0 THEN 'dash' ELSE 'line' END AS style FROM (SELECT document_id, CAST(0 AS BIGINT) AS articles, count(*) FILTER (WHERE detected_by = 'numbered_heading_dash') AS dashed, count(*) FILTER (WHERE detected_by = 'numbered_heading_line') AS plain FROM {ANCHORS} GROUP BY 1)",
     "ascending_numbers": f"SELECT document_id, pairs, CASE WHEN pairs >= 4 THEN round(CAST(up AS DOUBLE) / pairs, 4) END AS share FROM (SELECT document_id, count(before) AS pairs, count(*) FILTER (WHERE n >= before) AS up FROM (SELECT *, lag(n) OVER (PARTITION BY document_id ORDER BY line_no) AS before FROM (SELECT *, CAST(regexp_extract(number, '^[0-9]+') AS INTEGER) AS n FROM {ANCHORS})) GROUP BY 1)",

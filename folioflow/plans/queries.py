@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
 from folioflow.functions import unicode as U
-from folioflow.operators import dedup, dq, journal, lines, panels, retrieval, sampling, spans, stats, structure
+from folioflow.operators import corpus, dedup, dq, journal, lines, panels, retrieval, sampling, spans, stats, structure
 from folioflow.session import cut, stage
 from folioflow.sources.readers import table
 
@@ -404,6 +404,85 @@ def cross_references(spark: SparkSession, d: str) -> DataFrame:
     return said.join(heads, ["document_id", "number"]).where("line_no <> target")
 
 
+@query
+def document_titles(spark: SparkSession, d: str) -> DataFrame:
+    return structure.titles(_stream(spark, d), table(spark, d, "corpus_documents"))
+
+
+# The corpus
+
+
+def _instrument_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Near duplicates among the documents by their lines, titles, files and the places that titles name."""
+    rows = lines.deduplicated(table(spark, d, "page_lines"))
+    named = table(spark, d, "collections").where("jurisdiction is not null").select(F.lower("jurisdiction").alias("j")).distinct()
+    places = {r["j"]: (r["j"],) for r in named.collect()}  # one row a collection of the repository
+    facts = table(spark, d, "corpus_documents").select("document_id", "title", "sha256")
+    text = rows.groupBy("document_id").agg(F.sha2(F.concat_ws("-", F.sum(F.xxhash64("stream_index", "text").cast("decimal(38,0)")).cast("string"), F.count("*").cast("string")), 256).alias("text_hash"))
+    return cut(corpus.review_band(corpus.instrument_edges(corpus.line_prints(rows), facts.join(text, "document_id", "left"), places)))
+
+
+@query
+def instrument_edges(spark: SparkSession, d: str) -> DataFrame:
+    return _instrument_edges(spark, d)
+
+
+@query
+def instrument_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.instrument_clusters(_instrument_edges(spark, d))
+
+
+def _provisions(spark: SparkSession, d: str) -> DataFrame:
+    units, stream = _units(spark, d)
+    keyed = lines.numbered_keys(units, "key", "document_id", "line_no")
+    texts = corpus.provision_texts(keyed.withColumn("key", F.col("unique_key")), stream)
+    return stage(texts.join(keyed.select("document_id", "line_no", "ambiguous"), ["document_id", "line_no"]), "provision-texts")
+
+
+@query
+def provision_classes(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.provision_classes(_provisions(spark, d), corpus.instrument_clusters(_instrument_edges(spark, d)))
+
+
+@query
+def version_mates(spark: SparkSession, d: str) -> DataFrame:
+    return corpus.version_mates(_provisions(spark, d).where("not ambiguous"), corpus.instrument_clusters(_instrument_edges(spark, d)))
+
+
+@query
+def evidence_exclusions(spark: SparkSession, d: str) -> DataFrame:
+    """How many provisions each rule leaves out of the evidence, by document type; ``eligible`` is the rest."""
+    rows = _provisions(spark, d)
+    conflicts = _instrument_edges(spark, d).where("title_conflict").select(F.explode(F.array("a", "b")).alias("document_id")).distinct().withColumn("conflicted", F.lit(True))
+    sizes = rows.groupBy("document_id").agg((F.count("*") >= 3).alias("structured"))
+    rows = rows.join(conflicts, "document_id", "left").join(sizes, "document_id").join(table(spark, d, "corpus_documents").select("document_id", "document_type"), "document_id")
+    tier = structure.evidence_tier(F.col("detected_by"), F.array(F.lit(0)), F.array().cast("array<int>"))
+    reason = corpus.evidence_exclusion(tier, F.col("ambiguous"), F.coalesce("conflicted", F.lit(False)), F.col("structured"), F.col("text"))
+    return rows.groupBy("document_type", F.coalesce(reason, F.lit("eligible")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query
+def document_meta(spark: SparkSession, d: str) -> DataFrame:
+    units, stream = _units(spark, d)
+    cols = ("short_title", "act_number", "ministry", "department", "parent_title", "parent_handle", "enactment_date", "india_code_url")
+    listed = journal.latest(table(spark, d, "inventory").select("document_id", "discovered_at", *cols), "document_id", "discovered_at", *cols)
+    q = table(spark, d, "quality_assessments").select("document_id", "assessed_at", "classification", "score")
+    return corpus.document_meta(table(spark, d, "corpus_documents"), listed, lines.deduplicated(table(spark, d, "page_lines")), units, journal.latest(q, "document_id", "assessed_at", "score", "classification"))
+
+
+@query
+def provision_citations(spark: SparkSession, d: str) -> DataFrame:
+    units, _ = _units(spark, d)
+    rows = units.where(F.col("unit_type").isin(*structure.PROVISIONS)).join(table(spark, d, "corpus_documents").select("document_id", "title"), "document_id")
+    return rows.select("document_id", "line_no", corpus.citation(F.col("title"), F.col("unit_type"), F.col("number")).alias("citation"))
+
+
+@query
+def sound_pages(spark: SparkSession, d: str) -> DataFrame:
+    pages = panels.with_signals(_pages(spark, d)).select("document_id", "page_number", panels.page_verdict().alias("verdict"))
+    return corpus.sound_pages(cut(pages))
+
+
 # Retrieval
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.operators import dedup, documents, dq, geometry, graph, html, journal, lines, panels, respace, retrieval, sampling, spans, stats, structure
+from folioflow.operators import corpus, dedup, documents, dq, geometry, graph, html, journal, lines, panels, respace, retrieval, sampling, spans, stats, structure
 from folioflow.plans import queries
 
 LINES = "document_id string, stream_index int, page_number int, page_line_index int, text string"
@@ -295,6 +295,51 @@ def test_tiers(spark):
     assert [r[0] for r in df.select(structure.evidence_tier(F.col("by"), F.col("p"), F.col("o"))).collect()] == ["high", "medium", "medium", "low"]
 
 
+# The corpus
+
+
+def test_instruments_and_what_they_share(spark):
+    own = lambda k, n: [f"line {i} of the {k} text is here" for i in range(n)]
+    texts = {"a": own("first", 20), "b": own("first", 20), "c": own("first", 15) + own("other", 5), "d": own("first", 20), "e": own("e", 9), "f": own("f", 9), "g": ["short"]}
+    rows = spark.createDataFrame([(d, i, t) for d, x in texts.items() for i, t in enumerate(x)], "document_id string, stream_index int, text string")
+    facts = [("a", "The Harbour Act", "1", "x"), ("b", "Harbor Act", "2", "x"), ("c", "Harbour Act", "3", "y"), ("d", "Harbour Act of Ombrey", "4", "x"), ("e", "Fees of Orvale", "9", "z"), ("f", "Ferries", "9", "w"), ("g", None, None, None)]
+    places = {"ombrey": ("ombrey",), "orvale": ("orvale",)}
+    edges = corpus.review_band(corpus.instrument_edges(corpus.line_prints(rows), spark.createDataFrame(facts, "document_id string, title string, sha256 string, text_hash string"), places))
+    got = {(r["a"], r["b"]): (r["relation"], r["title_conflict"]) for r in edges.collect()}
+    assert got == {("a", "b"): ("identical", False), ("a", "c"): ("same_instrument", False), ("a", "d"): ("identical", False), ("b", "c"): ("same_instrument", False), ("b", "d"): ("identical", False), ("c", "d"): ("same_instrument", False), ("e", "f"): ("identical", True)}
+    clusters = corpus.instrument_clusters(edges)
+    assert {tuple(r) for r in clusters.collect()} == {(x, "dup-00001") for x in "abcd"} | {("e", "dup-00002"), ("f", "dup-00002")}
+    provisions = spark.createDataFrame([("a", "section:1", "section", "1", "The  fee."), ("b", "section:1", "section", "1", "The fee."), ("e", "section:1", "section", "1", "The\nfee."), ("c", "section:2", "section", "2", "Own."), ("a", "section:2", "section", "2", "x"), ("a", "section:2#2", "section", "2", "y")], "document_id string, key string, unit_type string, number string, text string")
+    assert {(r["document_id"], r["documents"], r["same_instrument"]) for r in corpus.provision_classes(provisions, clusters).collect()} == {("a", 3, False), ("b", 3, False), ("e", 3, False)}
+    assert {tuple(r) for r in corpus.version_mates(provisions, clusters).collect()} == {("a", "section:1", "b", "section:1"), ("b", "section:1", "a", "section:1"), ("a", "section:2", "c", "section:2"), ("a", "section:2#2", "c", "section:2")}
+
+
+def test_texts_of_provisions_and_their_faults(spark):
+    rows = lines.line_stream(stream(spark, ACT))
+    units = structure.unit_spans(structure.in_sequence(structure.chosen_provisions(structure.anchors(rows))), rows)
+    texts = {r["key"]: r["text"] for r in corpus.provision_texts(units, rows).collect()}
+    assert texts["chapter:I/section:1"] == "\n".join(ACT[0][4:6]) and len(texts) == 3
+    meta = spark.createDataFrame([("d", "x", 3, 1), ("e", None, None, None)], "document_id string, sha256 string, char_count int, line_count int")
+    body = spark.createDataFrame([("d", "ab\nc")], "document_id string, text string")
+    pages = spark.createDataFrame([("d", 1, 0, 2), ("d", 2, 3, 4)], "document_id string, page_number int, char_start int, char_end int")
+    spans_ = spark.createDataFrame([("d", "k", 0, 2, "no")], "document_id string, key string, char_start int, char_end int, text_sha256 string")
+    assert {tuple(r) for r in corpus.text_faults(meta, body, pages, spans_).collect()} == {("d", "text hash differs"), ("d", "text length differs"), ("d", "line count differs"), ("d", "page map has a gap or overlap"), ("d", "provision differs: k"), ("e", "no text")}
+
+
+def test_evidence_rules_and_pages(spark):
+    df = spark.createDataFrame([("high", False, False, True, "w " * 150), ("low", True, True, False, ""), ("high", True, True, True, ""), ("high", False, False, False, "x"), ("high", False, False, True, "12. [Omitted.]"), ("high", False, False, True, "short text"), ("high", False, False, True, "w " * 5000)], "t string, a boolean, c boolean, s boolean, x string")
+    assert [r[0] for r in df.select(corpus.evidence_exclusion(*[F.col(c) for c in ("t", "a", "c", "s", "x")])).collect()] == [None, "tier", "ambiguous", "structure", "stub", "too_short", "too_long"]
+    pages = spark.createDataFrame([("d", 1, "good"), ("d", 2, "unjudged"), ("d", 3, "suspect"), ("d", 4, "good"), ("e", 1, "unjudged"), ("f", 1, "suspect"), ("f", 2, "unjudged")], "document_id string, page_number int, verdict string")
+    assert {tuple(r) for r in corpus.sound_pages(pages).collect()} == {("d", 1), ("d", 2), ("d", 4)}
+    p = spark.createDataFrame([("b", 1, "non_en", False, 300), ("b", 2, "non_en", False, 10), ("b", 3, "en", True, 900), ("e", 1, "non_en", True, 0), ("u", 1, "en", False, 500)], "document_id string, page_number int, verdict string, mangled boolean, english_letters int")
+    v = spark.createDataFrame([("b", "bilingual_en"), ("e", "en"), ("u", "uncertain")], "document_id string, content_language string")
+    assert {tuple(r) for r in corpus.pages_to_index(p, v).collect()} == {("b", 1), ("e", 1)}
+    assert spark.range(1).select(corpus.citation(F.lit("The Act"), F.lit("article"), F.lit("5"))).first()[0] == "The Act, art. 5"
+    files = spark.createDataFrame([("a", "1"), ("b", "2")], "path string, sha256 string")
+    one, two = corpus.fingerprint(files).first(), corpus.fingerprint(files.orderBy(F.desc("path"))).first()
+    assert one == two and one["files"] == 2 and corpus.fingerprint(files.limit(1)).first()["fingerprint"] != one["fingerprint"]
+
+
 # Retrieval and spans
 
 
