@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from folioflow.session import cut
 WINDOW, NEED = 30, 25
 #: Places at which words may stand between the item's words in the document, for the prefix bound: each breaks one
 #: shingle. A passage with more of them is found only by what the bound leaves over.
-STRAY = 9
+STRAY = 5
 #: Shingles that a prefix has beyond those a leak can break: so many of them are found in any leak.
 BEYOND = 5
 #: Shingles are pairs of successive words, written without the space; of an item of one word that word.
@@ -30,8 +32,14 @@ STRETCH = 1.6
 BITS = 6
 #: Characters by which a word may stand off its place in the item.
 SLACK = 192
-#: Bits of the broadcast filter a shingle, and at most (256 MB); beyond, it lets more chance hits into the join.
-SPARSE, MOST_BITS = 16, 31
+#: Bits a shingle of the filter that tasks look hashes up in.
+SPARSE = 16
+#: Characters at a shingle's beginning that are looked up first, where it has as many.
+STEM = 8
+#: Places of prefix shingles that a task holds, of 16 bytes each; items with more go in slices of that size.
+MOST_PLACES = 8_000_000
+#: How a text, an item and a stripe make one number: bits of item and stripe, and what keeps stripes positive.
+ITEM_BITS, STRIPE_BITS, AHEAD = 22, 24, 1 << 20
 #: Characters whose hashes are taken together, and documents up to which the ids of candidates are broadcast.
 TOGETHER, BROADCAST_IDS = 1_000_000, 400_000
 
@@ -113,14 +121,12 @@ def hash_of(text: str) -> int:
     return int(sums(np.frombuffer(text.encode("utf-32-le"), np.uint32))[-1].view(np.int64))
 
 
-class Filter:
-    """Which hashes are among those of the prefix shingles, but for chance hits: four lookups in one bitmap
-    of SPARSE bits a shingle. This is all that every task holds of the items."""
+class Bitmap:
+    """Which hashes are among those given, but for chance hits: four lookups in SPARSE bits a hash."""
 
-    def __init__(self, known: np.ndarray, lengths: list[int]) -> None:
-        self.shift = np.uint64(64 - min(MOST_BITS, max(10, int(SPARSE * max(len(known), 1)).bit_length())))
+    def __init__(self, known: np.ndarray) -> None:
+        self.shift = np.uint64(64 - max(10, int(SPARSE * max(len(known), 1)).bit_length()))
         self.bits = np.zeros(1 << int(64 - self.shift - np.uint64(3)), np.uint8)
-        self.lengths = sorted(lengths)
         for turn in _TURNS:
             at = (known * turn) >> self.shift
             np.bitwise_or.at(self.bits, at >> np.uint64(3), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
@@ -136,8 +142,68 @@ class Filter:
         return place
 
 
+class Index:
+    """The places of the prefix shingles, as arrays: all that a task holds of the items.
+
+    A bitmap tells most hashes apart; those that pass are looked up among the sorted hashes, each with the items
+    and places that have it.
+    """
+
+    def __init__(self, h: np.ndarray, stem: np.ndarray, item: np.ndarray, off: np.ndarray, size: np.ndarray, ids: pa.Array, least: np.ndarray) -> None:
+        order = np.argsort(h, kind="stable")
+        h, self.item, self.off = h[order], item[order], off[order]
+        self.known, first = np.unique(h, return_index=True)
+        self.at = np.append(first, len(h))
+        self.ids, self.least, self.lengths = ids, least, np.unique(size).tolist()
+        self.whole, self.stems = Bitmap(self.known), Bitmap(np.unique(stem[size >= STEM]))
+
+    def places(self, total: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(length, places, hashes) of the stretches that may be shingles. Those of STEM characters or more are
+        only looked for where the first STEM of one stand."""
+        n = len(total) - 1
+        begins = self.stems.hits(hashes(total, STEM)) if n >= STEM and self.lengths and self.lengths[-1] >= STEM else np.zeros(0, np.int64)
+        power = _powers(int(_INVERSE), max(TOGETHER, 1 << n.bit_length()))
+        for size in self.lengths:
+            if size < STEM and size <= n:
+                h = hashes(total, size)
+                p = self.whole.hits(h)
+                yield size, p, h[p]
+            elif size >= STEM:
+                p = begins[: np.searchsorted(begins, n - size, "right")]
+                h = (total[p + size] - total[p]) * power[p]
+                ok = self.whole.hits(h)
+                yield size, p[ok], h[ok]
+
+    def candidates(self, cps: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, item, stripe) from which on three stripes of a text have the hits that a leak of the item must
+        have. ``at`` holds the offsets of the texts in ``cps``."""
+        none = np.zeros(0, np.int64)
+        if not len(self.known) or not len(cps):
+            return none, none, none
+        total = sums(cps)
+        keys = []
+        for n, p, h in self.places(total):
+            k = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+            row = np.searchsorted(at, p, "right") - 1
+            ok = (self.known[k] == h) & (p + n <= at[row + 1])  # not over the end of a text
+            p, k, row = p[ok], k[ok], row[ok]
+            many = self.at[k + 1] - self.at[k]
+            each = np.repeat(np.arange(len(p)), many)
+            entry = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + self.at[k][each]
+            stripe = ((p - at[row])[each] - self.off[entry] >> BITS) + AHEAD
+            keys.append((row[each] << ITEM_BITS + STRIPE_BITS) | (self.item[entry] << STRIPE_BITS) | stripe)
+        key, n = np.unique(np.concatenate(keys) if keys else none, return_counts=True)
+        held = n.copy()
+        for d in (1, 2):  # the next keys, if they are of the next two stripes
+            near = key[d:] - key[:-d] <= 2
+            held[:-d] += np.where(near, n[d:], 0)
+        item = (key >> STRIPE_BITS) & (1 << ITEM_BITS) - 1
+        ok = held >= self.least[item] if len(key) else np.zeros(0, bool)
+        return (key >> ITEM_BITS + STRIPE_BITS)[ok], item[ok], (key & (1 << STRIPE_BITS) - 1)[ok] - AHEAD
+
+
 def prefixes(items: DataFrame) -> DataFrame:
-    """(h, item_id, off, least): the hash of each shingle that a leak of the item can't avoid, its place in the
+    """(h, stem, item_id, off, least, size): the hash of each shingle, and of its first STEM characters, that a leak of the item can't avoid, its place in the
     item, and how many of them stand in any leak. ``items`` holds (item_id, words).
 
     Shingles are ordered by rarity: the fewer items hold one, the rarer, ties by length and text. A window
@@ -164,11 +230,11 @@ def prefixes(items: DataFrame) -> DataFrame:
                 chosen = set()
                 for w in range(len(words) - n + 1):
                     chosen.update(sorted(range(w, w + max(n - 1, 1)), key=lambda k: (many[k], -len(text[k]), text[k], k))[:prefix])
-                out += [(hash_of(text[k]), key, off[k], least, len(text[k])) for k in sorted(chosen)]
-            types = [pa.int64(), b.schema.types[0], pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], ["h", "item_id", "off", "least", "size"])
+                out += [(hash_of(text[k]), hash_of(text[k][:STEM]), key, off[k], least, len(text[k])) for k in sorted(chosen)]
+            types = [pa.int64(), pa.int64(), b.schema.types[0], pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], ["h", "stem", "item_id", "off", "least", "size"])
 
-    return rows.mapInArrow(run, f"h bigint, item_id {kind}, off int, least int, size int")
+    return rows.mapInArrow(run, f"h bigint, stem bigint, item_id {kind}, off int, least int, size int")
 
 
 def holds(words: list[str], body: str, begin: np.ndarray, at: int) -> bool:
@@ -220,49 +286,38 @@ def chain(occ: list[tuple[int, int, int]], reach: int) -> int:
     return best
 
 
-def _hits(shared, kind: str):  # noqa: ANN001, ANN202
-    """(doc_id, h, pos): places of the documents at which a prefix shingle may stand. Hashes are taken of all
-    stretches that are as long as some shingle, many texts at a time."""
+def _tried(shared, kind: str, item_kind: str):  # noqa: ANN001, ANN202
+    """(doc_id, item_id, stripe): which items a text is to be checked for, and where. Hashes are taken of all
+    stretches that are as long as some shingle and counted in the task, many texts at a time."""
 
     def taken(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        known: Filter = shared.value
+        known: Index = shared.value
         cps, at, _ = folded(texts)
-        total = sums(cps)
-        where, found = [], []
-        for n in known.lengths:
-            if n <= len(cps):
-                h = hashes(total, n)
-                p = known.hits(h)
-                end = at[np.searchsorted(at, p, "right")]
-                p = p[p + n <= end]  # not over the end of a text
-                where.append(p)
-                found.append(h[p])
-        p = np.concatenate(where) if where else np.zeros(0, np.int64)
-        h = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        row = np.searchsorted(at, p, "right") - 1
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(h.view(np.int64)), pa.array((p - at[row]).astype(np.int32))], ["doc_id", "h", "pos"])
+        row, item, stripe = known.candidates(cps, at)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), known.ids.take(pa.array(item)), pa.array(stripe.astype(np.int32))], ["doc_id", "item_id", "stripe"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size = np.cumsum([len(t) for t in b.column(1).to_pylist()])
+            size = np.cumsum(pc.utf8_length(b.column(1)).to_numpy(zero_copy_only=False))
             cuts = [0, *(np.flatnonzero(np.diff(size // TOGETHER)) + 1).tolist(), b.num_rows] if b.num_rows else []
             for x, y in zip(cuts, cuts[1:]):
                 if y > x:
                     yield taken(b.column(0).slice(x, y - x), b.column(1).slice(x, y - x))
 
-    return run, f"doc_id {kind}, h bigint, pos int"
+    return run, f"doc_id {kind}, item_id {item_kind}, stripe int"
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id): documents whose text holds at least NEED of some WINDOW successive words of the
     item, in order and close together.
 
-    Tasks hold only a bitmap of the items' prefix shingles (``Filter``). What passes it is joined with the
-    shingles by hash and counted by document, item and stripe. Length and positional bound: place in the text
+    Tasks hold the places of the items' prefix shingles as arrays (``Index``), MOST_PLACES at most; items with more
+    are taken in slices, each of which reads the documents again. Length and positional bound: place in the text
     less place in the item is the same for all shingles of a leak, but for what lost and stray words shift;
-    where three stripes in a row have the hits that a leak must have, the texts of document and item meet and are
-    checked exactly. Neither side is ever collected. An item of fewer than WINDOW words needs the same share
-    of all its words. Null ids and texts hold nothing; repeated items and documents give one row a pair.
+    hits are counted by item and stripe of that difference in the task that reads the text. Where three stripes
+    in a row have the hits that a leak must have, the texts of document and item are joined and checked
+    exactly. An item of fewer than WINDOW words needs the same share of all its words. Null ids and texts hold
+    nothing; repeated items and documents give one row a pair.
     """
     spark = documents.sparkSession
     kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (items, "item_id")))
@@ -274,15 +329,19 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     pool = items.where("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
     pool = cut(pool.mapInArrow(apart, f"item_id {item_kind}, words array<string>").where(F.size("words") > 0))
     prefix = cut(prefixes(pool))
-    lengths = [r["size"] for r in prefix.select("size").distinct().collect()]
-    shared = spark.sparkContext.broadcast(Filter(prefix.select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(np.uint64), lengths))
     docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    run, ddl = _hits(shared, kind)
-    stripe = F.floor((F.col("pos") - F.col("off")) / (1 << BITS))
-    hits = docs.mapInArrow(run, ddl).join(prefix.drop("size"), "h").groupBy("doc_id", "item_id", stripe.alias("stripe")).agg(F.count("*").alias("n"), F.max("least").alias("least"))
-    three = hits.select("doc_id", "item_id", "n", "least", F.explode(F.array(F.col("stripe") - 2, F.col("stripe") - 1, F.col("stripe"))).alias("first"))
-    places = three.groupBy("doc_id", "item_id", "first").agg(F.sum("n").alias("n"), F.max("least").alias("least")).where("n >= least")
-    tried = cut(places.groupBy("doc_id", "item_id").agg(F.array_sort(F.collect_list("first")).alias("at")))
+    slices = max(1, -(-prefix.count() // MOST_PLACES))
+    places = None
+    for k in range(slices):
+        part = prefix.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k).toPandas()
+        code, ids = pd.factorize(part["item_id"])
+        least = part.groupby(code)["least"].max().to_numpy() if len(part) else np.zeros(0, np.int64)
+        h, stem = (part[c].to_numpy(np.int64).view(np.uint64) for c in ("h", "stem"))
+        index = Index(h, stem, code.astype(np.int64), part["off"].to_numpy(np.int64), part["size"].to_numpy(), pa.array(ids), least)
+        run, ddl = _tried(spark.sparkContext.broadcast(index), kind, item_kind)
+        one = docs.mapInArrow(run, ddl)
+        places = one if places is None else places.unionByName(one)
+    tried = cut(places.groupBy("doc_id", "item_id").agg(F.array_sort(F.collect_set("stripe")).alias("at")))
     few = tried.count() <= BROADCAST_IDS
     rows = docs.join(F.broadcast(tried) if few else tried, "doc_id").join(pool, "item_id").select("doc_id", "item_id", "text", "words", "at")
 

@@ -541,14 +541,14 @@ def test_hashes_of_stretches():
         assert hashlist(leaks.hashes(total, n)) == [leaks.hash_of(text[i : i + n]) for i in range(len(text) - n + 1)]
     known = np.array([leaks.hash_of(text[i : i + 5]) for i in range(0, 390, 7)], np.int64).view(np.uint64)
     h = leaks.hashes(total, 5)
-    assert set(np.flatnonzero(np.isin(h, known))) <= set(leaks.Filter(known, [5]).hits(h).tolist())
+    assert set(np.flatnonzero(np.isin(h, known))) <= set(leaks.Bitmap(known).hits(h).tolist())
 
 
 def hashlist(h):
     return h.view(np.int64).tolist()
 
 
-def test_stray_words_and_short_items(spark):
+def test_stray_words_and_short_items(spark, monkeypatch):
     r = random.Random(3)
     words = [a + b + c for a in "bcdfg" for b in ("ar", "en", "ol", "um") for c in ("ta", "mo", "lix", "ren")]
     item = r.sample(words, 40)
@@ -560,7 +560,10 @@ def test_stray_words_and_short_items(spark):
     docs = [(1, " ".join(r.choices(words, k=60) + many + r.choices(words, k=60))), (2, "well then harbourmaster it is"), (3, "the harbour master"), (4, "one two " * 50), (5, "x" * 5000)]
     items = [(1, " ".join(item)), (2, "Harbourmaster!"), (3, "alpha beta gamma"), (4, ""), (5, "two one")]
     d, i = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
-    assert {tuple(x) for x in leaks.leaks(d, i).collect()} == {(1, 1), (2, 2), (3, 2), (4, 5)}
+    want = {(1, 1), (2, 2), (3, 2), (4, 5)}
+    assert {tuple(x) for x in leaks.leaks(d, i).collect()} == want
+    monkeypatch.setattr(leaks, "MOST_PLACES", 10)
+    assert {tuple(x) for x in leaks.leaks(d, i).collect()} == want
 
 
 # Problem 9
