@@ -17,19 +17,19 @@ ROUNDING = 1e-4
 
 def _prints(text: str) -> Column:
     lines = F.transform(T.split_lines(F.lower(text)), lambda x: T.all_matches(x, "[a-z0-9]+"))
-    return F.array_distinct(F.transform(F.filter(lines, lambda w: F.size(w) >= MIN_TOKENS), lambda w: F.sha2(F.array_join(w, " "), 256)))
+    return F.array_distinct(F.transform(F.filter(lines, lambda w: F.size(w) >= MIN_TOKENS), lambda w: F.unhex(F.sha2(F.array_join(w, " "), 256))))
 
 
 def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, fingerprint): the distinct lines of a text of MIN_TOKENS tokens or more, as a hash of their
-    tokens. Compatibility characters are expected to be folded (``functions.unicode.nfkc``)."""
+    """(key, fingerprint): the distinct lines of a text of MIN_TOKENS tokens or more, as the 32 bytes of a hash of
+    their tokens. Compatibility characters are expected to be folded (``functions.unicode.nfkc``)."""
     return documents.select(key, F.explode(_prints(text)).alias("fingerprint"))
 
 
 def line_sets(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, first, n): each text with fingerprints beside the least key with the same set of them, and how
     many there are. ``first`` stands for all its copies."""
-    each = documents.select(key, _prints(text).alias("p")).where(F.size("p") > 0).select(key, F.size("p").alias("n"), F.sha2(F.array_join(F.array_sort("p"), ""), 256).alias("h"))
+    each = documents.select(key, _prints(text).alias("p")).where(F.size("p") > 0).select(key, F.size("p").alias("n"), F.unhex(F.sha2(F.array_join(F.transform(F.array_sort("p"), F.hex), ""), 256)).alias("h"))
     return each.join(each.groupBy("h").agg(F.min(key).alias("first")), "h").select(key, "first", "n")
 
 
@@ -73,7 +73,7 @@ def alike_pairs(prints: DataFrame, key: str = "doc_id", jaccard: float = 0.5, co
 def identity_links(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(first, key): each copy of a text that isn't blank beside the first document with it. One row a copy
     ties them together, however many there are."""
-    same = documents.where(F.trim(text) != "").select(key, F.sha2(text, 256).alias("h"))
+    same = documents.where(F.trim(text) != "").select(key, F.unhex(F.sha2(text, 256)).alias("h"))
     first = same.groupBy("h").agg(F.min(key).alias("first"), F.count("*").alias("n")).where("n > 1")
     return same.join(first, "h").where(F.col(key) != F.col("first")).select("first", key)
 

@@ -134,7 +134,10 @@ def table_verdict(cells: Column) -> Column:
     column = F.transform(F.sequence(F.lit(1), cols), lambda k: F.size(F.filter(cells, lambda r: F.trim(F.coalesce(F.try_element_at(r, k), F.lit(""))) != "")))
     modal = F.array_max(F.transform(F.array_distinct(shapes), lambda s: F.size(F.filter(shapes, lambda x: x == s))))
     first = F.filter(F.transform(cells, lambda r: F.trim(F.coalesce(F.try_element_at(r, F.lit(1)), F.lit("")))), lambda c: c != "")
-    entries = F.size(F.filter(first, lambda c: c.rlike(r"^\s*[0-9]{1,4}[A-Z]{0,3}\s*\.\s+\S.{0,118}$")))
+    number = lambda c: F.substring_index(c, ".", 1)
+    rest = lambda c: F.substring(c, F.length(number(c)) + 2, F.lit(1 << 30))
+    entry = lambda c: number(c).rlike("^[0-9]{1,4}[A-Z]{0,3} *$") & rest(c).startswith(" ") & F.length(F.trim(rest(c))).between(1, 119)
+    entries = F.size(F.filter(first, entry))
     return (
         F.when(rows < 3, "rows").when(F.coalesce(cols, F.lit(0)) < 2, "columns").when(T.share(all_, rows * cols, None) < 0.7, "filled")
         .when(F.array_min(column) < 0.6 * rows, "column_fill").when(modal < 0.75 * rows, "row_shape").when(T.share(entries, F.size(first), None) > 0.34, "contents")

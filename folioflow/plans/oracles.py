@@ -34,7 +34,10 @@ MAP = f"(SELECT document_id, page_number, char_start, coalesce(lead(char_start)
 ASKED = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id) AS _n FROM questions) WHERE _n = 1)"
 GROUPS = f"(SELECT question_id, category, g, gold_evidence[g] AS grp FROM (SELECT *, unnest(range(1, len(gold_evidence) + 1)) AS g FROM {ASKED}))"
 GOLD = f"(SELECT question_id, category, g, grp.group_id AS group_id, grp.requirement AS requirement, CAST(l - 1 AS INTEGER) AS location, grp.locations[l] AS x FROM (SELECT *, unnest(range(1, len(grp.locations) + 1)) AS l FROM {GROUPS}))"
-PRINTS = "(SELECT DISTINCT doc_id, sha256(array_to_string(w, ' ')) AS fingerprint FROM (SELECT doc_id, regexp_extract_all(unnest(string_split(lower(text), chr(10))), '[a-z0-9]+') AS w FROM documents) WHERE len(w) >= 5)"
+# Compatibility characters that the texts hold: full-width forms and ligatures.
+_WIDE, _PLAIN_FORMS = ("".join(chr(at + i) for i in range(94)).replace("'", "''") for at in (0xFF01, 0x21))
+_NFKC = f"nfc_normalize(replace(replace(replace(replace(replace(translate(text, '{_WIDE}', '{_PLAIN_FORMS}'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl'), 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'))"
+PRINTS = f"(SELECT DISTINCT doc_id, sha256(array_to_string(w, ' ')) AS fingerprint FROM (SELECT doc_id, regexp_extract_all(unnest(string_split(lower({_NFKC}), chr(10))), '[a-z0-9]+') AS w FROM documents) WHERE len(w) >= 5)"
 PAIRS = f"(SELECT a, b, count(*) AS shared FROM (SELECT p.doc_id AS a, q.doc_id AS b FROM {PRINTS} p JOIN {PRINTS} q ON p.fingerprint = q.fingerprint AND p.doc_id < q.doc_id JOIN (SELECT fingerprint FROM {PRINTS} GROUP BY 1 HAVING count(*) BETWEEN 2 AND 50) r ON r.fingerprint = p.fingerprint) GROUP BY 1, 2 HAVING count(*) >= 3)"
 EDGES = f"""(SELECT a, b, shared, round(CAST(shared AS DOUBLE) / (na + nb - shared), 4) AS jaccard, round(CAST(shared AS DOUBLE) / least(na, nb), 4) AS containment FROM (
  SELECT c.a, c.b, count(*) AS shared, any_value(x.n) AS na, any_value(y.n) AS nb FROM {PAIRS} c JOIN {PRINTS} p ON p.doc_id = c.a JOIN {PRINTS} q ON q.doc_id = c.b AND q.fingerprint = p.fingerprint
@@ -166,6 +169,9 @@ LABELS = f"(SELECT document_id, first(verdict ORDER BY assessed_at DESC NULLS LA
 LATEST_INVENTORY = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY discovered_at DESC NULLS LAST, year DESC NULLS LAST) AS _n FROM inventory) WHERE _n = 1)"
 
 ORACLES: dict[str, str] = {
+    "item_metadata": "SELECT document_id, 'dc.title' AS name, title AS values FROM corpus_documents WHERE title IS NOT NULL UNION ALL SELECT document_id, 'dc.jurisdiction', jurisdiction FROM corpus_documents WHERE jurisdiction IS NOT NULL UNION ALL "
+    + " UNION ALL ".join(f"SELECT document_id, '{c}', trim(regexp_replace(CAST({c} AS VARCHAR), '\\s+', ' ', 'g')) FROM corpus_documents WHERE trim(CAST({c} AS VARCHAR)) <> ''" for c in ("year", "handle")),
+    "item_files": "SELECT document_id, CASE WHEN said = 'en' THEN primary_pdf_url END AS url, CASE WHEN said = 'hi' THEN 'only Hindi' WHEN said <> 'en' THEN 'undetermined' END AS refusal FROM (SELECT document_id, primary_pdf_url, CASE WHEN regexp_matches(lower(concat_ws(' ', language, primary_pdf_url)), '(हिन्दी|हिंदी|\\bhindi\\b|[_-]h(in)?\\.pdf$)') OR regexp_matches(coalesce(language, ''), '[ऀ-ॿ]') THEN 'hi' WHEN regexp_matches(lower(concat_ws(' ', language, primary_pdf_url)), '(\\benglish\\b|\\beng\\b|[_-]e(ng)?\\.pdf$)') THEN 'en' ELSE 'undetermined' END AS said FROM corpus_documents WHERE regexp_matches(lower(primary_pdf_url), '(/bitstream/|\\.pdf($|\\?)|viewfile)'))",
     "sound_pages": f"WITH v AS (SELECT document_id, page_number, CASE WHEN word_count < 60 THEN 'unjudged' WHEN mean_word_length < 4.2 OR single_char_rate > 0.12 OR mixed_case_rate > 0.01 THEN 'suspect' ELSE 'good' END AS verdict FROM {SIGNALS} {PAGES})), c AS (SELECT document_id, count(*) FILTER (WHERE verdict = 'good') AS good, count(*) FILTER (WHERE verdict = 'suspect') AS suspect FROM v GROUP BY 1) SELECT document_id, page_number FROM v JOIN c USING (document_id) WHERE verdict = 'good' OR (verdict = 'unjudged' AND good > suspect)",
     "document_titles": f"""WITH h AS (SELECT document_id, line_no, {_BARE} AS bare, regexp_replace(lower(trim(regexp_replace(text, '[\\s\\x{{00A0}}]+', ' ', 'g'))), '[0-9]+', '#', 'g') AS line FROM {STREAM} s WHERE line_no < 40 AND NOT EXISTS (SELECT 1 FROM {_contents(STREAM)} c WHERE c.document_id = s.document_id AND c.page_number = s.page_number)),
  m AS (SELECT document_id, nullif(trim(title), '') AS said, regexp_replace(regexp_replace(lower(trim(regexp_replace(title, '\\s+', ' ', 'g'))), '[0-9]+', '#', 'g'), '^the ', '') AS key FROM corpus_documents)
@@ -207,7 +213,7 @@ ORACLES: dict[str, str] = {
     "dup_clusters": f"SELECT node AS doc_id, cluster FROM {CLUSTERS}",
     "cluster_names": f"SELECT node AS doc_id, 'dup-' || lpad(CAST(dense_rank() OVER (ORDER BY cluster) AS VARCHAR), 5, '0') AS cluster_id FROM {CLUSTERS}",
     "cluster_representatives": f"SELECT cluster, node AS doc_id, n_chars FROM (SELECT c.cluster, c.node, d.n_chars, row_number() OVER (PARTITION BY c.cluster ORDER BY d.n_chars DESC, c.node) AS r FROM {CLUSTERS} c JOIN documents d ON d.doc_id = c.node) WHERE r = 1",
-    "shared_passages": "SELECT class_hash, count(DISTINCT doc_id) AS documents, count(*) AS spans, min(doc_id) AS first FROM (SELECT doc_id, sha256(trim(regexp_replace(line, '[\\s\\x{00A0}]+', ' ', 'g'))) AS class_hash FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE length(line) >= 40) GROUP BY 1 HAVING count(DISTINCT doc_id) > 1",
+    "shared_passages": f"SELECT class_hash, count(DISTINCT doc_id) AS documents, count(*) AS spans, min(doc_id) AS first FROM (SELECT doc_id, sha256(trim(regexp_replace(line, '[\\s\\x{{00A0}}]+', ' ', 'g'))) AS class_hash FROM (SELECT doc_id, unnest(string_split({_NFKC}, chr(10))) AS line FROM documents) WHERE length(line) >= 40) GROUP BY 1 HAVING count(DISTINCT doc_id) > 1",
     "title_pairs": f"WITH t AS (SELECT document_id, {TITLES} AS w FROM corpus_documents WHERE title IS NOT NULL) SELECT a, b, likeness FROM (SELECT x.document_id AS a, y.document_id AS b, round(CAST(len(list_intersect(x.w, y.w)) AS DOUBLE) / len(list_distinct(list_concat(x.w, y.w))), 4) AS likeness FROM t x JOIN t y ON x.document_id < y.document_id WHERE len(x.w) > 0 AND len(y.w) > 0) WHERE likeness >= 0.5",
     "text_signals": f"SELECT doc_id, characters, word_count, token_count, mean_word_length, single_char_rate, mixed_case_rate, alnum_mix_rate, common_word_rate, vowelless_ratio, replacement_char_count FROM {SIGNALS} documents)",
     "quality_panel": PANEL,

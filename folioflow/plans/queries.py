@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import text as T
 from folioflow.functions import unicode as U
-from folioflow.operators import corpus, dedup, dq, journal, lines, panels, retrieval, sampling, spans, stats, structure
+from folioflow.operators import corpus, dedup, dq, html, journal, lines, panels, respace, retrieval, sampling, spans, stats, structure
 from folioflow.session import cut, stage
 from folioflow.sources.readers import table
 
@@ -127,18 +127,23 @@ def gold_unions(spark: SparkSession, d: str) -> DataFrame:
 # Duplicates
 
 
+def _folded(spark: SparkSession, d: str) -> DataFrame:
+    """The documents with compatibility characters folded."""
+    return table(spark, d, "documents").withColumn("text", U.nfkc("text"))
+
+
 @query
 def line_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.fingerprints(table(spark, d, "documents"))
+    return dedup.fingerprints(_folded(spark, d)).withColumn("fingerprint", F.lower(F.hex("fingerprint")))
 
 
 @query
 def shared_line_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.candidate_pairs(dedup.fingerprints(table(spark, d, "documents")))
+    return dedup.candidate_pairs(dedup.fingerprints(_folded(spark, d)))
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    prints = cut(dedup.fingerprints(table(spark, d, "documents")))
+    prints = cut(dedup.fingerprints(_folded(spark, d)))
     return dedup.scored_edges(dedup.candidate_pairs(prints), prints)
 
 
@@ -163,22 +168,22 @@ def _links(docs: DataFrame, sets: DataFrame, jaccard: float, containment: float
 @query
 def line_sets(spark: SparkSession, d: str) -> DataFrame:
     """Each document with fingerprints beside the least document with the same ones."""
-    return dedup.line_sets(table(spark, d, "documents")).select("doc_id", "first")
+    return dedup.line_sets(_folded(spark, d)).select("doc_id", "first")
 
 
 @query
 def near_dup_links(spark: SparkSession, d: str) -> DataFrame:
     """All near duplicates and containing texts between the firsts of ``line_sets``; ``near_dup_edges`` is
     the reference's list, in which lines of more than 50 documents propose no pair."""
-    docs = table(spark, d, "documents")
+    docs = _folded(spark, d)
     edges = _links(docs, dedup.line_sets(docs), dedup.VERSION, dedup.CONTAINS)
     return edges.withColumn("relation", dedup.relation(F.col("jaccard"), F.lit(0.0), F.col("containment"))).where("relation <> 'unrelated'")
 
 
 def _clusters(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    sets = cut(dedup.line_sets(docs))
-    edges = _links(docs, sets, dedup.SAME)
+    docs, folded = table(spark, d, "documents"), _folded(spark, d)
+    sets = cut(dedup.line_sets(folded))
+    edges = _links(folded, sets, dedup.SAME)
     same = edges.where(dedup.relation(F.col("jaccard"), F.lit(0.0), F.col("containment")) == "same_instrument").select("a", "b")
     members = sets.where((F.col("doc_id") != F.col("first")) & (F.col("n") >= dedup.MIN_SHARED)).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
     copies = dedup.identity_links(docs).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
@@ -203,7 +208,7 @@ def cluster_representatives(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def shared_passages(spark: SparkSession, d: str) -> DataFrame:
-    rows = lines.from_texts(table(spark, d, "documents")).where(F.length("line") >= 40)
+    rows = lines.from_texts(_folded(spark, d)).where(F.length("line") >= 40)
     return dedup.span_classes(rows, "doc_id", "line")
 
 
@@ -331,6 +336,35 @@ def table_candidates(spark: SparkSession, d: str) -> DataFrame:
     return cells.select("doc_id", F.size("cells").alias("rows"), F.coalesce(panels.table_verdict(F.col("cells")), F.lit("table")).alias("verdict"))
 
 
+@query
+def respaced_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Documents in which words were run together, with how many were parted and a hash of the text they make."""
+    docs = table(spark, d, "documents")
+    out = respace.respaced(docs.where("text is not null"), panels.vocabulary(docs), "doc_id")
+    return out.where("changed > 0").select("doc_id", "changed", F.sha2("text", 256).alias("hash"))
+
+
+def _item_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's record as the repository's item page writes it: tags, a table of labels and a file."""
+    safe = lambda c: F.replace(F.replace(F.replace(F.replace(F.col(c).cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;"))
+    tag = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f'<meta name="DC.{c}" content="'), safe(c), F.lit('">')))
+    row = lambda c: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"<tr><td>{c}:</td><td>"), safe(c), F.lit("</td></tr>")))
+    file = F.when(F.col("primary_pdf_url").isNotNull(), F.concat(F.lit('<a href="'), safe("primary_pdf_url"), F.lit('">'), F.coalesce(safe("language"), F.lit("")), F.lit("</a>")))
+    page = F.concat_ws("", F.lit("<html><head>"), tag("title"), tag("jurisdiction"), F.lit("</head><body><table>"), row("year"), row("handle"), F.lit("</table>"), file, F.lit("</body></html>"))
+    return html.page_rows(table(spark, d, "corpus_documents").select("document_id", F.coalesce("source_url", F.lit("")).alias("url"), page.alias("html")), key="document_id")
+
+
+@query
+def item_metadata(spark: SparkSession, d: str) -> DataFrame:
+    return html.metadata(_item_pages(spark, d), "document_id").select("document_id", "name", F.array_join("values", "|").alias("values"))
+
+
+@query
+def item_files(spark: SparkSession, d: str) -> DataFrame:
+    links = html.file_links(_item_pages(spark, d), "document_id")
+    return html.the_english_file(links.withColumn("language", html.link_language()), "document_id")
+
+
 # Structure
 
 
