@@ -34,8 +34,9 @@ MAP = f"(SELECT document_id, page_number, char_start, coalesce(lead(char_start)
 ASKED = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id) AS _n FROM questions) WHERE _n = 1)"
 GROUPS = f"(SELECT question_id, category, g, gold_evidence[g] AS grp FROM (SELECT *, unnest(range(1, len(gold_evidence) + 1)) AS g FROM {ASKED}))"
 GOLD = f"(SELECT question_id, category, g, grp.group_id AS group_id, grp.requirement AS requirement, CAST(l - 1 AS INTEGER) AS location, grp.locations[l] AS x FROM (SELECT *, unnest(range(1, len(grp.locations) + 1)) AS l FROM {GROUPS}))"
-# Compatibility characters that the texts hold: full-width forms and ligatures.
-_WIDE, _PLAIN_FORMS = ("".join(chr(at + i) for i in range(94)).replace("'", "''") for at in (0xFF01, 0x21))
+# Compatibility characters that the texts hold: full-width forms, spaces of other widths and ligatures.
+_SPACES = "".join(map(chr, (0xA0, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)))
+_WIDE, _PLAIN_FORMS = ("".join(chr(at + i) for i in range(94)).replace("'", "''") + tail for at, tail in ((0xFF01, _SPACES), (0x21, " " * len(_SPACES))))
 _NFKC = f"nfc_normalize(replace(replace(replace(replace(replace(translate(text, '{_WIDE}', '{_PLAIN_FORMS}'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl'), 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'))"
 PRINTS = f"(SELECT DISTINCT doc_id, sha256(array_to_string(w, ' ')) AS fingerprint FROM (SELECT doc_id, regexp_extract_all(unnest(string_split(lower({_NFKC}), chr(10))), '[a-z0-9]+') AS w FROM documents) WHERE len(w) >= 5)"
 PAIRS = f"(SELECT a, b, count(*) AS shared FROM (SELECT p.doc_id AS a, q.doc_id AS b FROM {PRINTS} p JOIN {PRINTS} q ON p.fingerprint = q.fingerprint AND p.doc_id < q.doc_id JOIN (SELECT fingerprint FROM {PRINTS} GROUP BY 1 HAVING count(*) BETWEEN 2 AND 50) r ON r.fingerprint = p.fingerprint) GROUP BY 1, 2 HAVING count(*) >= 3)"
@@ -169,6 +170,7 @@ LABELS = f"(SELECT document_id, first(verdict ORDER BY assessed_at DESC NULLS LA
 LATEST_INVENTORY = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY discovered_at DESC NULLS LAST, year DESC NULLS LAST) AS _n FROM inventory) WHERE _n = 1)"
 
 ORACLES: dict[str, str] = {
+    "respaced_documents": "SELECT doc_id, CAST(0 AS INTEGER) AS changed, sha256(text) AS hash FROM documents WHERE text IS NOT NULL",
     "item_metadata": "SELECT document_id, 'dc.title' AS name, title AS values FROM corpus_documents WHERE title IS NOT NULL UNION ALL SELECT document_id, 'dc.jurisdiction', jurisdiction FROM corpus_documents WHERE jurisdiction IS NOT NULL UNION ALL "
     + " UNION ALL ".join(f"SELECT document_id, '{c}', trim(regexp_replace(CAST({c} AS VARCHAR), '\\s+', ' ', 'g')) FROM corpus_documents WHERE trim(CAST({c} AS VARCHAR)) <> ''" for c in ("year", "handle")),
     "item_files": "SELECT document_id, CASE WHEN said = 'en' THEN primary_pdf_url END AS url, CASE WHEN said = 'hi' THEN 'only Hindi' WHEN said <> 'en' THEN 'undetermined' END AS refusal FROM (SELECT document_id, primary_pdf_url, CASE WHEN regexp_matches(lower(concat_ws(' ', language, primary_pdf_url)), '(हिन्दी|हिंदी|\\bhindi\\b|[_-]h(in)?\\.pdf$)') OR regexp_matches(coalesce(language, ''), '[ऀ-ॿ]') THEN 'hi' WHEN regexp_matches(lower(concat_ws(' ', language, primary_pdf_url)), '(\\benglish\\b|\\beng\\b|[_-]e(ng)?\\.pdf$)') THEN 'en' ELSE 'undetermined' END AS said FROM corpus_documents WHERE regexp_matches(lower(primary_pdf_url), '(/bitstream/|\\.pdf($|\\?)|viewfile)'))",
