@@ -7,7 +7,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -36,12 +35,13 @@ SLACK = 192
 SPARSE = 16
 #: Characters at a shingle's beginning that are looked up first, where it has as many.
 STEM = 8
-#: Places of prefix shingles that a task holds, of 16 bytes each; items with more go in slices of that size.
-MOST_PLACES = 8_000_000
+#: Places of prefix shingles that a task holds, of some 32 bytes each with their share of the items' words; items
+#: with more go in slices of that size.
+MOST_PLACES = 4_000_000
 #: How a text, an item and a stripe make one number: bits of item and stripe, and what keeps stripes positive.
 ITEM_BITS, STRIPE_BITS, AHEAD = 22, 24, 1 << 20
-#: Characters whose hashes are taken together, and documents up to which the ids of candidates are broadcast.
-TOGETHER, BROADCAST_IDS = 1_000_000, 400_000
+#: Characters whose hashes are taken together.
+TOGETHER = 250_000
 
 
 def _fold_of(ch: str) -> str:
@@ -149,12 +149,12 @@ class Index:
     and places that have it.
     """
 
-    def __init__(self, h: np.ndarray, stem: np.ndarray, item: np.ndarray, off: np.ndarray, size: np.ndarray, ids: pa.Array, least: np.ndarray) -> None:
+    def __init__(self, h: np.ndarray, stem: np.ndarray, item: np.ndarray, off: np.ndarray, size: np.ndarray, ids: pa.Array, words: pa.Array, least: np.ndarray) -> None:
         order = np.argsort(h, kind="stable")
-        h, self.item, self.off = h[order], item[order], off[order]
+        h, self.item, self.off = h[order], item[order].astype(np.int32), off[order].astype(np.int32)
         self.known, first = np.unique(h, return_index=True)
         self.at = np.append(first, len(h))
-        self.ids, self.least, self.lengths = ids, least, np.unique(size).tolist()
+        self.ids, self.words, self.least, self.lengths = ids, words, least, np.unique(size).tolist()
         self.whole, self.stems = Bitmap(self.known), Bitmap(np.unique(stem[size >= STEM]))
 
     def places(self, total: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -191,7 +191,7 @@ class Index:
             each = np.repeat(np.arange(len(p)), many)
             entry = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + self.at[k][each]
             stripe = ((p - at[row])[each] - self.off[entry] >> BITS) + AHEAD
-            keys.append((row[each] << ITEM_BITS + STRIPE_BITS) | (self.item[entry] << STRIPE_BITS) | stripe)
+            keys.append((row[each] << ITEM_BITS + STRIPE_BITS) | (self.item[entry].astype(np.int64) << STRIPE_BITS) | stripe)
         key, n = np.unique(np.concatenate(keys) if keys else none, return_counts=True)
         held = n.copy()
         for d in (1, 2):  # the next keys, if they are of the next two stripes
@@ -286,15 +286,27 @@ def chain(occ: list[tuple[int, int, int]], reach: int) -> int:
     return best
 
 
-def _tried(shared, kind: str, item_kind: str):  # noqa: ANN001, ANN202
-    """(doc_id, item_id, stripe): which items a text is to be checked for, and where. Hashes are taken of all
-    stretches that are as long as some shingle and counted in the task, many texts at a time."""
+def _found(shared, kind: str, item_kind: str):  # noqa: ANN001, ANN202
+    """(doc_id, item_id) of the leaks. Hashes are taken of all stretches that are as long as some shingle and
+    counted, many texts at a time; where enough stand in a row, the text is checked."""
 
     def taken(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
         known: Index = shared.value
-        cps, at, _ = folded(texts)
-        row, item, stripe = known.candidates(cps, at)
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), known.ids.take(pa.array(item)), pa.array(stripe.astype(np.int32))], ["doc_id", "item_id", "stripe"])
+        cps, at, start = folded(texts)
+        tried: dict[tuple[int, int], list[int]] = {}
+        for row, item, stripe in zip(*(x.tolist() for x in known.candidates(cps, at))):
+            tried.setdefault((row, item), []).append(stripe)
+        rows, items = [], []
+        last, body, begin = -1, "", start
+        for (row, item), stripes in sorted(tried.items()):
+            if row != last:
+                a, b = int(at[row]), int(at[row + 1])
+                last, body, begin = row, cps[a:b].astype("<u4").tobytes().decode("utf-32-le"), start[a : b + 1]
+            words = known.words[item].as_py().split(" ")
+            if any(holds(words, body, begin, ((x + 1) << BITS) + (1 << BITS - 1)) for x in stripes):
+                rows.append(row)
+                items.append(item)
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), known.ids.take(pa.array(items, pa.int64()))], ["doc_id", "item_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -304,20 +316,20 @@ def _tried(shared, kind: str, item_kind: str):  # noqa: ANN001, ANN202
                 if y > x:
                     yield taken(b.column(0).slice(x, y - x), b.column(1).slice(x, y - x))
 
-    return run, f"doc_id {kind}, item_id {item_kind}, stripe int"
+    return run, f"doc_id {kind}, item_id {item_kind}"
 
 
 def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id): documents whose text holds at least NEED of some WINDOW successive words of the
     item, in order and close together.
 
-    Tasks hold the places of the items' prefix shingles as arrays (``Index``), MOST_PLACES at most; items with more
-    are taken in slices, each of which reads the documents again. Length and positional bound: place in the text
-    less place in the item is the same for all shingles of a leak, but for what lost and stray words shift;
-    hits are counted by item and stripe of that difference in the task that reads the text. Where three stripes
-    in a row have the hits that a leak must have, the texts of document and item are joined and checked
-    exactly. An item of fewer than WINDOW words needs the same share of all its words. Null ids and texts hold
-    nothing; repeated items and documents give one row a pair.
+    A join with the items' prefix shingles on the broadcast side, whose size is checked: tasks hold the places of
+    the shingles and the items' words as arrays (``Index``), MOST_PLACES at most; items with more are taken in
+    slices, each of which reads the documents again. Length and positional bound: place in the text less place in
+    the item is the same for all shingles of a leak, but for what lost and stray words shift; hits are counted by
+    item and stripe of that difference. Where three stripes in a row have the hits that a leak must have, the text
+    is checked exactly. Nothing is shuffled but the pairs found. An item of fewer than WINDOW words needs the
+    same share of all its words. Null ids and texts hold nothing; repeated items and documents give one row a pair.
     """
     spark = documents.sparkSession
     kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((documents, "doc_id"), (items, "item_id")))
@@ -331,25 +343,17 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     prefix = cut(prefixes(pool))
     docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
     slices = max(1, -(-prefix.count() // MOST_PLACES))
-    places = None
+    out = None
     for k in range(slices):
-        part = prefix.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k).toPandas()
-        code, ids = pd.factorize(part["item_id"])
-        least = part.groupby(code)["least"].max().to_numpy() if len(part) else np.zeros(0, np.int64)
+        own = F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k
+        words = pool.where(own).select("item_id", F.array_join("words", " ").alias("words")).toPandas().sort_values("item_id", ignore_index=True)
+        part = prefix.where(own).toPandas()
+        code = words["item_id"].searchsorted(part["item_id"]).astype(np.int64) if len(part) else np.zeros(0, np.int64)
+        least = np.ones(len(words), np.int64)
+        least[code] = part["least"].to_numpy()
         h, stem = (part[c].to_numpy(np.int64).view(np.uint64) for c in ("h", "stem"))
-        index = Index(h, stem, code.astype(np.int64), part["off"].to_numpy(np.int64), part["size"].to_numpy(), pa.array(ids), least)
-        run, ddl = _tried(spark.sparkContext.broadcast(index), kind, item_kind)
+        index = Index(h, stem, code, part["off"].to_numpy(np.int64), part["size"].to_numpy(), pa.array(words["item_id"]), pa.array(words["words"], pa.large_string()), least)
+        run, ddl = _found(spark.sparkContext.broadcast(index), kind, item_kind)
         one = docs.mapInArrow(run, ddl)
-        places = one if places is None else places.unionByName(one)
-    tried = cut(places.groupBy("doc_id", "item_id").agg(F.array_sort(F.collect_set("stripe")).alias("at")))
-    few = tried.count() <= BROADCAST_IDS
-    rows = docs.join(F.broadcast(tried) if few else tried, "doc_id").join(pool, "item_id").select("doc_id", "item_id", "text", "words", "at")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for words, at, body, begin in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), *streams(b.column(2))):
-                keep.append(any(holds(words, body, begin, ((x + 1) << BITS) + (1 << BITS - 1)) for x in at))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["doc_id", "item_id"]).filter(pa.array(keep, pa.bool_()))
-
-    return rows.mapInArrow(verify, f"doc_id {kind}, item_id {item_kind}").distinct()
+        out = one if out is None else out.unionByName(one)
+    return out.distinct()
