@@ -306,7 +306,7 @@ def test_instruments_and_what_they_share(spark):
     places = {"ombrey": ("ombrey",), "orvale": ("orvale",)}
     edges = corpus.review_band(corpus.instrument_edges(corpus.line_prints(rows), spark.createDataFrame(facts, "document_id string, title string, sha256 string, text_hash string"), places))
     got = {(r["a"], r["b"]): (r["relation"], r["title_conflict"]) for r in edges.collect()}
-    assert got == {("a", "b"): ("identical", False), ("a", "c"): ("same_instrument", False), ("a", "d"): ("identical", False), ("b", "c"): ("same_instrument", False), ("b", "d"): ("identical", False), ("c", "d"): ("same_instrument", False), ("e", "f"): ("identical", True)}
+    assert got == {("a", "b"): ("identical", False), ("a", "c"): ("same_instrument", False), ("a", "d"): ("identical", False), ("b", "c"): ("same_instrument", False), ("b", "d"): ("identical", False), ("c", "d"): ("parallel", False), ("e", "f"): ("identical", True)}
     clusters = corpus.instrument_clusters(edges)
     assert {tuple(r) for r in clusters.collect()} == {(x, "dup-00001") for x in "abcd"} | {("e", "dup-00002"), ("f", "dup-00002")}
     provisions = spark.createDataFrame([("a", "section:1", "section", "1", "The  fee."), ("b", "section:1", "section", "1", "The fee."), ("e", "section:1", "section", "1", "The\nfee."), ("c", "section:2", "section", "2", "Own."), ("a", "section:2", "section", "2", "x"), ("a", "section:2#2", "section", "2", "y")], "document_id string, key string, unit_type string, number string, text string")
