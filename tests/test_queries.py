@@ -42,8 +42,12 @@ def test_oracle(spark, duck, name):
     assert got == sorted((tuple(plain(r[i]) for i in at) for r in q.fetchall()), key=repr)
 
 
+#: What the smallest tables may hold none of.
+SCARCE = ("provision_classes", "version_mates")
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_without_sql(spark, name):
     """What SQL doesn't state gives rows on the test tables, each once."""
     rows = [str(r) for r in QUERIES[name](spark, DATA).collect()]
-    assert rows and len(set(rows)) == len(rows)
+    assert len(set(rows)) == len(rows) and (rows or name in SCARCE)
